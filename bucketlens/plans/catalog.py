@@ -7,11 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import duplicates as dup
 from ..operators import geo as geo_ops
+from ..operators import inventory as inv
 from ..operators import log_analytics as la
 from ..operators.parse import parse_access_log
 from . import fixtures as fx
-from .oracle import ONE_BUCKET
+from .oracle import ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,5 +63,41 @@ LOG_QUERIES: dict[str, Query] = {
 }
 
 
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inv.file_paths(fx.object_inventory(spark, sf_dir))
+
+
+def _line_query(op, mode: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return op(_files(spark, sf_dir), fx.object_lines(spark, sf_dir), mode=mode)
+
+    return run
+
+
+def _duplicates_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = fx.object_inventory(spark, sf_dir).join(_files(spark, sf_dir), ["bucket_name", "key"], "left_semi")
+    return dup.duplicate_files_bytes(files, dup.md5_of_column(fx.object_texts(spark, sf_dir)))
+
+
+OBJECT_QUERIES: dict[str, Query] = {
+    "object_inventory": lambda s, d: fx.object_inventory(s, d),
+    "inventory_for_buckets": lambda s, d: inv.inventory_for_buckets(fx.object_inventory(s, d), SOME_BUCKETS),
+    "classify_objects": lambda s, d: inv.classify_objects(fx.object_inventory(s, d), bucket=PREFIX_BUCKET),
+    "file_paths": lambda s, d: inv.file_paths(fx.object_inventory(s, d)),
+    "file_paths_for_prefix": lambda s, d: inv.file_paths_for_prefix(fx.object_inventory(s, d), PREFIX_BUCKET, PREFIX),
+    "object_line_counts": lambda s, d: dup.object_line_counts(fx.object_lines(s, d), objects=_files(s, d)),
+    "directories_per_bucket": lambda s, d: inv.directories_per_bucket(fx.object_inventory(s, d)),
+    "directories_per_bucket_json": lambda s, d: inv.directories_per_bucket_json(fx.object_inventory(s, d)),
+    "directories_total": lambda s, d: inv.directories_total(fx.object_inventory(s, d)),
+    "files_by_format": lambda s, d: inv.files_by_format(fx.object_inventory(s, d)),
+    "files_by_bucket_format": lambda s, d: inv.files_by_bucket_format(fx.object_inventory(s, d)),
+    "content_fingerprint": _line_query(dup.content_fingerprint, "lines"),
+    "content_fingerprint_fast": _line_query(dup.content_fingerprint, "lines_fast"),
+    "duplicate_files": _line_query(dup.duplicate_files, "lines"),
+    "checksum_groups": _line_query(dup.checksum_groups, "lines"),
+    "duplicate_files_bytes": _duplicates_bytes,
+}
+
+
 def queries() -> dict[str, Query]:
-    return dict(LOG_QUERIES)
+    return {**LOG_QUERIES, **OBJECT_QUERIES}

@@ -183,5 +183,83 @@ FROM log_strict s LEFT JOIN located l ON s.ip_address = l.ip_address""",
 LOG_QUERIES["geo_enrich_bucketed"] = LOG_QUERIES["geo_enrich"]
 
 
+# parameters of the object queries
+SOME_BUCKETS = ("src1", "src2")
+PREFIX_BUCKET = "src3"
+PREFIX = "docs/en/"
+
+FILES = """files AS (
+  SELECT source AS bucket_name,
+         'docs/' || lang || '/' || CAST(doc_id AS VARCHAR)
+           || CASE doc_id % 4 WHEN 0 THEN '.txt' WHEN 1 THEN '.tar.gz' WHEN 2 THEN '.csv' ELSE '' END AS key,
+         CAST(strlen(text) AS BIGINT) AS size,
+         text
+  FROM documents
+)"""
+INVENTORY = """inventory AS (
+  SELECT bucket_name, key, size FROM files
+  UNION ALL
+  SELECT DISTINCT source, 'docs/' || lang || '/', CAST(0 AS BIGINT) FROM documents
+)"""
+LINES = """lines AS (SELECT bucket_name, key, unnest(string_split(text, chr(10))) AS line FROM files)"""
+LINE_CLASSES = """sig AS (
+  SELECT bucket_name, key, md5(string_agg(line, chr(10) ORDER BY line)) AS h
+  FROM lines WHERE line <> '' GROUP BY bucket_name, key
+),
+fp AS (
+  SELECT f.bucket_name, f.key, f.bucket_name || '/' || f.key AS path, coalesce(s.h, '') AS h
+  FROM files f LEFT JOIN sig s ON f.bucket_name = s.bucket_name AND f.key = s.key
+),
+per_class AS (SELECT h, min(path) AS class_id, count(*) AS n_copies FROM fp GROUP BY h),
+classes AS (SELECT fp.bucket_name, fp.key, c.class_id, c.n_copies FROM fp JOIN per_class c ON fp.h = c.h)"""
+BYTE_CLASSES = """cand AS (
+  SELECT * FROM files WHERE size IN (SELECT size FROM files GROUP BY size HAVING count(*) > 1)
+),
+bfp AS (
+  SELECT bucket_name, key, bucket_name || '/' || key AS path, size,
+         CASE WHEN size = 0 THEN 'd41d8cd98f00b204e9800998ecf8427e' ELSE md5(text) END AS h
+  FROM cand
+),
+bper AS (SELECT size, h, min(path) AS class_id, count(*) AS n_copies FROM bfp GROUP BY size, h),
+bclasses AS (SELECT b.bucket_name, b.key, c.class_id, c.n_copies FROM bfp b JOIN bper c ON b.size = c.size AND b.h = c.h)"""
+
+_FMT = """CASE WHEN regexp_extract(key, '\.([^./]+)$', 1) = '' THEN '(none)' ELSE regexp_extract(key, '\.([^./]+)$', 1) END"""
+
+OBJECT_QUERIES = {
+    "object_inventory": _with(FILES, INVENTORY) + "SELECT * FROM inventory",
+    "inventory_for_buckets": _with(FILES, INVENTORY)
+    + f"SELECT * FROM inventory WHERE bucket_name IN {SOME_BUCKETS!r}",
+    "classify_objects": _with(FILES, INVENTORY)
+    + f"""SELECT bucket_name, key, CASE WHEN ends_with(key, '/') THEN 'directory' ELSE 'file' END AS kind,
+  bucket_name || '/' || key AS path FROM inventory WHERE bucket_name = '{PREFIX_BUCKET}'""",
+    "file_paths": _with(FILES) + "SELECT bucket_name, key, bucket_name || '/' || key AS path FROM files",
+    "file_paths_for_prefix": _with(FILES)
+    + f"""SELECT bucket_name, key, bucket_name || '/' || key AS path FROM files
+WHERE bucket_name = '{PREFIX_BUCKET}' AND starts_with(key, '{PREFIX}')""",
+    "object_line_counts": _with(FILES, LINES)
+    + "SELECT bucket_name, key, count(*) AS n_lines FROM lines GROUP BY bucket_name, key",
+    "directories_per_bucket": _with(FILES, INVENTORY)
+    + "SELECT bucket_name, count(key) AS n_directories FROM inventory WHERE ends_with(key, '/') GROUP BY bucket_name",
+    "directories_per_bucket_json": _with(FILES, INVENTORY)
+    + """SELECT CAST(json_object('bucket_name', bucket_name, 'n_directories', n) AS VARCHAR) AS json
+FROM (SELECT bucket_name, count(key) AS n FROM inventory WHERE ends_with(key, '/') GROUP BY bucket_name)""",
+    "directories_total": _with(FILES, INVENTORY)
+    + "SELECT count(key) AS n_directories FROM inventory WHERE ends_with(key, '/')",
+    "files_by_format": _with(FILES) + f"SELECT {_FMT} AS format, count(*) AS n_files FROM files GROUP BY 1",
+    "files_by_bucket_format": _with(FILES)
+    + f"SELECT bucket_name, {_FMT} AS format, count(*) AS n_files FROM files GROUP BY 1, 2",
+    "content_fingerprint": _with(FILES, LINES, LINE_CLASSES) + "SELECT bucket_name, key, class_id FROM classes",
+    "duplicate_files": _with(FILES, LINES, LINE_CLASSES)
+    + """SELECT class_id, n_copies, bucket_name, key FROM classes WHERE n_copies > 1
+ORDER BY n_copies DESC, class_id, bucket_name, key""",
+    "checksum_groups": _with(FILES, LINES, LINE_CLASSES)
+    + "SELECT class_id, n_copies FROM per_class ORDER BY n_copies DESC, class_id",
+    "duplicate_files_bytes": _with(FILES, BYTE_CLASSES)
+    + """SELECT class_id, n_copies, bucket_name, key FROM bclasses WHERE n_copies > 1
+ORDER BY n_copies DESC, class_id, bucket_name, key""",
+}
+OBJECT_QUERIES["content_fingerprint_fast"] = OBJECT_QUERIES["content_fingerprint"]
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(LOG_QUERIES)
+    return {**LOG_QUERIES, **OBJECT_QUERIES}

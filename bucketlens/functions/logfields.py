@@ -117,16 +117,16 @@ def line_pattern(fields, tail: str = "", capture: int | None = None) -> str:
     return r"\A" + " ".join(pieces) + tail + r"\z"
 
 
-def _split_fields(value: Column, fields, tail: str) -> tuple[Column, Column]:
+def _split_fields(value: Column, fields, tail: str) -> Column:
     """One regex evaluation per line: rewrite a matching line into its fields
     joined by newlines, then split. A line read from text never holds a
-    newline, so a match is exactly "18 pieces and no newline in the input"."""
+    newline (one that does is refused up front), so the line matched exactly
+    when the split gives one piece per field."""
     sep = "\n"
     pattern = line_pattern(fields, tail)
     replacement = sep.join(f"${i + 1}" for i in range(len(fields)))
     parts = F.split(F.regexp_replace(value, F.lit(pattern), F.lit(replacement)), sep)
-    ok = (F.size(parts) == len(fields)) & (F.instr(value, sep) == 0)
-    return parts, ok.isNotNull() & ok
+    return F.when(F.instr(value, sep) == 0, parts)
 
 
 def to_long(token: Column) -> Column:
@@ -186,25 +186,31 @@ def typed_fields(raw: dict[str, Column], ok: Column, strict_ip: bool) -> list[Co
     return [out[n].alias(n) for n in LOG_FIELDS] + [(~ok).alias("is_malformed")]
 
 
-FIELDS_COL, OK_COL = "_fields", "_ok"
+FIELDS_COL = "_fields"
 
 
-def split_stage(value: Column, mode: str) -> list[Column]:
-    """First projection: the line's field strings as one array plus a match
-    flag. Kept as its own projection so the regex runs once per line (Catalyst
-    does not inline an expensive expression that is used many times)."""
+def split_stage(value: Column, mode: str) -> Column:
+    """First step: the line's field strings as one array (NULL or the wrong
+    length when the line does not match). It runs inside a generator of its
+    own, so the regex is evaluated once per line."""
     if mode == "positional":
-        tokens = F.split(value, " ", -1)
-        ok = F.coalesce(F.size(tokens) >= POSITIONAL_MIN_TOKENS, F.lit(False))
-        return [tokens.alias(FIELDS_COL), ok.alias(OK_COL)]
+        return F.split(value, " ", -1)
     fields, tail = (STRICT_FIELDS, STRICT_TAIL) if mode == "strict" else (TOLERANT_FIELDS, TOLERANT_TAIL)
-    parts, ok = _split_fields(value, fields, tail)
-    return [parts.alias(FIELDS_COL), ok.alias(OK_COL)]
+    return _split_fields(value, fields, tail)
+
+
+def _matched(arr: Column, mode: str) -> Column:
+    if mode == "positional":
+        ok = F.size(arr) >= POSITIONAL_MIN_TOKENS
+    else:
+        ok = F.size(arr) == len(STRICT_FIELDS if mode == "strict" else TOLERANT_FIELDS)
+    return F.coalesce(arr.isNotNull() & ok, F.lit(False))
 
 
 def typed_stage(mode: str) -> list[Column]:
-    """Second projection: array pieces → typed ``access_log`` columns."""
-    arr, ok = F.col(FIELDS_COL), F.col(OK_COL)
+    """Second step: array pieces → typed ``access_log`` columns."""
+    arr = F.col(FIELDS_COL)
+    ok = _matched(arr, mode)
 
     def tok(i: int) -> Column:
         return F.get(arr, i)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.logfields import MODES, split_stage, typed_stage
+from ..functions.logfields import FIELDS_COL, MODES, split_stage, typed_stage
 
 
 def parse_access_log(lines: DataFrame, mode: str = "strict", value_col: str = "value", keep=None) -> DataFrame:
@@ -27,5 +27,5 @@ def parse_access_log(lines: DataFrame, mode: str = "strict", value_col: str = "v
     # (`NOT is_malformed`, `ip_address IS NOT NULL`, ...) stop above it:
     # pushed through a plain projection they would re-run the regex once per
     # filter. One regex evaluation per line, whatever the query.
-    once = F.inline(F.array(F.struct(*split_stage(F.col(value_col), mode))))
+    once = F.explode(F.array(split_stage(F.col(value_col), mode))).alias(FIELDS_COL)
     return lines.select(*keep, once).select(*keep, *typed_stage(mode))

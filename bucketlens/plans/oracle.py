@@ -223,7 +223,7 @@ bfp AS (
 bper AS (SELECT size, h, min(path) AS class_id, count(*) AS n_copies FROM bfp GROUP BY size, h),
 bclasses AS (SELECT b.bucket_name, b.key, c.class_id, c.n_copies FROM bfp b JOIN bper c ON b.size = c.size AND b.h = c.h)"""
 
-_FMT = """CASE WHEN regexp_extract(key, '\.([^./]+)$', 1) = '' THEN '(none)' ELSE regexp_extract(key, '\.([^./]+)$', 1) END"""
+_FMT = r"""CASE WHEN regexp_extract(key, '\.([^./]+)$', 1) = '' THEN '(none)' ELSE regexp_extract(key, '\.([^./]+)$', 1) END"""
 
 OBJECT_QUERIES = {
     "object_inventory": _with(FILES, INVENTORY) + "SELECT * FROM inventory",

@@ -98,20 +98,25 @@ def checksum_groups(objects: DataFrame, lines: DataFrame, mode: str = "lines") -
 
 
 def byte_classes(objects: DataFrame, checksums) -> DataFrame:
-    """Classes by exact bytes for the objects that could have a copy.
+    """Every object with its class by exact bytes.
 
     ``objects`` is ``(bucket_name, key, size)``; ``checksums`` maps a
     DataFrame of candidates ``(bucket_name, key, size)`` to ``(bucket_name,
-    key, size, checksum)`` — it is only ever asked for objects whose size
-    occurs more than once and is not 0.
+    key, size, checksum)``. It is only asked for objects whose size occurs more
+    than once and is not 0; an object with a unique size is its own class
+    without being read.
     """
     objects = objects.select("bucket_name", "key", "size")
-    sizes = objects.groupBy("size").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") > 1)
-    candidates = objects.join(sizes.select("size"), "size", "left_semi")
+    shared = objects.groupBy("size").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") > 1).select("size")
+    candidates = objects.join(shared, "size", "left_semi")
     empty = candidates.where(F.col("size") == 0).withColumn("checksum", F.lit(EMPTY_MD5))
     hashed = checksums(candidates.where(F.col("size") != 0))
     both = empty.unionByName(hashed.select("bucket_name", "key", "size", "checksum"))
-    return _classes(both, ["size", "checksum"])
+    alone = objects.join(shared, "size", "left_anti").select(
+        "bucket_name", "key", object_path(F.col("bucket_name"), F.col("key")).alias("class_id"),
+        F.lit(1).cast("bigint").alias("n_copies"),
+    )
+    return _classes(both, ["size", "checksum"]).unionByName(alone)
 
 
 def duplicate_files_bytes(objects: DataFrame, checksums) -> DataFrame:

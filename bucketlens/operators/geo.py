@@ -2,22 +2,23 @@
 a join against a ``geo_ranges(ip_start, ip_end, country, city, latitude,
 longitude)`` table of inclusive IPv4 ranges).
 
-The lookup always runs on *distinct* addresses and is joined back, so each
-address is looked up once however many requests it made, and a row is never
-multiplied: each address gets at most one range (the containing range with
-the greatest start, then the smallest end — ranges are expected not to
-overlap, as in GeoIP databases).
+A row is never multiplied: each address gets at most one range (the
+containing range with the greatest start, then the smallest end — ranges are
+expected not to overlap, as in GeoIP databases).
 
 Two strategies, same result on non-overlapping ranges:
 
 * ``broadcast``: the ranges, cut at /16 boundaries, are broadcast and matched
   by /16 block plus the range test. Used only after checking that the cut
-  table has at most ``broadcast_max_rows`` rows.
-* ``bucketed``: an as-of lookup per /16 block. Addresses and range starts of
-  the block are sorted together and each address takes the last range that
-  started at or before it. A block holds at most 2^16 distinct addresses, so
-  no window partition is unbounded, however skewed the traffic; the ranges
-  table may have any size.
+  table has at most ``broadcast_max_rows`` rows. If the ranges are also
+  disjoint (checked on the same small table), every row of the input is
+  looked up where it is — one scan, no shuffle of the big side. Otherwise the
+  distinct addresses are looked up with a tie-break and joined back.
+* ``bucketed``: an as-of lookup per /16 block over the *distinct* addresses,
+  joined back. Addresses and range starts of a block are sorted together and
+  each address takes the last range that started at or before it. A block
+  holds at most 2^16 distinct addresses, so no window partition is unbounded,
+  however skewed the traffic; the ranges table may have any size.
 """
 
 from __future__ import annotations
@@ -78,26 +79,54 @@ def _lookup_bucketed(ips: DataFrame, cut: DataFrame) -> DataFrame:
     return found.select("ip_address", *[F.col(f"_hit.{c}").alias(c) for c in GEO_COLUMNS])
 
 
+def _choose(cut: DataFrame, method: str, broadcast_max_rows: int) -> str:
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}, got {method!r}")
+    if method != "auto":
+        return method
+    # size check on the (small) reference table only: a bounded count
+    fits = cut.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
+    return "broadcast" if fits else "bucketed"
+
+
+def ranges_disjoint(geo: DataFrame) -> bool:
+    """True if no two valid ranges overlap. One ordered pass over the ranges
+    table — call it only on a table whose size has been checked."""
+    valid = geo.where(F.col("ip_start") <= F.col("ip_end")).select("ip_start", "ip_end")
+    w = Window.orderBy("ip_start", "ip_end").rowsBetween(Window.unboundedPreceding, -1)
+    prev_end = F.max("ip_end").over(w)
+    return valid.select((prev_end >= F.col("ip_start")).alias("_o")).where("_o").limit(1).count() == 0
+
+
 def lookup_locations(ips: DataFrame, geo: DataFrame, method: str = "auto",
                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Distinct ``ip_address`` values → ``(ip_address, country, city,
     latitude, longitude)`` for the addresses inside some range."""
-    if method not in METHODS:
-        raise ValueError(f"method must be one of {METHODS}, got {method!r}")
     cut = cut_at_prefix16(geo)
-    if method == "auto":
-        # size check on the (small) reference table only: a bounded count
-        fits = cut.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
-        method = "broadcast" if fits else "bucketed"
-    if method == "broadcast":
+    if _choose(cut, method, broadcast_max_rows) == "broadcast":
         return _lookup_broadcast(ips, cut)
     return _lookup_bucketed(ips, cut)
 
 
+def _enrich_rows_broadcast(df: DataFrame, cut: DataFrame) -> DataFrame:
+    """Per-row lookup against broadcast, disjoint ranges (≤ 1 match a row)."""
+    num = ipv4_to_long(F.col("ip_address"))
+    rows = df.withColumn("_ip", num).withColumn("_p", prefix16(F.col("_ip")))
+    g = F.broadcast(cut.select(F.col("_p").alias("_gp"), "ip_start", "ip_end", *GEO_COLUMNS))
+    cond = (rows["_p"] == g["_gp"]) & rows["_ip"].between(g["ip_start"], g["ip_end"])
+    return rows.join(g, cond, "left").select(*df.columns, *GEO_COLUMNS)
+
+
 def enrich_geo(df: DataFrame, geo: DataFrame, method: str = "auto",
-               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               broadcast_max_rows: int = BROADCAST_MAX_ROWS, distinct: bool = True) -> DataFrame:
     """Add country, city, latitude and longitude to every row of ``df`` (by
-    its ``ip_address``); rows without a located address get NULLs."""
-    ips = df.select("ip_address").where(F.col("ip_address").isNotNull()).distinct()
-    located = lookup_locations(ips, geo, method, broadcast_max_rows)
-    return df.join(located, "ip_address", "left")
+    its ``ip_address``); rows without a located address get NULLs.
+    ``distinct=False`` when ``df`` already has one row per address."""
+    cut = cut_at_prefix16(geo)
+    method = _choose(cut, method, broadcast_max_rows)
+    if method == "broadcast" and ranges_disjoint(geo):
+        return _enrich_rows_broadcast(df, cut)
+    ips = df.select("ip_address").where(F.col("ip_address").isNotNull())
+    ips = ips.distinct() if distinct else ips
+    lookup = _lookup_broadcast if method == "broadcast" else _lookup_bucketed
+    return df.join(lookup(ips, cut), "ip_address", "left")

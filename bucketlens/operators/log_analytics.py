@@ -70,17 +70,27 @@ def hits_per_object(log: DataFrame, buckets=None) -> DataFrame:
 # --- A-2 / J-1 / O-5 ---------------------------------------------------------
 def hits_per_ip(log: DataFrame, buckets=None, geo: DataFrame | None = None, geo_method: str = "auto") -> DataFrame:
     """Requests per client address over all buckets, for the addresses that
-    touched a selected bucket (left-semi join), most active first.
+    touched a selected bucket, most active first.
 
-    Counting happens before the geo lookup, so the lookup sees one row per
-    address instead of one per request."""
+    One pass over the log: the count and a "touched a selected bucket" flag
+    are aggregated together (the reference's `HAVING ip IN (subquery)`).
+    An allow-list given as a DataFrame is applied to (address, bucket)
+    summaries by a join. The geo lookup runs on the per-address result."""
     rows = good_rows(log).where(F.col("ip_address").isNotNull())
-    out = rows.groupBy("ip_address").agg(F.count("ip_address").alias("hits"))
-    if buckets is not None:
-        touched = select_buckets(rows, buckets).select("ip_address").distinct()
-        out = out.join(touched, "ip_address", "left_semi")
+    if buckets is None:
+        out = rows.groupBy("ip_address").agg(F.count("ip_address").alias("hits"))
+    elif isinstance(buckets, DataFrame):
+        pairs = rows.groupBy("ip_address", "bucket_name").agg(F.count("ip_address").alias("_n"))
+        chosen = buckets.select("bucket_name").distinct().withColumn("_sel", F.lit(True))
+        flagged = pairs.join(chosen, "bucket_name", "left")
+        out = (flagged.groupBy("ip_address")
+               .agg(F.sum("_n").alias("hits"), F.max(F.coalesce(F.col("_sel"), F.lit(False))).alias("_touched"))
+               .where("_touched").drop("_touched"))
+    else:
+        touched = F.max(F.col("bucket_name").isin(list(buckets))).alias("_touched")
+        out = rows.groupBy("ip_address").agg(F.count("ip_address").alias("hits"), touched).where("_touched").drop("_touched")
     if geo is not None:
-        out = enrich_geo(out, geo, method=geo_method)
+        out = enrich_geo(out, geo, method=geo_method, distinct=False)
     return out.orderBy(F.desc("hits"), "ip_address")
 
 
@@ -110,63 +120,105 @@ def malformed_summary(parsed: DataFrame, by: list[str] | None = None) -> DataFra
 # --- W-2 ---------------------------------------------------------------------
 # Fixed fan-out of the prefix sum: sizes are cut into 16-bit digits, so no
 # window partition ever holds more than 2^16 rows, whatever the skew.
-_DIGIT_BITS = 16
 _LEVELS = (16, 32, 48)
+# Rows regenerated from a count are produced in chunks of at most this many.
+_CHUNK = 1 << 16
+
+
+def _size_counts(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """Distinct (group, value) with their row count: the map-side-combined
+    summary every per-row share is computed from."""
+    return rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _repeat_rows(df: DataFrame, count_col: str, cols: list[str]) -> DataFrame:
+    """Each row of ``df`` ``count_col`` times (only ``cols`` kept).
+
+    A count is first cut into chunks of ≤ 2^16, the chunks are spread
+    round-robin over the cluster, and each chunk is expanded where it lands,
+    so a (bucket, size) pair holding a third of all rows is regenerated by
+    every task, not by one."""
+    c = F.col(count_col)
+    n_chunks = F.floor((c + (_CHUNK - 1)) / _CHUNK).cast("bigint")
+    chunks = df.select(*cols, c, F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)).alias("_chunk"))
+    spread = chunks.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    length = F.least(F.lit(_CHUNK).cast("bigint"), c - F.col("_chunk") * _CHUNK).cast("int")
+    return spread.select(*cols, F.explode(F.array_repeat(F.lit(True), length)).alias("_one")).select(*cols)
+
+
+def _prefix_sums(counts: DataFrame, group: str, value: str) -> DataFrame:
+    """``(group, value, _c, running_sum)``: for each distinct (group, value)
+    with ``_c`` rows, the sum of ``value`` over all rows of the group with a
+    value ≤ it — the RANGE-frame running sum, without a per-group window.
+
+    1. weight of a distinct value: value × rows (exact decimal);
+    2. block totals of all three digit levels in one ``rollup`` aggregate;
+    3. one window over (group, level, parent block) gives running sums inside
+       each block (level 0: the values themselves) — ≤ 2^16 rows a partition;
+    4. a value's running sum = its running sum inside its 2^16 block plus the
+       exclusive running sums of its ancestors' blocks (three small joins).
+    """
+    blocks = ["_b1", "_b2", "_b3"]
+    base = counts.select(
+        group, value, "_c",
+        (F.col(value).cast("decimal(38,0)") * F.col("_c")).cast("decimal(38,0)").alias("_t"),
+        *[F.shiftright(F.col(value), s).alias(b) for s, b in zip(_LEVELS, blocks)],
+    )
+    totals = (
+        base.rollup(group, "_b3", "_b2", "_b1")
+        .agg(F.sum("_t").alias("_t"), F.grouping_id().alias("_gid"))
+        .where(F.col("_gid").isin(0, 1, 3))  # (…, _b1), (…, _b2), (…, _b3) levels
+    )
+    lvl = F.when(F.col("_gid") == 0, 1).when(F.col("_gid") == 1, 2).otherwise(3)
+    levels = totals.select(
+        group, lvl.alias("_lvl"),
+        F.when(F.col("_gid") == 0, F.col("_b2")).when(F.col("_gid") == 1, F.col("_b3")).otherwise(F.lit(0)).alias("_parent"),
+        F.when(F.col("_gid") == 0, F.col("_b1")).when(F.col("_gid") == 1, F.col("_b2")).otherwise(F.col("_b3")).alias("_child"),
+        "_t",
+    )
+    values = base.select(group, F.lit(0).alias("_lvl"), F.col("_b1").alias("_parent"), F.col(value).alias("_child"), "_t")
+    w = (Window.partitionBy(group, "_lvl", "_parent").orderBy("_child")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    run = values.unionByName(levels).withColumn("_incl", F.sum("_t").over(w))
 
+    def level(k: int, block: str) -> DataFrame:
+        ex = F.col("_incl") - F.col("_t")
+        return run.where(F.col("_lvl") == k).select(group, F.col("_child").alias(block), ex.alias(f"_ex{k}"))
 
-def _prefix_sums(rows: DataFrame, group: str, value: str) -> DataFrame:
-    """Per (group, value): sum of ``value`` over rows of the group with a value
-    ≤ it — the RANGE-frame running sum, computed without a per-group window.
-
-    1. pre-aggregate to distinct (group, value) with their partial sums;
-    2. running sum inside each 2^16-wide block of values (bounded window);
-    3. exclusive running sums of block totals, level by level (2^16 blocks
-       per window at most), added back down with joins of small tables.
-    """
-    v = F.col(value)
-    blocks = [f"_b{k}" for k in range(1, len(_LEVELS) + 1)]
-    base = rows.groupBy(group, value).agg(F.sum(value).alias("_t"))
-    base = base.select("*", *[F.shiftright(v, s).alias(b) for s, b in zip(_LEVELS, blocks)])
-    within = Window.partitionBy(group, blocks[0]).orderBy(value)
-    base = base.withColumn("_cum", F.sum("_t").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-
-    level_totals = []
-    child = base
-    for k, b in enumerate(blocks):
-        parent_cols = [group] + blocks[k + 1:]
-        tk = child.groupBy(group, *blocks[k:]).agg(F.sum("_t").alias("_t"))
-        w = Window.partitionBy(group, *blocks[k + 1:k + 2]).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-        level_totals.append(tk.withColumn("_ex", F.coalesce(F.sum("_t").over(w), F.lit(0))))
-        child = tk.select(*parent_cols, b, "_t")
-
-    up = level_totals[-1].select(group, blocks[-1], F.col("_ex").alias("_up"))
-    for k in range(len(blocks) - 2, -1, -1):
-        tk = level_totals[k].select(group, blocks[k], blocks[k + 1], "_ex")
-        up = tk.join(up, [group, blocks[k + 1]]).select(group, blocks[k], (F.col("_ex") + F.col("_up")).alias("_up"))
-    out = base.join(up, [group, blocks[0]])
-    return out.select(group, value, (F.col("_cum") + F.col("_up")).alias("running_sum"))
+    inside = run.where(F.col("_lvl") == 0).select(group, F.col("_child").alias(value), "_incl")
+    out = base.select(group, value, "_c", *blocks).join(inside, [group, value])
+    for k, b in enumerate(blocks, start=1):
+        out = out.join(level(k, b), [group, b])
+    running = F.col("_incl") + F.col("_ex1") + F.col("_ex2") + F.col("_ex3")
+    return out.select(group, value, "_c", running.alias("running_sum"))
 
 
 def running_percentage(log: DataFrame, buckets=None) -> DataFrame:
     """Running sum of object sizes per bucket in ascending size order (equal
-    sizes share a value, like a RANGE frame) × 100 ÷ the row's own size.
+    sizes share a value, like a RANGE frame) × 100 ÷ the row's own size; one
+    output row per log row.
 
     This is the literal reference formula: it is not a share of the total and
-    exceeds 100; a zero size gives NULL instead of an error."""
+    exceeds 100; a zero size gives NULL instead of an error. The log is read
+    once and only (bucket, size) summaries are shuffled."""
     rows = select_buckets(good_rows(log), buckets).select("bucket_name", "object_size")
-    running = _prefix_sums(rows, "bucket_name", "object_size")
-    out = rows.join(running, ["bucket_name", "object_size"])
+    running = _prefix_sums(_size_counts(rows, "bucket_name", "object_size"), "bucket_name", "object_size")
     pct = F.try_divide(F.col("running_sum").cast("double") * 100, F.col("object_size"))
-    return out.select("bucket_name", "object_size", pct.alias("running_percentage"))
+    summary = running.select("bucket_name", "object_size", "_c", pct.alias("running_percentage"))
+    return _repeat_rows(summary, "_c", ["bucket_name", "object_size", "running_percentage"])
 
 
 # --- W-3 ---------------------------------------------------------------------
 def percentage_of_bucket_total(log: DataFrame, buckets=None) -> DataFrame:
-    """Each request's object size as a percentage of its bucket's total.
+    """Each request's object size as a percentage of its bucket's total; one
+    output row per log row.
 
-    Bucket totals are a map-side-combined aggregate joined back on the bucket,
-    not a window over the whole bucket."""
+    Totals come from the (bucket, size) summary, not from a window over a
+    whole bucket, and the log is read once."""
     rows = select_buckets(good_rows(log), buckets).select("bucket_name", "object_size")
-    totals = rows.groupBy("bucket_name").agg(F.sum("object_size").alias("_total"))
-    share = F.try_divide(F.col("object_size").cast("double") * 100, F.col("_total"))
-    return rows.join(totals, "bucket_name").select("bucket_name", "object_size", share.alias("bucket_share"))
+    counts = _size_counts(rows, "bucket_name", "object_size")
+    weight = F.col("object_size").cast("decimal(38,0)") * F.col("_c")
+    totals = counts.groupBy("bucket_name").agg(F.sum(weight).alias("_total"))
+    share = F.try_divide(F.col("object_size").cast("double") * 100, F.col("_total").cast("double"))
+    summary = counts.join(totals, "bucket_name").select("bucket_name", "object_size", "_c", share.alias("bucket_share"))
+    return _repeat_rows(summary, "_c", ["bucket_name", "object_size", "bucket_share"])

@@ -83,3 +83,26 @@ def test_enrich_keeps_columns(spark):
     out = enrich_geo(df, fx.geo_ranges(spark))
     assert set(out.columns) == {"request_id", "ip_address", *GEO_COLUMNS}
     assert out.count() == 2
+
+
+def test_disjoint_small_ranges_enrich_rows_in_place(spark):
+    from conftest import SF001
+
+    from bucketlens.operators.parse import parse_access_log
+
+    log = parse_access_log(fx.raw_lines(spark, SF001))
+    text = plan_text(enrich_geo(log, fx.geo_ranges(spark)))
+    assert text.count("Scan parquet") == 1  # the log is read and parsed once
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin LeftOuter" in text
+
+
+def test_row_lookup_equals_distinct_lookup(spark):
+    rnd = random.Random(5)
+    ranges = random_ranges(rnd, 200)
+    addrs = [rnd.randrange(1 << 32) for _ in range(500)]
+    rows = [(f"r{i}", dotted(rnd.choice(addrs))) for i in range(3000)] + [("rn", None), ("rx", "-")]
+    df = spark.createDataFrame(rows, "request_id string, ip_address string")
+    geo = spark.createDataFrame(ranges, GEO)
+    a = sorted(tuple(r) for r in enrich_geo(df, geo, method="broadcast").select("request_id", *GEO_COLUMNS).collect())
+    b = sorted(tuple(r) for r in enrich_geo(df, geo, method="bucketed").select("request_id", *GEO_COLUMNS).collect())
+    assert a == b and len(a) == len(rows)

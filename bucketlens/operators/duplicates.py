@@ -107,12 +107,13 @@ def byte_classes(objects: DataFrame, checksums) -> DataFrame:
     without being read.
     """
     objects = objects.select("bucket_name", "key", "size")
-    shared = objects.groupBy("size").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") > 1).select("size")
-    candidates = objects.join(shared, "size", "left_semi")
+    per_size = objects.groupBy("size").agg(F.count(F.lit(1)).alias("_k"))
+    sized = objects.join(per_size, "size")
+    candidates = sized.where(F.col("_k") > 1).select("bucket_name", "key", "size")
     empty = candidates.where(F.col("size") == 0).withColumn("checksum", F.lit(EMPTY_MD5))
     hashed = checksums(candidates.where(F.col("size") != 0))
     both = empty.unionByName(hashed.select("bucket_name", "key", "size", "checksum"))
-    alone = objects.join(shared, "size", "left_anti").select(
+    alone = sized.where(F.col("_k") == 1).select(
         "bucket_name", "key", object_path(F.col("bucket_name"), F.col("key")).alias("class_id"),
         F.lit(1).cast("bigint").alias("n_copies"),
     )

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import duplicates as dup
 from ..operators import geo as geo_ops
@@ -75,7 +76,7 @@ def _line_query(op, mode: str) -> Query:
 
 
 def _duplicates_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = fx.object_inventory(spark, sf_dir).join(_files(spark, sf_dir), ["bucket_name", "key"], "left_semi")
+    files = fx.object_inventory(spark, sf_dir).where(~F.col("key").endswith("/"))
     return dup.duplicate_files_bytes(files, dup.md5_of_column(fx.object_texts(spark, sf_dir)))
 
 

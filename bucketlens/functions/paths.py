@@ -18,6 +18,13 @@ def object_path(bucket: Column, key: Column) -> Column:
     return F.concat_ws(SEPARATOR, bucket, key)
 
 
+def object_uri(root: str, bucket: Column, key: Column) -> Column:
+    """Readable location of an object: `root` (e.g. `s3a://`, or a folder
+    holding one sub-folder per bucket) + `bucket/key`."""
+    base = root if root.endswith("/") or root.endswith("://") else root + "/"
+    return F.concat(F.lit(base), object_path(bucket, key))
+
+
 def is_root(key: Column) -> Column:
     return key == F.lit("")
 

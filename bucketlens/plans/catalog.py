@@ -13,6 +13,7 @@ from ..operators import geo as geo_ops
 from ..operators import inventory as inv
 from ..operators import log_analytics as la
 from ..operators.parse import parse_access_log
+from ..sources.views import register_views
 from . import fixtures as fx
 from .oracle import ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS
 
@@ -26,7 +27,7 @@ def _log(spark: SparkSession, sf_dir: str, mode: str = "strict") -> DataFrame:
 def _top_buckets_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-4: the parsed log registered as a view and queried with bound
     parameters (never spliced into the SQL text)."""
-    _log(spark, sf_dir).createOrReplaceTempView("access_log")
+    register_views(access_log=_log(spark, sf_dir))
     return spark.sql(
         """SELECT bucket_name, sum(object_size) AS total_size
            FROM access_log WHERE NOT is_malformed

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.paths import object_uri
 from .inventory import split_bucket_key
 
 # Fixed value: read size per chunk when hashing a file's bytes.
@@ -73,3 +74,16 @@ def file_checksums(objects: DataFrame, partitions: int | None = None):
         return with_path.join(sums, "path").select("bucket_name", "key", "size", "checksum")
 
     return checksums
+
+
+def inventory_checksums(root: str, partitions: int | None = None):
+    """A ``checksums`` function for objects of an inventory table: each
+    candidate is read at ``root + bucket/key`` (e.g. ``root="s3a://"``), so
+    no listing is needed and only candidates are opened."""
+
+    def checksums(candidates: DataFrame) -> DataFrame:
+        with_path = candidates.withColumn("path", object_uri(root, F.col("bucket_name"), F.col("key")))
+        sums = md5_of_files(with_path, partitions)
+        return with_path.join(sums, "path").select("bucket_name", "key", "size", "checksum")
+
+    return checksums

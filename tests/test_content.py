@@ -129,3 +129,18 @@ def test_unknown_mode(spark):
     df = spark.createDataFrame([("b", "k", "x")], "bucket_name string, key string, line string")
     with pytest.raises(ValueError):
         dup.line_classes(df.select("bucket_name", "key"), df, "words")
+
+
+def test_bytes_from_inventory_and_root(spark):
+    from bucketlens.sources.content import inventory_checksums
+
+    files = {"b/one.bin": b"same bytes", "c/two.bin": b"same bytes", "c/three.bin": b"diff bytes", "c/big.bin": b"x" * 99}
+    root = write_tree(files)
+    inventory = spark.createDataFrame([("b", "one.bin", 10), ("c", "two.bin", 10), ("c", "three.bin", 10),
+                                       ("c", "big.bin", 99), ("b", "z0", 0), ("c", "z1", 0)],
+                                      "bucket_name string, key string, size bigint")
+    got = classes(dup.byte_classes(inventory, inventory_checksums("file://" + root)))
+    assert got == {frozenset({"b/one.bin", "c/two.bin"}), frozenset({"c/three.bin"}), frozenset({"c/big.bin"}),
+                   frozenset({"b/z0", "c/z1"})}
+    copies = dup.duplicate_files_bytes(inventory, inventory_checksums("file://" + root)).collect()
+    assert [(r.class_id, r.n_copies) for r in copies] == [("b/one.bin", 2), ("b/one.bin", 2), ("b/z0", 2), ("b/z0", 2)]

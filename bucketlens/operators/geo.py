@@ -79,23 +79,39 @@ def _lookup_bucketed(ips: DataFrame, cut: DataFrame) -> DataFrame:
     return found.select("ip_address", *[F.col(f"_hit.{c}").alias(c) for c in GEO_COLUMNS])
 
 
-def _choose(cut: DataFrame, method: str, broadcast_max_rows: int) -> str:
+def _inspect(geo: DataFrame, broadcast_max_rows: int) -> tuple[bool, bool]:
+    """One small action on the ranges table, bounded by ``broadcast_max_rows``:
+    (does the /16-cut table fit the broadcast bound, are the ranges disjoint).
+    Only the first ``broadcast_max_rows + 1`` ranges are looked at; beyond
+    that the table does not fit, and disjointness is not needed."""
+    valid = geo.where(F.col("ip_start") <= F.col("ip_end")).select("ip_start", "ip_end")
+    head = valid.limit(broadcast_max_rows + 1)
+    w = Window.orderBy("ip_start", "ip_end").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = prefix16(F.col("ip_end")) - prefix16(F.col("ip_start")) + 1
+    stats = head.select(blocks.alias("_k"), (F.max("ip_end").over(w) >= F.col("ip_start")).alias("_o")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_k").alias("cut"), F.max("_o").alias("overlap")
+    ).collect()[0]
+    fits = stats.n <= broadcast_max_rows and (stats.cut or 0) <= broadcast_max_rows
+    return fits, not stats.overlap
+
+
+def _choose(geo: DataFrame, method: str, broadcast_max_rows: int) -> tuple[str, bool]:
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
-    if method != "auto":
-        return method
-    # size check on the (small) reference table only: a bounded count
-    fits = cut.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
-    return "broadcast" if fits else "bucketed"
+    if method == "bucketed":
+        return method, False
+    fits, disjoint = _inspect(geo, broadcast_max_rows)
+    if method == "auto":
+        method = "broadcast" if fits else "bucketed"
+    return method, disjoint and fits
 
 
-def ranges_disjoint(geo: DataFrame) -> bool:
-    """True if no two valid ranges overlap. One ordered pass over the ranges
-    table — call it only on a table whose size has been checked."""
-    valid = geo.where(F.col("ip_start") <= F.col("ip_end")).select("ip_start", "ip_end")
-    w = Window.orderBy("ip_start", "ip_end").rowsBetween(Window.unboundedPreceding, -1)
-    prev_end = F.max("ip_end").over(w)
-    return valid.select((prev_end >= F.col("ip_start")).alias("_o")).where("_o").limit(1).count() == 0
+def ranges_disjoint(geo: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True if no two valid ranges overlap (checked on a size-bounded table)."""
+    fits, disjoint = _inspect(geo, broadcast_max_rows)
+    if not fits:
+        raise ValueError("ranges table larger than the bound; not checked")
+    return disjoint
 
 
 def lookup_locations(ips: DataFrame, geo: DataFrame, method: str = "auto",
@@ -103,7 +119,7 @@ def lookup_locations(ips: DataFrame, geo: DataFrame, method: str = "auto",
     """Distinct ``ip_address`` values → ``(ip_address, country, city,
     latitude, longitude)`` for the addresses inside some range."""
     cut = cut_at_prefix16(geo)
-    if _choose(cut, method, broadcast_max_rows) == "broadcast":
+    if _choose(geo, method, broadcast_max_rows)[0] == "broadcast":
         return _lookup_broadcast(ips, cut)
     return _lookup_bucketed(ips, cut)
 
@@ -123,8 +139,8 @@ def enrich_geo(df: DataFrame, geo: DataFrame, method: str = "auto",
     its ``ip_address``); rows without a located address get NULLs.
     ``distinct=False`` when ``df`` already has one row per address."""
     cut = cut_at_prefix16(geo)
-    method = _choose(cut, method, broadcast_max_rows)
-    if method == "broadcast" and ranges_disjoint(geo):
+    method, in_place = _choose(geo, method, broadcast_max_rows)
+    if method == "broadcast" and in_place:
         return _enrich_rows_broadcast(df, cut)
     ips = df.select("ip_address").where(F.col("ip_address").isNotNull())
     ips = ips.distinct() if distinct else ips

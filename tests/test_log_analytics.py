@@ -105,3 +105,23 @@ def test_plans_use_the_intended_operators(spark):
 def test_no_python_in_any_registered_query(spark):
     for name, fn in catalog.queries().items():
         assert not uses_python(fn(spark, SF001)), name
+
+
+def test_shares_under_one_hot_bucket(spark):
+    """A third of the rows in one bucket, many of them with one size: both
+    shares equal the plain-window definitions, row for row."""
+    rnd = random.Random(13)
+    rows = [("hot", "k", 0 if i % 3 else rnd.randrange(1 << 20), None, 0, False) for i in range(3000)]
+    rows += [(f"b{i % 40}", "k", rnd.randrange(1 << 34), None, 0, False) for i in range(6000)]
+    df = log(spark, rows)
+    w_run = Window.partitionBy("bucket_name").orderBy("object_size").rangeBetween(Window.unboundedPreceding, 0)
+    ref_run = df.select("bucket_name", "object_size",
+                        F.try_divide(F.sum("object_size").over(w_run).cast("double") * 100, F.col("object_size")).alias("p"))
+    got_run = la.running_percentage(df)
+    assert sorted(tuple(r) for r in got_run.collect()) == sorted(tuple(r) for r in ref_run.collect())
+    w_all = Window.partitionBy("bucket_name")
+    ref_share = df.select("bucket_name", "object_size",
+                          F.try_divide(F.col("object_size").cast("double") * 100,
+                                       F.sum("object_size").over(w_all).cast("double")).alias("s"))
+    got_share = la.percentage_of_bucket_total(df)
+    assert sorted(tuple(r) for r in got_share.collect()) == sorted(tuple(r) for r in ref_share.collect())

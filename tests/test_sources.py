@@ -1,0 +1,36 @@
+import gzip
+import os
+import tempfile
+
+from test_parse import line
+
+from bucketlens.operators.log_analytics import malformed_summary, top_buckets_by_size
+from bucketlens.sources.inventory import read_inventory
+from bucketlens.sources.logs import read_access_logs
+
+
+def test_read_logs_from_files_with_source_accounting(spark):
+    root = tempfile.mkdtemp(prefix="bucketlens-logs-")
+    good = [line(size="100"), line(size="50")]
+    with open(os.path.join(root, "a.log"), "w") as f:
+        f.write("\n".join(good + ["garbage line"]) + "\n")
+    os.makedirs(os.path.join(root, "2019", "02"))
+    with gzip.open(os.path.join(root, "2019", "02", "b.log.gz"), "wt") as f:
+        f.write(line(size="7") + "\r\n")
+    log = read_access_logs(spark, root, mode="strict", keep_source=True)
+    per_file = {os.path.basename(r.source_file): (r.lines, r.good_lines, r.malformed_lines)
+                for r in malformed_summary(log, by=["source_file"]).collect()}
+    assert per_file == {"a.log": (3, 2, 1), "b.log.gz": (1, 1, 0)}
+    assert [(r.bucket_name, r.total_size) for r in top_buckets_by_size(log).collect()] == [("mybucket", 157)]
+
+
+def test_read_inventory_parquet_and_csv(spark):
+    root = tempfile.mkdtemp(prefix="bucketlens-inv-")
+    rows = [("b", "d/", 0), ("b", "d/x.txt", 12), ("c", "_hidden", 0)]
+    df = spark.createDataFrame(rows, "bucket_name string, key string, size long")
+    df.write.parquet(os.path.join(root, "pq"))
+    with open(os.path.join(root, "inv.csv"), "w") as f:
+        f.write("\n".join(f"{b},{k},{s}" for b, k, s in rows) + "\n")
+    for inv in (read_inventory(spark, os.path.join(root, "pq")), read_inventory(spark, os.path.join(root, "inv.csv"), fmt="csv")):
+        assert inv.dtypes == [("bucket_name", "string"), ("key", "string"), ("size", "bigint")]
+        assert sorted(tuple(r) for r in inv.collect()) == sorted(rows)

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .geo import enrich_geo
@@ -118,9 +118,10 @@ def malformed_summary(parsed: DataFrame, by: list[str] | None = None) -> DataFra
 
 
 # --- W-2 ---------------------------------------------------------------------
-# Fixed fan-out of the prefix sum: sizes are cut into 16-bit digits, so no
-# window partition ever holds more than 2^16 rows, whatever the skew.
-_LEVELS = (16, 32, 48)
+# Fixed fan-out of the prefix sum: sizes are cut into 21-bit digits (two
+# levels cover every non-negative bigint), so no window partition ever holds
+# more than 2^21 rows, whatever the skew.
+_SHIFTS = (21, 42)
 # Rows regenerated from a count are produced in chunks of at most this many.
 _CHUNK = 1 << 16
 
@@ -151,46 +152,30 @@ def _prefix_sums(counts: DataFrame, group: str, value: str) -> DataFrame:
     with ``_c`` rows, the sum of ``value`` over all rows of the group with a
     value ≤ it — the RANGE-frame running sum, without a per-group window.
 
-    1. weight of a distinct value: value × rows (exact decimal);
-    2. block totals of all three digit levels in one ``rollup`` aggregate;
-    3. one window over (group, level, parent block) gives running sums inside
-       each block (level 0: the values themselves) — ≤ 2^16 rows a partition;
-    4. a value's running sum = its running sum inside its 2^16 block plus the
-       exclusive running sums of its ancestors' blocks (three small joins).
+    A value's running sum is its running sum inside its 2^21-wide block, plus
+    the sum of the earlier blocks inside its 2^42-wide block, plus the sum of
+    the earlier 2^42-wide blocks of the group. Each term is one bounded window
+    (≤ 2^21 rows a partition) over a summary, added with joins on block keys.
     """
-    blocks = ["_b1", "_b2", "_b3"]
-    base = counts.select(
-        group, value, "_c",
-        (F.col(value).cast("decimal(38,0)") * F.col("_c")).cast("decimal(38,0)").alias("_t"),
-        *[F.shiftright(F.col(value), s).alias(b) for s, b in zip(_LEVELS, blocks)],
-    )
-    totals = (
-        base.rollup(group, "_b3", "_b2", "_b1")
-        .agg(F.sum("_t").alias("_t"), F.grouping_id().alias("_gid"))
-        .where(F.col("_gid").isin(0, 1, 3))  # (…, _b1), (…, _b2), (…, _b3) levels
-    )
-    lvl = F.when(F.col("_gid") == 0, 1).when(F.col("_gid") == 1, 2).otherwise(3)
-    levels = totals.select(
-        group, lvl.alias("_lvl"),
-        F.when(F.col("_gid") == 0, F.col("_b2")).when(F.col("_gid") == 1, F.col("_b3")).otherwise(F.lit(0)).alias("_parent"),
-        F.when(F.col("_gid") == 0, F.col("_b1")).when(F.col("_gid") == 1, F.col("_b2")).otherwise(F.col("_b3")).alias("_child"),
-        "_t",
-    )
-    values = base.select(group, F.lit(0).alias("_lvl"), F.col("_b1").alias("_parent"), F.col(value).alias("_child"), "_t")
-    w = (Window.partitionBy(group, "_lvl", "_parent").orderBy("_child")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run = values.unionByName(levels).withColumn("_incl", F.sum("_t").over(w))
-
-    def level(k: int, block: str) -> DataFrame:
-        ex = F.col("_incl") - F.col("_t")
-        return run.where(F.col("_lvl") == k).select(group, F.col("_child").alias(block), ex.alias(f"_ex{k}"))
-
-    inside = run.where(F.col("_lvl") == 0).select(group, F.col("_child").alias(value), "_incl")
-    out = base.select(group, value, "_c", *blocks).join(inside, [group, value])
-    for k, b in enumerate(blocks, start=1):
-        out = out.join(level(k, b), [group, b])
-    running = F.col("_incl") + F.col("_ex1") + F.col("_ex2") + F.col("_ex3")
-    return out.select(group, value, "_c", running.alias("running_sum"))
+    b1, b2 = "_b1", "_b2"
+    weight = (F.col(value).cast("decimal(38,0)") * F.col("_c")).cast("decimal(38,0)")
+    base = counts.select(group, value, "_c", weight.alias("_t"),
+                         F.shiftright(F.col(value), _SHIFTS[0]).alias(b1),
+                         F.shiftright(F.col(value), _SHIFTS[1]).alias(b2))
+
+    def running(df: DataFrame, parts: list[str], order: str, inclusive: bool) -> Column:
+        w = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        total = F.sum("_t").over(w)
+        return total if inclusive else total - F.col("_t")
+
+    inside = base.withColumn("_in", running(base, [group, b1], value, True))
+    t1 = base.groupBy(group, b2, b1).agg(F.sum("_t").alias("_t"))
+    ex1 = t1.select(group, b1, running(t1, [group, b2], b1, False).alias("_ex1"))
+    t2 = base.groupBy(group, b2).agg(F.sum("_t").alias("_t"))
+    ex2 = t2.select(group, b2, running(t2, [group], b2, False).alias("_ex2"))
+    out = inside.join(ex1, [group, b1]).join(ex2, [group, b2])
+    total = F.col("_in") + F.col("_ex1") + F.col("_ex2")
+    return out.select(group, value, "_c", total.alias("running_sum"))
 
 
 def running_percentage(log: DataFrame, buckets=None) -> DataFrame:

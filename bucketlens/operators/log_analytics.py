@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .geo import enrich_geo
+from ..parallelism import default_parallelism
 
 
 def good_rows(log: DataFrame) -> DataFrame:
@@ -142,7 +143,7 @@ def _repeat_rows(df: DataFrame, count_col: str, cols: list[str]) -> DataFrame:
     c = F.col(count_col)
     n_chunks = F.floor((c + (_CHUNK - 1)) / _CHUNK).cast("bigint")
     chunks = df.select(*cols, c, F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)).alias("_chunk"))
-    spread = chunks.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    spread = chunks.repartition(default_parallelism(df.sparkSession))
     length = F.least(F.lit(_CHUNK).cast("bigint"), c - F.col("_chunk") * _CHUNK).cast("int")
     return spread.select(*cols, F.explode(F.array_repeat(F.lit(True), length)).alias("_one")).select(*cols)
 

@@ -1,0 +1,14 @@
+"""How many tasks to spread work over."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """The cluster's default parallelism (total executor cores); the shuffle
+    partition setting where the context is not reachable (Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import object_path
+from ..parallelism import default_parallelism
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +22,7 @@ def spread(df: DataFrame) -> DataFrame:
     one task; real inputs (many log files, many objects) arrive already split.
     Spread the rows over the cores before the per-line work, as a file source
     would. Library operators never do this."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(default_parallelism(df.sparkSession))
 
 
 def _when_mod(n: Column, m: int, then, otherwise) -> Column:

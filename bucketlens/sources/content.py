@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import object_uri
 from .inventory import split_bucket_key
+from ..parallelism import default_parallelism
 
 # Fixed value: read size per chunk when hashing a file's bytes.
 CHUNK_BYTES = 1 << 22
@@ -59,7 +60,7 @@ def md5_of_files(paths: DataFrame, partitions: int | None = None) -> DataFrame:
 
     The paths are spread round-robin first, so files of one hot size (or one
     bucket) do not all land in one task."""
-    n = partitions or paths.sparkSession.sparkContext.defaultParallelism
+    n = partitions or default_parallelism(paths.sparkSession)
     spread = paths.select("path").repartition(n)
     return spread.mapInPandas(_md5_batches, "path string, checksum string")
 

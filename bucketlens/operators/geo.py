@@ -31,6 +31,8 @@ from ..functions.network import PREFIX16_SHIFT, ipv4_to_long, prefix16
 GEO_COLUMNS = ("country", "city", "latitude", "longitude")
 # Cut ranges above this many rows are not broadcast (≈60 bytes a row).
 BROADCAST_MAX_ROWS = 250_000
+# "auto" and "broadcast" broadcast only after the size check passes (and fall
+# back to "bucketed" otherwise); "bucketed" never broadcasts the ranges.
 METHODS = ("auto", "broadcast", "bucketed")
 
 
@@ -101,8 +103,8 @@ def _choose(geo: DataFrame, method: str, broadcast_max_rows: int) -> tuple[str,
     if method == "bucketed":
         return method, False
     fits, disjoint = _inspect(geo, broadcast_max_rows)
-    if method == "auto":
-        method = "broadcast" if fits else "bucketed"
+    # "broadcast" and "auto" both broadcast only behind the size check
+    method = "broadcast" if fits else "bucketed"
     return method, disjoint and fits
 
 

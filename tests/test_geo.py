@@ -106,3 +106,9 @@ def test_row_lookup_equals_distinct_lookup(spark):
     a = sorted(tuple(r) for r in enrich_geo(df, geo, method="broadcast").select("request_id", *GEO_COLUMNS).collect())
     b = sorted(tuple(r) for r in enrich_geo(df, geo, method="bucketed").select("request_id", *GEO_COLUMNS).collect())
     assert a == b and len(a) == len(rows)
+
+
+def test_forced_broadcast_still_checks_size(spark):
+    ips = spark.createDataFrame([("10.0.0.1",)], "ip_address string")
+    text = plan_text(lookup_locations(ips, fx.geo_ranges(spark), method="broadcast", broadcast_max_rows=2))
+    assert "Window" in text  # the bucketed as-of lookup, not a broadcast of an unchecked table

@@ -127,3 +127,9 @@ def test_shares_under_one_hot_bucket(spark):
                                        F.sum("object_size").over(w_all).cast("double")).alias("s"))
     got_share = la.percentage_of_bucket_total(df)
     assert sorted(tuple(r) for r in got_share.collect()) == sorted(tuple(r) for r in ref_share.collect())
+
+
+def test_bucket_names_are_bound_not_spliced(spark):
+    df = log(spark, [("a'b", "k", 1, None, 0, False), ("c", "k", 2, None, 0, False)])
+    assert [r.bucket_name for r in la.top_objects_per_bucket(df, buckets=["a'b"]).collect()] == ["a'b"]
+    assert la.top_objects_per_bucket(df, buckets=[]).count() == 0

@@ -6,7 +6,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import duplicates as dup
 from ..operators import geo as geo_ops
@@ -66,7 +65,7 @@ LOG_QUERIES: dict[str, Query] = {
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inv.file_paths(fx.object_inventory(spark, sf_dir))
+    return inv.file_paths(fx.object_files(spark, sf_dir))
 
 
 def _line_query(op, mode: str) -> Query:
@@ -77,8 +76,7 @@ def _line_query(op, mode: str) -> Query:
 
 
 def _duplicates_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = fx.object_inventory(spark, sf_dir).where(~F.col("key").endswith("/"))
-    return dup.duplicate_files_bytes(files, dup.md5_of_column(fx.object_texts(spark, sf_dir)))
+    return dup.duplicate_files_bytes(fx.object_files(spark, sf_dir), dup.md5_of_column(fx.object_texts(spark, sf_dir)))
 
 
 OBJECT_QUERIES: dict[str, Query] = {

@@ -77,14 +77,23 @@ def _file_key(docs: DataFrame) -> Column:
     return F.concat(F.lit("docs/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"), suffix)
 
 
-def object_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`(bucket_name, key, size)`: one file per document plus directory markers."""
-    docs = table(spark, sf_dir, "documents")
-    files = docs.select(
+def _files_of(docs: DataFrame) -> DataFrame:
+    return docs.select(
         F.col("source").alias("bucket_name"),
         _file_key(docs).alias("key"),
         F.octet_length("text").cast("bigint").alias("size"),
     )
+
+
+def object_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`(bucket_name, key, size)`: one file object per document."""
+    return _files_of(table(spark, sf_dir, "documents"))
+
+
+def object_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`(bucket_name, key, size)`: one file per document plus directory markers."""
+    docs = table(spark, sf_dir, "documents")
+    files = _files_of(docs)
     dirs = docs.select(
         F.col("source").alias("bucket_name"),
         F.concat(F.lit("docs/"), F.col("lang"), F.lit("/")).alias("key"),

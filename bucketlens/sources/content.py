@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import object_uri
-from .inventory import split_bucket_key
+from .inventory import file_path_column, split_bucket_key
 from ..parallelism import default_parallelism
 
 # Fixed value: read size per chunk when hashing a file's bytes.
@@ -24,18 +24,27 @@ CHUNK_BYTES = 1 << 22
 def read_object_lines(spark: SparkSession, root: str) -> DataFrame:
     """``(bucket_name, key, line)`` for every line of every file below ``root``."""
     lines = spark.read.option("recursiveFileLookup", "true").text(root)
-    return lines.select(*split_bucket_key(F.col("_metadata.file_path"), root), F.col("value").alias("line"))
+    return lines.select(*split_bucket_key(file_path_column(), root), F.col("value").alias("line"))
 
 
 def _arrow_location(path: str):
+    """A Spark/Hadoop file path (decoded, as listings give it) → pyarrow
+    filesystem + path. The path is split by hand: `#`, `%` or spaces in a
+    name must not be read as URI syntax."""
+    import re
+
     import pyarrow.fs as pafs
 
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
-    for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
-        if path.startswith(hadoop):
-            path = arrow + path[len(hadoop):]
-    return pafs.FileSystem.from_uri(path)
+    m = re.match(r"^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(/.*)$", path)
+    if not m:
+        return pafs.LocalFileSystem(), path
+    scheme, authority, rest = m.group(1).lower(), m.group(2) or "", m.group(3)
+    if scheme == "file":
+        return pafs.LocalFileSystem(), rest
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    fs, _ = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    # object stores address `bucket/key`; other filesystems the bare path
+    return fs, (authority + rest) if scheme in ("s3", "gs", "gcs") else rest
 
 
 def _md5_batches(batches):

@@ -40,6 +40,14 @@ def _strip_scheme(path: Column | str):
     return F.regexp_replace(path, pattern, "")
 
 
+def file_path_column() -> Column:
+    """The source file of a row read by a file source, decoded: the hidden
+    ``_metadata.file_path`` is a URI (`a%20b.txt`), listings give `a b.txt`.
+    A literal `+` is protected from form decoding first."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
+
+
 def split_bucket_key(path: Column, root: str) -> list[Column]:
     """A file URI under ``root`` → ``bucket_name`` (first folder), ``key``."""
     base = _strip_scheme(root).rstrip("/") + "/"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.parse import parse_access_log
+from .inventory import file_path_column
 
 
 def read_log_lines(spark: SparkSession, path, recursive: bool = True) -> DataFrame:
@@ -15,7 +16,7 @@ def read_log_lines(spark: SparkSession, path, recursive: bool = True) -> DataFra
     small log files are packed into one task by `spark.sql.files.openCostInBytes`.
     """
     reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
-    return reader.text(path).selectExpr("value", "_metadata.file_path AS source_file")
+    return reader.text(path).select("value", file_path_column().alias("source_file"))
 
 
 def read_access_logs(spark: SparkSession, path, mode: str = "strict", keep_source: bool = False) -> DataFrame:

@@ -144,3 +144,14 @@ def test_bytes_from_inventory_and_root(spark):
                    frozenset({"b/z0", "c/z1"})}
     copies = dup.duplicate_files_bytes(inventory, inventory_checksums("file://" + root)).collect()
     assert [(r.class_id, r.n_copies) for r in copies] == [("b/one.bin", 2), ("b/one.bin", 2), ("b/z0", 2), ("b/z0", 2)]
+
+
+def test_odd_file_names(spark):
+    names = ["b/a b.txt", "b/p%20q.txt", "c/x#y.txt", "c/1+1.txt", "c/ü.txt"]
+    root = write_tree({n: b"same\n" for n in names})
+    listed = list_objects(spark, root)
+    lines = read_object_lines(spark, root)
+    assert {f"{r.bucket_name}/{r.key}" for r in lines.collect()} == set(names)
+    by_lines = classes(dup.line_classes(listed, lines, "lines"))
+    by_bytes = classes(dup.byte_classes(listed, file_checksums(listed)))
+    assert by_lines == by_bytes == {frozenset(names)}

@@ -13,12 +13,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.parse import parse_access_log
+from ..sources.inventory import file_path_column
 
 
 def read_access_log_stream(spark: SparkSession, path: str, mode: str = "strict",
-                           max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming ``access_log`` rows from new text files under ``path``."""
+                           max_files_per_trigger: int | None = None, keep_source: bool = False) -> DataFrame:
+    """Streaming ``access_log`` rows from new text files under ``path``
+    (with ``source_file`` when ``keep_source``, e.g. for
+    ``malformed_summary(log, by=["source_file"])`` per delivered file)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return parse_access_log(reader.load(path), mode=mode)
+    lines = reader.load(path)
+    if not keep_source:
+        return parse_access_log(lines, mode=mode)
+    lines = lines.select("value", file_path_column().alias("source_file"))
+    return parse_access_log(lines, mode=mode, keep=["source_file"])

@@ -24,3 +24,24 @@ def test_stream_equals_batch(spark):
     batch = top_buckets_by_size(parse_access_log(spark.read.text(logs)), n=None)
     assert got == sorted(tuple(r) for r in batch.collect())
     assert len(got) == 50
+
+
+def test_stream_malformed_per_file(spark):
+    from bucketlens.operators.log_analytics import malformed_summary
+
+    root = tempfile.mkdtemp(prefix="bucketlens-stream-")
+    logs = os.path.join(root, "logs")
+    os.makedirs(logs)
+    from test_parse import line
+
+    with open(os.path.join(logs, "one.log"), "w") as f:
+        f.write(line() + "\nbroken\n")
+    stream = read_access_log_stream(spark, logs, keep_source=True)
+    q = (malformed_summary(stream, by=["source_file"]).writeStream.outputMode("complete").format("memory")
+         .queryName("per_file").option("checkpointLocation", os.path.join(root, "ckpt")).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = spark.sql("SELECT * FROM per_file").collect()
+    assert [(os.path.basename(r.source_file), r.lines, r.good_lines, r.malformed_lines) for r in rows] == [("one.log", 2, 1, 1)]

@@ -87,7 +87,7 @@ TOLERANT_FIELDS = (
     FieldPattern("version_id", r"\S+"),
 )
 TOLERANT_TAIL = r"(?: .*)?"
-# Positional mode: split on single spaces. Token 2 is `[dd/MMM/yyyy:HH:mm:ss`,
+# Positional mode: split on single spaces (trailing spaces make no tokens). Token 2 is `[dd/MMM/yyyy:HH:mm:ss`,
 # token 3 the `+hhmm]` offset, tokens 9, 10 and 11 are joined without spaces
 # into the URI, tokens after 20 are ignored; fewer than 21 tokens is malformed.
 POSITIONAL_TOKENS = {
@@ -194,7 +194,8 @@ def split_stage(value: Column, mode: str) -> Column:
     length when the line does not match). It runs inside a generator of its
     own, so the regex is evaluated once per line."""
     if mode == "positional":
-        return F.split(value, " ", -1)
+        # trailing separators make no tokens (a missing last field stays missing)
+        return F.split(F.rtrim(value), " ", -1)
     fields, tail = (STRICT_FIELDS, STRICT_TAIL) if mode == "strict" else (TOLERANT_FIELDS, TOLERANT_TAIL)
     return _split_fields(value, fields, tail)
 

@@ -103,7 +103,7 @@ def _positional_log(name: str) -> str:
     return f"""{name} AS (
   SELECT
     {_typed(raw, "ok", strict_ip=False)}
-  FROM (SELECT t, len(t) >= {POSITIONAL_MIN_TOKENS} AS ok FROM (SELECT string_split(value, ' ') AS t FROM raw_lines))
+  FROM (SELECT t, len(t) >= {POSITIONAL_MIN_TOKENS} AS ok FROM (SELECT string_split(rtrim(value, ' '), ' ') AS t FROM raw_lines))
 )"""
 
 

@@ -149,3 +149,11 @@ def test_keep_carries_columns(spark):
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         parse_access_log(lines_df(spark, [line()]), mode="loose")
+
+
+def test_positional_trailing_space_makes_no_token(spark):
+    short = " ".join(line().split(" ")[:-1]) + " "  # version id missing, line ends in a space
+    (r,) = parse(spark, [short], "positional")
+    assert r.is_malformed
+    (ok,) = parse(spark, [line() + "  "], "positional")
+    assert not ok.is_malformed and ok.version_id == "-"

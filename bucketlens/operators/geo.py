@@ -2,21 +2,20 @@
 a join against a ``geo_ranges(ip_start, ip_end, country, city, latitude,
 longitude)`` table of inclusive IPv4 ranges).
 
-A row is never multiplied: each address gets at most one range (the
-containing range with the greatest start, then the smallest end — ranges are
-expected not to overlap, as in GeoIP databases).
-
-Two strategies, same result on non-overlapping ranges:
-
-* ``broadcast``: the ranges, cut at /16 boundaries, are broadcast and matched
-  by /16 block plus the range test. Used only after checking that the cut
-  table has at most ``broadcast_max_rows`` rows. If the ranges are also
-  disjoint (checked on the same small table), every row of the input is
-  looked up where it is — one scan, no shuffle of the big side. Otherwise the
-  distinct addresses are looked up with a tie-break and joined back.
+A row is never multiplied: each address gets at most one range — the
+containing range with the greatest start, then the smallest end, then the
+smallest (country, city, latitude, longitude). GeoIP tables are disjoint, and
+that is checked; a table with overlaps is first painted into disjoint
+segments that carry exactly that winner (a sweep per /16 block over the
+ranges table only), so both strategies below are exact on any input.
+
+* ``broadcast``: the ranges, cut at /16 boundaries, are broadcast and every
+  row of the input is looked up where it is (hash on the /16 block plus the
+  range test): one scan, no shuffle of the big side. Used only after one
+  bounded action showed the cut table has at most ``broadcast_max_rows`` rows.
 * ``bucketed``: an as-of lookup per /16 block over the *distinct* addresses,
   joined back. Addresses and range starts of a block are sorted together and
-  each address takes the last range that started at or before it. A block
+  each address takes the last segment that started at or before it. A block
   holds at most 2^16 distinct addresses, so no window partition is unbounded,
   however skewed the traffic; the ranges table may have any size.
 """
@@ -38,54 +37,25 @@ METHODS = ("auto", "broadcast", "bucketed")
 
 def cut_at_prefix16(geo: DataFrame) -> DataFrame:
     """One row per (range, /16 block it touches); ≤ ranges + 65,536 rows for
-    non-overlapping ranges. ``_from`` is where the range enters the block."""
+    disjoint ranges. ``_from``/``_to`` are the range's bounds inside the block."""
     valid = geo.where(F.col("ip_start") <= F.col("ip_end"))
     cut = valid.select(
         "ip_start", "ip_end", *GEO_COLUMNS,
         F.explode(F.sequence(prefix16(F.col("ip_start")), prefix16(F.col("ip_end")))).alias("_p"),
     )
     block_start = F.shiftleft(F.col("_p"), PREFIX16_SHIFT)
-    return cut.withColumn("_from", F.greatest(F.col("ip_start"), block_start))
-
-
-def _addresses(ips: DataFrame) -> DataFrame:
-    num = ipv4_to_long(F.col("ip_address"))
-    return ips.select("ip_address", num.alias("_ip")).where(F.col("_ip").isNotNull()).withColumn("_p", prefix16(F.col("_ip")))
-
-
-def _lookup_broadcast(ips: DataFrame, cut: DataFrame) -> DataFrame:
-    a = _addresses(ips)
-    g = F.broadcast(cut.select("_p", "ip_start", "ip_end", *GEO_COLUMNS))
-    cond = (a["_p"] == g["_p"]) & a["_ip"].between(g["ip_start"], g["ip_end"])
-    j = a.join(g, cond, "inner")
-    best = F.max_by(F.struct(*GEO_COLUMNS), F.struct(F.col("ip_start"), -F.col("ip_end")))
-    return j.groupBy("ip_address").agg(best.alias("_loc")).select("ip_address", *[F.col(f"_loc.{c}").alias(c) for c in GEO_COLUMNS])
-
-
-def _lookup_bucketed(ips: DataFrame, cut: DataFrame) -> DataFrame:
-    a = _addresses(ips).select("_p", F.col("_ip").alias("_addr"), F.lit(1).alias("_kind"), "ip_address")
-    r = cut.select(
-        "_p", F.col("_from").alias("_addr"), F.lit(0).alias("_kind"), F.col("ip_end").alias("_end"),
-        F.struct(F.col("ip_end"), *GEO_COLUMNS).alias("_range"),
+    block_end = block_start + ((1 << PREFIX16_SHIFT) - 1)
+    return cut.withColumn("_from", F.greatest(F.col("ip_start"), block_start)).withColumn(
+        "_to", F.least(F.col("ip_end"), block_end)
     )
-    both = a.unionByName(r, allowMissingColumns=True)
-    # ranges sort before an address at the same point; among equal starts the
-    # smallest end comes last, so it is the one an address picks up
-    w = (
-        Window.partitionBy("_p")
-        .orderBy("_addr", "_kind", F.desc_nulls_first("_end"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    tagged = both.withColumn("_hit", F.last("_range", ignorenulls=True).over(w))
-    found = tagged.where((F.col("_kind") == 1) & (F.col("_hit.ip_end") >= F.col("_addr")))
-    return found.select("ip_address", *[F.col(f"_hit.{c}").alias(c) for c in GEO_COLUMNS])
 
 
+# --- making ranges disjoint ----------------------------------------------------
 def _inspect(geo: DataFrame, broadcast_max_rows: int) -> tuple[bool, bool]:
     """One small action on the ranges table, bounded by ``broadcast_max_rows``:
     (does the /16-cut table fit the broadcast bound, are the ranges disjoint).
     Only the first ``broadcast_max_rows + 1`` ranges are looked at; beyond
-    that the table does not fit, and disjointness is not needed."""
+    that the table does not fit and disjointness is checked per block."""
     valid = geo.where(F.col("ip_start") <= F.col("ip_end")).select("ip_start", "ip_end")
     head = valid.limit(broadcast_max_rows + 1)
     w = Window.orderBy("ip_start", "ip_end").rowsBetween(Window.unboundedPreceding, -1)
@@ -97,54 +67,120 @@ def _inspect(geo: DataFrame, broadcast_max_rows: int) -> tuple[bool, bool]:
     return fits, not stats.overlap
 
 
-def _choose(geo: DataFrame, method: str, broadcast_max_rows: int) -> tuple[str, bool]:
+def blocks_disjoint(geo: DataFrame) -> bool:
+    """True if no two ranges overlap; one pass over the cut table, windowed
+    per /16 block (any table size)."""
+    cut = cut_at_prefix16(geo)
+    w = Window.partitionBy("_p").orderBy("_from", "_to").rowsBetween(Window.unboundedPreceding, -1)
+    overlap = F.max("_to").over(w) >= F.col("_from")
+    return cut.select(overlap.alias("_o")).where("_o").limit(1).count() == 0
+
+
+def _paint_block(pdf):
+    """Sweep one /16 block: elementary intervals between range bounds, each
+    owned by the active range with the greatest start, then the smallest end,
+    then the smallest location; equal neighbours are merged."""
+    import heapq
+
+    import pandas as pd
+
+    def rank(v):
+        present = v is not None and v == v  # NULL / NaN sort first, as in Spark
+        return (present, v if present else 0)
+
+    rows = pdf.to_dict("records")
+    order = sorted(range(len(rows)), key=lambda i: rows[i]["_from"])
+    bounds = sorted({r["_from"] for r in rows} | {r["_to"] + 1 for r in rows})
+    heap, out, j = [], [], 0
+    for lo, nxt in zip(bounds, bounds[1:]):
+        while j < len(order) and rows[order[j]]["_from"] <= lo:
+            r = rows[order[j]]
+            key = (-r["ip_start"], r["ip_end"], *[rank(r[c]) for c in GEO_COLUMNS])
+            heapq.heappush(heap, (key, order[j]))
+            j += 1
+        while heap and rows[heap[0][1]]["_to"] < lo:
+            heapq.heappop(heap)
+        if not heap:
+            continue
+        i = heap[0][1]
+        if out and out[-1][2] == i and out[-1][1] == lo - 1:
+            out[-1][1] = nxt - 1
+        else:
+            out.append([lo, nxt - 1, i])
+    cols = {"ip_start": [s for s, _, _ in out], "ip_end": [e for _, e, _ in out]}
+    for c in GEO_COLUMNS:
+        cols[c] = [rows[i][c] for _, _, i in out]
+    return pd.DataFrame(cols, columns=["ip_start", "ip_end", *GEO_COLUMNS])
+
+
+def disjoint_ranges(geo: DataFrame) -> DataFrame:
+    """Overlapping ranges → disjoint segments (inside /16 blocks) carrying the
+    winning range's location. Runs on the ranges table only, one group per
+    /16 block, so the work is bounded by the ranges touching a block."""
+    cut = cut_at_prefix16(geo).select("_p", "_from", "_to", "ip_start", "ip_end", *GEO_COLUMNS)
+    types = dict(geo.dtypes)
+    schema = ", ".join(["ip_start bigint", "ip_end bigint"] + [f"{c} {types[c]}" for c in GEO_COLUMNS])
+    return cut.groupBy("_p").applyInPandas(_paint_block, schema)
+
+
+def _prepared(geo: DataFrame, method: str, broadcast_max_rows: int) -> tuple[DataFrame, str]:
+    """Disjoint ranges and the strategy to use (size check first)."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
-    if method == "bucketed":
-        return method, False
-    fits, disjoint = _inspect(geo, broadcast_max_rows)
-    # "broadcast" and "auto" both broadcast only behind the size check
-    method = "broadcast" if fits else "bucketed"
-    return method, disjoint and fits
+    if method != "bucketed":
+        fits, disjoint = _inspect(geo, broadcast_max_rows)
+        if fits:
+            return (geo if disjoint else disjoint_ranges(geo)), "broadcast"
+    return (geo if blocks_disjoint(geo) else disjoint_ranges(geo)), "bucketed"
+
+
+# --- lookups -------------------------------------------------------------------
+def _addresses(ips: DataFrame) -> DataFrame:
+    num = ipv4_to_long(F.col("ip_address"))
+    return ips.select("ip_address", num.alias("_ip")).where(F.col("_ip").isNotNull()).withColumn("_p", prefix16(F.col("_ip")))
 
 
-def ranges_disjoint(geo: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True if no two valid ranges overlap (checked on a size-bounded table)."""
-    fits, disjoint = _inspect(geo, broadcast_max_rows)
-    if not fits:
-        raise ValueError("ranges table larger than the bound; not checked")
-    return disjoint
+def _join_broadcast(df: DataFrame, cut: DataFrame, how: str) -> DataFrame:
+    """Look each row up against broadcast, disjoint ranges (≤ 1 match)."""
+    num = ipv4_to_long(F.col("ip_address"))
+    rows = df.withColumn("_ip", num).withColumn("_p", prefix16(F.col("_ip")))
+    g = F.broadcast(cut.select(F.col("_p").alias("_gp"), "ip_start", "ip_end", *GEO_COLUMNS))
+    cond = (rows["_p"] == g["_gp"]) & rows["_ip"].between(g["ip_start"], g["ip_end"])
+    return rows.join(g, cond, how).select(*df.columns, *GEO_COLUMNS)
+
+
+def _lookup_bucketed(ips: DataFrame, cut: DataFrame) -> DataFrame:
+    a = _addresses(ips).select("_p", F.col("_ip").alias("_addr"), F.lit(1).alias("_kind"), "ip_address")
+    r = cut.select("_p", F.col("_from").alias("_addr"), F.lit(0).alias("_kind"),
+                   F.struct(F.col("ip_end"), *GEO_COLUMNS).alias("_range"))
+    both = a.unionByName(r, allowMissingColumns=True)
+    # a segment starting at an address sorts before it
+    w = Window.partitionBy("_p").orderBy("_addr", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tagged = both.withColumn("_hit", F.last("_range", ignorenulls=True).over(w))
+    found = tagged.where((F.col("_kind") == 1) & (F.col("_hit.ip_end") >= F.col("_addr")))
+    return found.select("ip_address", *[F.col(f"_hit.{c}").alias(c) for c in GEO_COLUMNS])
 
 
 def lookup_locations(ips: DataFrame, geo: DataFrame, method: str = "auto",
                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Distinct ``ip_address`` values → ``(ip_address, country, city,
     latitude, longitude)`` for the addresses inside some range."""
-    cut = cut_at_prefix16(geo)
-    if _choose(geo, method, broadcast_max_rows)[0] == "broadcast":
-        return _lookup_broadcast(ips, cut)
+    ranges, method = _prepared(geo, method, broadcast_max_rows)
+    cut = cut_at_prefix16(ranges)
+    if method == "broadcast":
+        return _join_broadcast(ips.select("ip_address"), cut, "inner")
     return _lookup_bucketed(ips, cut)
 
 
-def _enrich_rows_broadcast(df: DataFrame, cut: DataFrame) -> DataFrame:
-    """Per-row lookup against broadcast, disjoint ranges (≤ 1 match a row)."""
-    num = ipv4_to_long(F.col("ip_address"))
-    rows = df.withColumn("_ip", num).withColumn("_p", prefix16(F.col("_ip")))
-    g = F.broadcast(cut.select(F.col("_p").alias("_gp"), "ip_start", "ip_end", *GEO_COLUMNS))
-    cond = (rows["_p"] == g["_gp"]) & rows["_ip"].between(g["ip_start"], g["ip_end"])
-    return rows.join(g, cond, "left").select(*df.columns, *GEO_COLUMNS)
-
-
 def enrich_geo(df: DataFrame, geo: DataFrame, method: str = "auto",
                broadcast_max_rows: int = BROADCAST_MAX_ROWS, distinct: bool = True) -> DataFrame:
     """Add country, city, latitude and longitude to every row of ``df`` (by
     its ``ip_address``); rows without a located address get NULLs.
     ``distinct=False`` when ``df`` already has one row per address."""
-    cut = cut_at_prefix16(geo)
-    method, in_place = _choose(geo, method, broadcast_max_rows)
-    if method == "broadcast" and in_place:
-        return _enrich_rows_broadcast(df, cut)
+    ranges, method = _prepared(geo, method, broadcast_max_rows)
+    cut = cut_at_prefix16(ranges)
+    if method == "broadcast":
+        return _join_broadcast(df, cut, "left")
     ips = df.select("ip_address").where(F.col("ip_address").isNotNull())
     ips = ips.distinct() if distinct else ips
-    lookup = _lookup_broadcast if method == "broadcast" else _lookup_bucketed
-    return df.join(lookup(ips, cut), "ip_address", "left")
+    return df.join(_lookup_bucketed(ips, cut), "ip_address", "left")

@@ -112,3 +112,28 @@ def test_forced_broadcast_still_checks_size(spark):
     ips = spark.createDataFrame([("10.0.0.1",)], "ip_address string")
     text = plan_text(lookup_locations(ips, fx.geo_ranges(spark), method="broadcast", broadcast_max_rows=2))
     assert "Window" in text  # the bucketed as-of lookup, not a broadcast of an unchecked table
+
+
+def test_overlapping_ranges_exact_for_both_strategies(spark):
+    rnd = random.Random(21)
+    ranges = []
+    for i in range(250):
+        a = rnd.randrange(0, 1 << 22)
+        b = a + rnd.choice([0, 5, 300, 70000, 200000, 1 << 20])
+        ranges.append((a, b, rnd.choice(["X", "Y", "Z"]), f"c{i}", float(i), float(-i)))
+    ranges += [(100, 200, "T", "t1", 1.0, 1.0), (100, 200, "T", "t0", 1.0, 1.0), (150, 150, "P", "p", 0.0, 0.0)]
+    addrs = {rnd.randrange(0, (1 << 22) + (1 << 20)) for _ in range(3000)}
+    addrs |= {a for a, *_ in ranges} | {b for _, b, *_ in ranges} | {b + 1 for _, b, *_ in ranges}
+    expect = {}
+    for x in addrs:
+        hits = [r for r in ranges if r[0] <= x <= r[1]]
+        if hits:
+            best = min(hits, key=lambda r: (-r[0], r[1], r[2], r[3], r[4], r[5]))
+            expect[dotted(x)] = (best[2], best[3])
+    ips = spark.createDataFrame([(dotted(x),) for x in addrs], "ip_address string")
+    geo = spark.createDataFrame(ranges, GEO)
+    for method in ("broadcast", "bucketed"):
+        got = {r.ip_address: (r.country, r.city) for r in lookup_locations(ips, geo, method=method).collect()}
+        assert got == expect, method
+    rows = enrich_geo(ips.union(ips), geo, method="bucketed").count()
+    assert rows == 2 * len(addrs)

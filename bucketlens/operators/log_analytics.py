@@ -129,8 +129,13 @@ _CHUNK = 1 << 16
 
 def _size_counts(rows: DataFrame, group: str, value: str) -> DataFrame:
     """Distinct (group, value) with their row count: the map-side-combined
-    summary every per-row share is computed from."""
-    return rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+    summary every per-row share is computed from.
+
+    The not-null conditions are what the later joins would infer anyway;
+    stating them once here keeps every branch that reads the summary
+    identical, so Spark computes it once and reuses the exchange."""
+    keys = F.col(group).isNotNull() & F.col(value).isNotNull()
+    return rows.where(keys).groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
 
 
 def _repeat_rows(df: DataFrame, count_col: str, cols: list[str]) -> DataFrame:
@@ -160,9 +165,11 @@ def _prefix_sums(counts: DataFrame, group: str, value: str) -> DataFrame:
     """
     b1, b2 = "_b1", "_b2"
     weight = (F.col(value).cast("decimal(38,0)") * F.col("_c")).cast("decimal(38,0)")
+    # block keys are non-null by construction (values are), and say so: no
+    # join then infers a not-null filter that would make branches differ
     base = counts.select(group, value, "_c", weight.alias("_t"),
-                         F.shiftright(F.col(value), _SHIFTS[0]).alias(b1),
-                         F.shiftright(F.col(value), _SHIFTS[1]).alias(b2))
+                         F.coalesce(F.shiftright(F.col(value), _SHIFTS[0]), F.lit(0).cast("bigint")).alias(b1),
+                         F.coalesce(F.shiftright(F.col(value), _SHIFTS[1]), F.lit(0).cast("bigint")).alias(b2))
 
     def running(df: DataFrame, parts: list[str], order: str, inclusive: bool) -> Column:
         w = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

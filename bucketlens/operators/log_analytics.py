@@ -171,16 +171,16 @@ def _prefix_sums(counts: DataFrame, group: str, value: str) -> DataFrame:
                          F.coalesce(F.shiftright(F.col(value), _SHIFTS[0]), F.lit(0).cast("bigint")).alias(b1),
                          F.coalesce(F.shiftright(F.col(value), _SHIFTS[1]), F.lit(0).cast("bigint")).alias(b2))
 
-    def running(df: DataFrame, parts: list[str], order: str, inclusive: bool) -> Column:
+    def running(parts: list[str], order: str, inclusive: bool) -> Column:
         w = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         total = F.sum("_t").over(w)
         return total if inclusive else total - F.col("_t")
 
-    inside = base.withColumn("_in", running(base, [group, b1], value, True))
+    inside = base.withColumn("_in", running([group, b1], value, True))
     t1 = base.groupBy(group, b2, b1).agg(F.sum("_t").alias("_t"))
-    ex1 = t1.select(group, b1, running(t1, [group, b2], b1, False).alias("_ex1"))
+    ex1 = t1.select(group, b1, running([group, b2], b1, False).alias("_ex1"))
     t2 = base.groupBy(group, b2).agg(F.sum("_t").alias("_t"))
-    ex2 = t2.select(group, b2, running(t2, [group], b2, False).alias("_ex2"))
+    ex2 = t2.select(group, b2, running([group], b2, False).alias("_ex2"))
     out = inside.join(ex1, [group, b1]).join(ex2, [group, b2])
     total = F.col("_in") + F.col("_ex1") + F.col("_ex2")
     return out.select(group, value, "_c", total.alias("running_sum"))

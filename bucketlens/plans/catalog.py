@@ -14,7 +14,7 @@ from ..operators import log_analytics as la
 from ..operators.parse import parse_access_log
 from ..sources.views import register_views
 from . import fixtures as fx
-from .oracle import ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS
+from .params import ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS, TOP_IPS, TOP_OBJECTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +31,7 @@ def _top_buckets_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         """SELECT bucket_name, sum(object_size) AS total_size
            FROM access_log WHERE NOT is_malformed
            GROUP BY bucket_name ORDER BY total_size DESC, bucket_name LIMIT :n""",
-        args={"n": 5},
+        args={"n": TOP_BUCKETS},
     )
 
 
@@ -51,12 +51,12 @@ LOG_QUERIES: dict[str, Query] = {
     "malformed_summary": lambda s, d: la.malformed_summary(_log(s, d)),
     "distinct_buckets": lambda s, d: la.distinct_buckets(_log(s, d)),
     "total_bytes_sent": lambda s, d: la.total_bytes_sent(_log(s, d)),
-    "top_buckets_by_size": lambda s, d: la.top_buckets_by_size(_log(s, d), n=5),
+    "top_buckets_by_size": lambda s, d: la.top_buckets_by_size(_log(s, d), n=TOP_BUCKETS),
     "top_buckets_by_size_sql": _top_buckets_sql,
-    "top_objects_per_bucket": lambda s, d: la.top_objects_per_bucket(_log(s, d), n=3),
+    "top_objects_per_bucket": lambda s, d: la.top_objects_per_bucket(_log(s, d), n=TOP_OBJECTS),
     "hits_per_object": lambda s, d: la.hits_per_object(_log(s, d)),
     "hits_per_ip": lambda s, d: la.hits_per_ip(_log(s, d), buckets=[ONE_BUCKET], geo=fx.geo_ranges(s)),
-    "top_ips": lambda s, d: la.top_ips(_log(s, d), n=5, geo=fx.geo_ranges(s)),
+    "top_ips": lambda s, d: la.top_ips(_log(s, d), n=TOP_IPS, geo=fx.geo_ranges(s)),
     "running_percentage": lambda s, d: la.running_percentage(_log(s, d)),
     "percentage_of_bucket_total": lambda s, d: la.percentage_of_bucket_total(_log(s, d)),
     "geo_enrich": _geo_enrich("auto"),

@@ -19,6 +19,7 @@ from ..functions.logfields import (
     TOLERANT_TAIL,
     line_pattern,
 )
+from .params import ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS, TOP_IPS, TOP_OBJECTS
 
 RAW_LINES = """raw_lines AS (
   SELECT concat_ws(' ',
@@ -119,8 +120,6 @@ def _with(*ctes: str) -> str:
 
 _LOG = (RAW_LINES, LOG_STRICT, GOOD)
 
-# one bucket used by the single-bucket queries
-ONE_BUCKET = "bkt-error-0"
 
 IP_NUM = """CASE WHEN regexp_full_match(ip_address, '\\d{1,3}\\.\\d{1,3}\\.\\d{1,3}\\.\\d{1,3}')
       AND CAST(split_part(ip_address, '.', 1) AS BIGINT) <= 255 AND CAST(split_part(ip_address, '.', 2) AS BIGINT) <= 255
@@ -145,16 +144,16 @@ LOG_QUERIES = {
     "distinct_buckets": _with(*_LOG) + "SELECT DISTINCT bucket_name FROM good",
     "total_bytes_sent": _with(*_LOG) + "SELECT CAST(sum(bytes_sent) AS BIGINT) AS total_bytes_sent FROM good",
     "top_buckets_by_size": _with(*_LOG)
-    + """SELECT bucket_name, CAST(sum(object_size) AS BIGINT) AS total_size FROM good
-GROUP BY bucket_name ORDER BY total_size DESC, bucket_name LIMIT 5""",
+    + f"""SELECT bucket_name, CAST(sum(object_size) AS BIGINT) AS total_size FROM good
+GROUP BY bucket_name ORDER BY total_size DESC, bucket_name LIMIT {TOP_BUCKETS}""",
     "top_buckets_by_size_sql": _with(*_LOG)
-    + """SELECT bucket_name, CAST(sum(object_size) AS BIGINT) AS total_size FROM good
-GROUP BY bucket_name ORDER BY total_size DESC, bucket_name LIMIT 5""",
+    + f"""SELECT bucket_name, CAST(sum(object_size) AS BIGINT) AS total_size FROM good
+GROUP BY bucket_name ORDER BY total_size DESC, bucket_name LIMIT {TOP_BUCKETS}""",
     "top_objects_per_bucket": _with(*_LOG)
-    + """SELECT * FROM (
+    + f"""SELECT * FROM (
   SELECT bucket_name, key, object_size,
          CAST(dense_rank() OVER (PARTITION BY bucket_name ORDER BY object_size DESC) AS INTEGER) AS rank
-  FROM good) WHERE rank <= 3""",
+  FROM good) WHERE rank <= {TOP_OBJECTS}""",
     "hits_per_object": _with(*_LOG)
     + """SELECT bucket_name, key, count(key) AS hits, CAST(sum(object_size) AS BIGINT) AS bytes
 FROM good WHERE key <> '-' GROUP BY bucket_name, key ORDER BY bucket_name, key""",
@@ -164,9 +163,9 @@ FROM per_ip p LEFT JOIN located l ON p.ip_address = l.ip_address
 WHERE p.ip_address IN (SELECT ip_address FROM good WHERE bucket_name = '{ONE_BUCKET}')
 ORDER BY p.hits DESC, p.ip_address""",
     "top_ips": _with(*_LOG, GEO_RANGES, LOCATED, PER_IP)
-    + """SELECT p.ip_address, p.hits, l.country, l.city, l.latitude, l.longitude
+    + f"""SELECT p.ip_address, p.hits, l.country, l.city, l.latitude, l.longitude
 FROM per_ip p LEFT JOIN located l ON p.ip_address = l.ip_address
-ORDER BY p.hits DESC, p.ip_address LIMIT 5""",
+ORDER BY p.hits DESC, p.ip_address LIMIT {TOP_IPS}""",
     "running_percentage": _with(*_LOG)
     + """SELECT bucket_name, object_size,
   CASE WHEN object_size = 0 THEN NULL ELSE CAST(sum(object_size) OVER (PARTITION BY bucket_name ORDER BY object_size
@@ -183,10 +182,6 @@ FROM log_strict s LEFT JOIN located l ON s.ip_address = l.ip_address""",
 LOG_QUERIES["geo_enrich_bucketed"] = LOG_QUERIES["geo_enrich"]
 
 
-# parameters of the object queries
-SOME_BUCKETS = ("src1", "src2")
-PREFIX_BUCKET = "src3"
-PREFIX = "docs/en/"
 
 FILES = """files AS (
   SELECT source AS bucket_name,

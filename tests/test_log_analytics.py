@@ -133,3 +133,11 @@ def test_bucket_names_are_bound_not_spliced(spark):
     df = log(spark, [("a'b", "k", 1, None, 0, False), ("c", "k", 2, None, 0, False)])
     assert [r.bucket_name for r in la.top_objects_per_bucket(df, buckets=["a'b"]).collect()] == ["a'b"]
     assert la.top_objects_per_bucket(df, buckets=[]).count() == 0
+
+
+def test_dataframe_allow_list_is_a_left_semi_join(spark):
+    df = log(spark, [("a", "k", 5, None, 0, False), ("b", "k", 7, None, 0, False)])
+    allow = spark.createDataFrame([("b",), ("b",)], "bucket_name string")
+    out = la.top_objects_per_bucket(df, buckets=allow)
+    assert "LeftSemi" in plan_text(out)
+    assert [(r.bucket_name, r.object_size) for r in out.collect()] == [("b", 7)]

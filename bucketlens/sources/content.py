@@ -10,6 +10,9 @@ no path list passes through the driver.
 
 from __future__ import annotations
 
+import functools
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +20,9 @@ from ..functions.paths import object_uri
 from .inventory import file_path_column, split_bucket_key
 from ..parallelism import default_parallelism
 
-# Fixed value: read size per chunk when hashing a file's bytes.
+# Read size per chunk when hashing a file's bytes, and concurrent reads per task.
 CHUNK_BYTES = 1 << 22
+READ_THREADS = 8
 
 
 def read_object_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -27,41 +31,56 @@ def read_object_lines(spark: SparkSession, root: str) -> DataFrame:
     return lines.select(*split_bucket_key(file_path_column(), root), F.col("value").alias("line"))
 
 
+@functools.lru_cache(maxsize=64)
+def _filesystem(scheme: str, authority: str):
+    """One pyarrow filesystem (one object-store client) per scheme and
+    authority in a worker, not one per file."""
+    import pyarrow.fs as pafs
+
+    if scheme == "file":
+        return pafs.LocalFileSystem()
+    fs, _ = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return fs
+
+
 def _arrow_location(path: str):
     """A Spark/Hadoop file path (decoded, as listings give it) → pyarrow
     filesystem + path. The path is split by hand: `#`, `%` or spaces in a
     name must not be read as URI syntax."""
-    import re
-
-    import pyarrow.fs as pafs
-
     m = re.match(r"^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(/.*)$", path)
     if not m:
-        return pafs.LocalFileSystem(), path
+        return _filesystem("file", ""), path
     scheme, authority, rest = m.group(1).lower(), m.group(2) or "", m.group(3)
-    if scheme == "file":
-        return pafs.LocalFileSystem(), rest
     scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    fs, _ = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    if scheme == "file":
+        return _filesystem("file", ""), rest
     # object stores address `bucket/key`; other filesystems the bare path
-    return fs, (authority + rest) if scheme in ("s3", "gs", "gcs") else rest
+    return _filesystem(scheme, authority), (authority + rest) if scheme in ("s3", "gs", "gcs") else rest
 
 
-def _md5_batches(batches):
+def _md5_of(path: str) -> str:
     import hashlib
 
+    fs, rel = _arrow_location(path)
+    h = hashlib.md5()
+    with fs.open_input_stream(rel) as f:
+        while chunk := f.read(CHUNK_BYTES):
+            h.update(chunk)
+    return h.hexdigest()
+
+
+def _md5_batches(batches, threads: int = READ_THREADS):
+    """Hash each file of each Arrow batch; reads overlap on a few threads
+    (object-store reads are latency-bound; pyarrow and hashlib release the
+    GIL). Order is kept."""
+    from concurrent.futures import ThreadPoolExecutor
+
     import pandas as pd
 
-    for pdf in batches:
-        sums = []
-        for p in pdf["path"]:
-            fs, rel = _arrow_location(p)
-            h = hashlib.md5()
-            with fs.open_input_stream(rel) as f:
-                while chunk := f.read(CHUNK_BYTES):
-                    h.update(chunk)
-            sums.append(h.hexdigest())
-        yield pd.DataFrame({"path": pdf["path"], "checksum": sums})
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        for pdf in batches:
+            sums = list(pool.map(_md5_of, pdf["path"]))
+            yield pd.DataFrame({"path": pdf["path"], "checksum": sums})
 
 
 def md5_of_files(paths: DataFrame, partitions: int | None = None) -> DataFrame:

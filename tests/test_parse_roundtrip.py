@@ -1,0 +1,54 @@
+"""Property-style check: random well-formed lines parse back to their fields
+(one Spark job for all of them)."""
+
+import datetime as dt
+import random
+import string
+
+from conftest import lines_df
+
+from bucketlens.operators.parse import parse_access_log
+
+TOKEN = string.ascii_letters + string.digits + "-_./:=+%@~!*()[]{}'&?,;"
+MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+
+
+def token(rnd, n=12):
+    return "".join(rnd.choice(TOKEN) for _ in range(rnd.randint(1, n)))
+
+
+def make(rnd):
+    when = dt.datetime(2000, 1, 1) + dt.timedelta(seconds=rnd.randrange(25 * 365 * 86400))
+    sign, off_h, off_m = rnd.choice("+-"), rnd.randint(0, 14), rnd.choice([0, 30, 45])
+    offset = dt.timedelta(hours=off_h, minutes=off_m) * (1 if sign == "+" else -1)
+    ip = "" if rnd.random() < 0.2 else ".".join(str(rnd.randint(0, 255)) for _ in range(4))
+    f = {
+        "owner_name": token(rnd), "bucket_name": token(rnd), "ip_address": ip or None,
+        "requester": token(rnd), "request_id": token(rnd), "operation": token(rnd), "key": token(rnd, 40),
+        "request_uri": f'"{rnd.choice(["GET", "PUT", "HEAD"])} /{token(rnd, 30)} HTTP/1.1"',
+        "http_status": rnd.choice([200, 204, 304, 403, 404, 500]), "error_code": rnd.choice(["-", "NoSuchKey", "AccessDenied"]),
+        "bytes_sent": rnd.choice([None, rnd.randrange(1 << 40)]), "object_size": rnd.choice([None, rnd.randrange(1 << 45)]),
+        "total_time": rnd.randrange(100000), "turn_around_time": rnd.choice([None, rnd.randrange(1000)]),
+        "referrer": '"-"', "user_agent": f'"{token(rnd, 20)}"', "version_id": token(rnd),
+    }
+    stamp = f"{when.day:02d}/{MONTHS[when.month - 1]}/{when.year}:{when:%H:%M:%S} {sign}{off_h:02d}{off_m:02d}"
+    num = lambda v: "-" if v is None else str(v)
+    line = " ".join([f["owner_name"], f["bucket_name"], f"[{stamp}]", ip, f["requester"], f["request_id"],
+                     f["operation"], f["key"], f["request_uri"], str(f["http_status"]), f["error_code"],
+                     num(f["bytes_sent"]), num(f["object_size"]), str(f["total_time"]), num(f["turn_around_time"]),
+                     f["referrer"], f["user_agent"], f["version_id"]])
+    f["event_time"] = when - offset
+    f["bytes_sent"] = f["bytes_sent"] or 0
+    f["object_size"] = f["object_size"] or 0
+    return line, f
+
+
+def test_random_lines_round_trip(spark):
+    rnd = random.Random(2024)
+    cases = [make(rnd) for _ in range(400)]
+    for mode in ("strict", "tolerant"):
+        rows = parse_access_log(lines_df(spark, [c[0] for c in cases]), mode=mode).collect()
+        for (line, want), got in zip(cases, rows):
+            assert not got.is_malformed, (mode, line)
+            for k, v in want.items():
+                assert getattr(got, k) == v, (mode, k, line)

@@ -17,16 +17,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INVENTORY_SCHEMA = "bucket_name string, key string, size bigint"
 
+def read_inventory(spark: SparkSession, path, fmt: str = "parquet", bucket_col: str = "bucket_name",
+                   key_col: str = "key", size_col: str = "size", url_encoded_keys: bool = False,
+                   **options) -> DataFrame:
+    """Read an inventory table and normalise it to ``(bucket_name, key, size)``.
 
-def read_inventory(spark: SparkSession, path, fmt: str = "parquet", **options) -> DataFrame:
-    """Read an inventory table and normalise it to ``(bucket_name, key, size)``."""
+    Column names are parameters (bucket-inventory reports call them
+    ``bucket``, ``key``, ``size``); CSV reports without a header are read by
+    position in that order. ``url_encoded_keys`` decodes keys that the report
+    URL-encoded. Only the three columns are read (pruned at the scan).
+    """
     reader = spark.read.format(fmt).options(**options)
-    if fmt == "csv":
-        reader = reader.schema(INVENTORY_SCHEMA)
-    return reader.load(path).select(
-        F.col("bucket_name").cast("string"), F.col("key").cast("string"), F.col("size").cast("bigint")
+    if fmt == "csv" and str(options.get("header", "false")).lower() != "true":
+        reader = reader.schema(f"`{bucket_col}` string, `{key_col}` string, `{size_col}` bigint")
+    df = reader.load(path)
+    key = F.col(key_col).cast("string")
+    if url_encoded_keys:
+        key = F.url_decode(F.replace(key, F.lit("+"), F.lit("%2B")))
+    return df.select(
+        F.col(bucket_col).cast("string").alias("bucket_name"), key.alias("key"), F.col(size_col).cast("bigint").alias("size")
     )
 
 

@@ -34,3 +34,12 @@ def test_read_inventory_parquet_and_csv(spark):
     for inv in (read_inventory(spark, os.path.join(root, "pq")), read_inventory(spark, os.path.join(root, "inv.csv"), fmt="csv")):
         assert inv.dtypes == [("bucket_name", "string"), ("key", "string"), ("size", "bigint")]
         assert sorted(tuple(r) for r in inv.collect()) == sorted(rows)
+
+
+def test_read_inventory_report_columns(spark):
+    root = tempfile.mkdtemp(prefix="bucketlens-inv-")
+    df = spark.createDataFrame([("b", "d/a%20b.txt", 3, "v1")], "bucket string, key string, size long, version_id string")
+    df.write.parquet(os.path.join(root, "report"))
+    inv = read_inventory(spark, os.path.join(root, "report"), bucket_col="bucket", url_encoded_keys=True)
+    assert [tuple(r) for r in inv.collect()] == [("b", "d/a b.txt", 3)]
+    assert "version_id" not in inv.columns

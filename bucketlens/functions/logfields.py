@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .reuse import once
+
 
 @dataclass(frozen=True)
 class FieldPattern:
@@ -210,6 +212,10 @@ def _matched(arr: Column, mode: str) -> Column:
 
 def typed_stage(mode: str) -> list[Column]:
     """Second step: array pieces → typed ``access_log`` columns."""
+    return once(("typed_stage", mode), lambda: _typed_stage(mode))
+
+
+def _typed_stage(mode: str) -> list[Column]:
     arr = F.col(FIELDS_COL)
     ok = _matched(arr, mode)
 

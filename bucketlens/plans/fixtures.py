@@ -10,11 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import object_path
+from ..functions.reuse import once
 from ..parallelism import default_parallelism
 
 
+# Schemas of the driver tables read here (TESTDATA.md). Given
+# up front, a read skips schema inference from the file footer.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -32,6 +42,10 @@ def _when_mod(n: Column, m: int, then, otherwise) -> Column:
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One access-log line per event (`value`)."""
     ev = spread(table(spark, sf_dir, "events"))
+    return ev.select(once(("raw_lines",), _raw_line))
+
+
+def _raw_line() -> Column:
     eid, uid = F.col("event_id"), F.col("user_id")
     s = lambda c: c.cast("string")
     fields = [
@@ -53,7 +67,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _when_mod(eid, 17, F.lit('"Mozilla/5.0 (X11)"'), F.lit('"cli/1.0"')),
         F.concat(F.lit("-"), _when_mod(eid, 19, F.lit(" hostid SigV4"), F.lit(""))),
     ]
-    return ev.select(F.concat_ws(" ", *fields).alias("value"))
+    return F.concat_ws(" ", *fields).alias("value")
 
 
 def geo_ranges(spark: SparkSession) -> DataFrame:

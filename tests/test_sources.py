@@ -43,3 +43,18 @@ def test_read_inventory_report_columns(spark):
     inv = read_inventory(spark, os.path.join(root, "report"), bucket_col="bucket", url_encoded_keys=True)
     assert [tuple(r) for r in inv.collect()] == [("b", "d/a b.txt", 3)]
     assert "version_id" not in inv.columns
+
+
+def test_sample_log_file_like_the_reference_tests(spark):
+    """The reference's parser tests read a sample log file and check the sum of
+    bytes sent (878) and the first bucket (`mybucket`)."""
+    root = tempfile.mkdtemp(prefix="bucketlens-sample-")
+    sizes = [512, 300, 66]
+    with open(os.path.join(root, "s3samplelogs.txt"), "w") as f:
+        for i, sent in enumerate(sizes):
+            f.write(line(sent=str(sent), key=f"k{i}") + "\n")
+    log = read_access_logs(spark, root, mode="positional")
+    from bucketlens.operators.log_analytics import distinct_buckets, total_bytes_sent
+
+    assert total_bytes_sent(log).collect()[0].total_bytes_sent == 878
+    assert [r.bucket_name for r in distinct_buckets(log).collect()] == ["mybucket"]

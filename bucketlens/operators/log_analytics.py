@@ -50,12 +50,23 @@ def top_buckets_by_size(log: DataFrame, n: int | None = 5) -> DataFrame:
 def top_objects_per_bucket(log: DataFrame, n: int | None = 5, buckets=None) -> DataFrame:
     """Requests ranked per bucket by object size (``dense_rank``), rank ≤ n.
 
-    The rank filter lets Spark insert a partial per-partition group limit
-    before the shuffle, so a huge bucket only ships its top rows."""
+    A dense rank depends on the distinct sizes of a bucket only, so it is
+    computed on the (bucket, size) summary: combined map-side, and with the
+    rank filter Spark inserts a partial per-partition group limit, so at most
+    n sizes per bucket and partition are shipped. The ranked sizes (≤ n per
+    bucket) are joined back to the rows on (bucket, size); adaptive execution
+    broadcasts that small side after measuring it, so the rows are filtered
+    where they are read. No task ever holds a whole bucket, even when a third
+    of all requests are ties on one bucket's largest object."""
     rows = select_buckets(good_rows(log), buckets).select("bucket_name", "key", "object_size")
+    sizes = rows.select("bucket_name", "object_size").distinct()
     w = Window.partitionBy("bucket_name").orderBy(F.desc("object_size"))
-    ranked = rows.withColumn("rank", F.dense_rank().over(w))
-    return ranked if n is None else ranked.where(F.col("rank") <= n)
+    ranked = sizes.withColumn("rank", F.dense_rank().over(w))
+    if n is not None:
+        ranked = ranked.where(F.col("rank") <= n)
+    ranked = ranked.select(F.col("bucket_name").alias("_b"), F.col("object_size").alias("_s"), "rank")
+    same = F.col("bucket_name").eqNullSafe(F.col("_b")) & F.col("object_size").eqNullSafe(F.col("_s"))
+    return rows.join(ranked, same).select("bucket_name", "key", "object_size", "rank")
 
 
 # --- A-3 / F-6 / O-2 ---------------------------------------------------------

@@ -68,6 +68,31 @@ def test_top_objects_dense_rank(spark):
     assert got == [("a", 1), ("b", 1), ("c", 2)]
 
 
+def test_top_objects_match_a_window_over_rows_with_a_hot_tied_key(spark):
+    rnd = random.Random(11)
+    rows = [("hot", "big", 900, None, 0, False)] * 400  # a third of the rows: the hot bucket's largest object
+    rows += [(rnd.choice(["hot", "a", "b"]), f"k{i}", rnd.choice([0, 5, 9, 900, 17, 3]), None, 0, False) for i in range(800)]
+    rows += [("a", "bad", 5000, None, 0, True)]
+    df = log(spark, rows)
+    w = Window.partitionBy("bucket_name").orderBy(F.desc("object_size"))
+    ref = la.good_rows(df).select("bucket_name", "key", "object_size").withColumn("rank", F.dense_rank().over(w))
+    for n in (1, 3, None):
+        got = la.top_objects_per_bucket(df, n=n)
+        want = ref if n is None else ref.where(F.col("rank") <= n)
+        assert got.columns == ["bucket_name", "key", "object_size", "rank"]
+        assert sorted(got.collect()) == sorted(want.collect())
+    # rows are ranked by a join against the ranked sizes, not by a window over the rows
+    text = plan_text(la.top_objects_per_bucket(df, n=3))
+    assert "WindowGroupLimit" in text and "Join" in text
+
+
+def test_top_objects_null_keys_rank_like_a_window(spark):
+    df = log(spark, [(None, "x", 4, None, 0, False), (None, "y", 2, None, 0, False), ("b", "z", None, None, 0, False),
+                     ("b", "w", 1, None, 0, False)])
+    got = sorted((r.key, r.rank) for r in la.top_objects_per_bucket(df, n=None).collect())
+    assert got == [("w", 1), ("x", 1), ("y", 2), ("z", 2)]
+
+
 def test_hits_per_object_excludes_dash_and_malformed(spark):
     df = log(spark, [("b", "k", 3, None, 0, False), ("b", "k", 4, None, 0, False), ("b", "-", 1, None, 0, False),
                      ("b", "k", 100, None, 0, True)])

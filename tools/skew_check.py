@@ -1,10 +1,14 @@
-"""Skew experiment: a third of the log rows in one bucket.
+"""Skew experiments, with Spark's event log written to a scratch folder.
 
-Runs the running-percentage query two ways — a plain window per bucket and
-``log_analytics.running_percentage`` — with Spark's event log written to a
-scratch folder, then reports per job the largest number of records any single
-task handled (rows read from a shuffle; rows produced for the last stage)
-next to the total.
+1. A third of the log rows in one bucket: the running percentage as a plain
+   window per bucket and as ``log_analytics.running_percentage``.
+2. A third of the log rows are requests for one key, the largest object of
+   the hot bucket (so all of them are in the top-k result): per-bucket top-k
+   as a rank filter over a window on the rows and as
+   ``log_analytics.top_objects_per_bucket``.
+
+For each stage it reports the largest number of records any single task read
+from a shuffle, next to the total.
 
     python tools/skew_check.py [sf_dir]
 """
@@ -46,6 +50,17 @@ def main() -> None:
     hot = F.when(F.abs(F.hash("request_id")) % 3 == 0, F.lit("hot")).otherwise(F.col("bucket_name"))
     log = log.withColumn("bucket_name", hot)
 
+    big = F.abs(F.hash("request_id")) % 3 == 0
+    hot_key = (parse_access_log(fx.raw_lines(spark, sf_dir))
+               .withColumn("bucket_name", F.when(big, F.lit("hot")).otherwise(F.col("bucket_name")))
+               .withColumn("key", F.when(big, F.lit("big")).otherwise(F.col("key")))
+               .withColumn("object_size", F.when(big, F.lit(10**9).cast("bigint")).otherwise(F.col("object_size"))))
+
+    def window_top(lg, n=3):
+        w = Window.partitionBy("bucket_name").orderBy(F.desc("object_size"))
+        rows = la.good_rows(lg).select("bucket_name", "key", "object_size")
+        return rows.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= n)
+
     def plain(lg):
         w = Window.partitionBy("bucket_name").orderBy("object_size").rangeBetween(Window.unboundedPreceding, 0)
         rows = la.good_rows(lg)
@@ -53,7 +68,9 @@ def main() -> None:
         return rows.select("bucket_name", "object_size", pct.alias("running_percentage"))
 
     sc = spark.sparkContext
-    for name, df in (("plain window", plain(log)), ("running_percentage", la.running_percentage(log))):
+    groups = (("plain window", plain(log)), ("running_percentage", la.running_percentage(log)),
+              ("top-k window over rows", window_top(hot_key)), ("top_objects_per_bucket", la.top_objects_per_bucket(hot_key, n=3)))
+    for name, df in groups:
         sc.setJobGroup(name, name)
         df.write.format("noop").mode("overwrite").save()
     sc.setJobGroup("report", "report")
@@ -78,7 +95,7 @@ def main() -> None:
                     read = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
                     task_records[ev["Stage ID"]].append(read)
     print(f"good rows {total_good}, in the hot bucket {hot_rows} ({hot_rows / total_good:.0%})")
-    for group in ("plain window", "running_percentage"):
+    for group, _ in groups:
         print(f"-- {group}: per stage, records read from shuffles (tasks, total, largest task, largest ÷ mean)")
         for s in sorted(s for s, g in stage_group.items() if g == group and sum(task_records.get(s, [])) > 0):
             recs = task_records[s]

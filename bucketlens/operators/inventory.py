@@ -21,8 +21,8 @@ def _with_path(df: DataFrame) -> DataFrame:
 # --- S-4 / F-3 ---------------------------------------------------------------
 def inventory_for_buckets(inventory: DataFrame, buckets=None) -> DataFrame:
     """Objects of an allow-list of buckets; ``None`` or an empty list = all."""
-    if buckets is not None and not isinstance(buckets, DataFrame) and len(list(buckets)) == 0:
-        buckets = None
+    if buckets is not None and not isinstance(buckets, DataFrame):
+        buckets = list(buckets) or None  # an iterator is read once
     return select_buckets(inventory, buckets)
 
 

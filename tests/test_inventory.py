@@ -32,6 +32,7 @@ def test_bucket_allow_list(spark):
     assert inv.inventory_for_buckets(df, []).count() == 2
     assert inv.inventory_for_buckets(df, None).count() == 2
     assert [r.bucket_name for r in inv.inventory_for_buckets(df, ["b"]).collect()] == ["b"]
+    assert [r.bucket_name for r in inv.inventory_for_buckets(df, (x for x in ["b"])).collect()] == ["b"]
 
 
 def test_directories(spark):

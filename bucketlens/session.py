@@ -1,9 +1,12 @@
-"""A local session for tests, tools and the bench (library code never makes one)."""
+"""A local session for tests, tools and the bench (library code never makes
+one), and the package for sessions whose workers do not have it installed."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -23,7 +26,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    # lineage cuts go to the cluster's shared folder; only tests set their own
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bucketlens-ckpt-"))
     return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package (``addPyFile``, once per
+    application), so that functions which run in them can import it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="bucketlens-")) / "bucketlens_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, str(Path(root.name) / path.relative_to(root)))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)

@@ -53,8 +53,9 @@ SKIPPABLE = struct.Struct("<II")
 # Fixed value: the profile of a revisit by payload digest.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-INDEX = "page_id long, bundle string, frame int, offset long, length long"
-READ = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
+# Ids pass through Python as text: with nulls they would become floats.
+INDEX = "page_id string, bundle string, frame int, offset long, length long"
+READ = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
 
 
 def open_store(uri: str):
@@ -70,20 +71,19 @@ def open_store(uri: str):
 # -- records -----------------------------------------------------------------
 
 
-def _urn(page_id: int | None) -> str:
+def _urn(page_id: str | None) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
 
-def _page_of(urn: str | None) -> int | None:
-    number = (urn or "").strip("<>").rpartition(":")[2]
-    return int(number) if number else None
+def _page_of(urn: str | None) -> str | None:
+    return (urn or "").strip("<>").rpartition(":")[2] or None
 
 
 def _base32(hex_digest: str) -> str:
     return base64.b32encode(bytes.fromhex(hex_digest)).decode()
 
 
-def make_record(page_id: int | None, url: str | None, payload: bytes, digest: str, size: int, refers_to: int | None) -> bytes:
+def make_record(page_id: str | None, url: str | None, payload: bytes, digest: str, size: int, refers_to: str | None) -> bytes:
     """A response record with the payload, or a revisit record without it."""
     target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
     head = [
@@ -234,22 +234,21 @@ def write_bundles(records: DataFrame, folder: str, frame_bytes: int = FRAME_BYTE
                 if writer is None:
                     uri = f"{folder}/{uuid.uuid4().hex}.warc.zst"
                     writer = BundleWriter(uri, frame_bytes)
-                page = None if pd.isna(r.page_id) else int(r.page_id)
-                refers = None if pd.isna(r.refers_to) else int(r.refers_to)
-                record = make_record(page, r.url, r.payload or b"", r.payload_digest, int(r.payload_bytes), refers)
+                record = make_record(r.page_id, r.url, r.payload or b"", r.payload_digest, int(r.payload_bytes), r.refers_to)
                 frame, offset = writer.add(record)
-                rows.append((page, uri, frame, offset, len(record)))
+                rows.append((r.page_id, uri, frame, offset, len(record)))
                 if writer.written >= bundle_bytes:
                     writer.close()
                     writer = None
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in INDEX.split(", ")]).astype({"page_id": "Int64"})
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in INDEX.split(", ")])
         if writer is not None:
             writer.close()
 
     store, path = open_store(folder)
     store.create_dir(path, recursive=True)
-    nullable = records.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "payload", "payload_bytes", "payload_digest", "refers_to")
-    return stored(nullable.mapInPandas(write, INDEX), "warc-index")
+    named = records.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
+    named = named.select("page_id", "url", "payload", "payload_bytes", "payload_digest", "refers_to")
+    return stored(named.mapInPandas(write, INDEX).withColumn("page_id", F.col("page_id").cast("bigint")), "warc-index")
 
 
 def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -271,22 +270,17 @@ def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
                     row["payload"] = None
                 rows.append(row | {"bundle": uri, "frame": r.frame, "offset": r.offset})
                 if len(rows) == 1000 or sum(len(x["payload"] or b"") for x in rows[-1:]) > 1 << 20:
-                    yield _frame_of(rows)
+                    yield pd.DataFrame(rows)
                     rows = []
             if rows:
-                yield _frame_of(rows)
+                yield pd.DataFrame(rows)
 
     rows = index.select("bundle", "frame", "offset", "length").repartition("bundle").sortWithinPartitions("bundle", "frame", "offset")
-    return rows.mapInPandas(read, READ + ", bundle string, frame int, offset long")
-
-
-def _frame_of(rows: list[dict]) -> pd.DataFrame:
-    return pd.DataFrame(rows).astype({"page_id": "Int64", "refers_to": "Int64"})
+    out = rows.mapInPandas(read, READ + ", bundle string, frame int, offset long")
+    return out.withColumns({c: F.col(c).cast("bigint") for c in ("page_id", "refers_to")})
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     index = write_bundles(with_roles(pages), scratch_path(spark, "warc"))
-    return read_records(index).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "bundle", "frame", "offset"
-    )
+    return read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
+from . import oracle
+from .decontamination import op10_decontamination
+from .jaccard_join import op1_jaccard_join
 from .language_id import op9_language_id
+from .line_dedup import op5_line_dedup
+from .lm_scoring import op7_lm_scoring
 from .packing import op2_packing
 from .quality import op8_quality_rules
 from .secrets import op4_secret_scans
@@ -17,12 +22,16 @@ from .warc import op6_warc
 Query = Callable[[SparkSession, str], DataFrame]
 
 OPERATORS: list[Query] = [
+    op1_jaccard_join,
     op2_packing,
     op3_url_filters,
     op4_secret_scans,
+    op5_line_dedup,
     op6_warc,
+    op7_lm_scoring,
     op8_quality_rules,
     op9_language_id,
+    op10_decontamination,
 ]
 
 
@@ -35,4 +44,10 @@ def _shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {q.__name__: _shipped(q) for q in OPERATORS}
-ORACLE_SQL: dict[str, str] = {}
+#: Queries without SQL are held against brute force in the tests.
+ORACLE_SQL: dict[str, str] = {
+    "op3_url_filters": oracle.URL_FILTERS,
+    "op5_line_dedup": oracle.LINE_DEDUP,
+    "op6_warc": oracle.WARC,
+    "op10_decontamination": oracle.DECONTAMINATION,
+}

@@ -107,7 +107,8 @@ def fingerprint(s: np.ndarray) -> int:
     if not len(s):
         return 0
     h = mix(s.astype(np.uint64) + _U(0x9E3779B97F4A7C15))
-    return int(mix(np.array([h.sum(dtype=np.uint64) + _U(len(s))]) ^ np.bitwise_xor.reduce(h)).astype(np.int64)[0])
+    total, parity = h.sum(dtype=np.uint64, keepdims=True), np.bitwise_xor.reduce(h, keepdims=True)
+    return int(combine(total + _U(len(s)), mix(parity)).astype(np.int64)[0])
 
 
 def _sets_of(shingle: int):

@@ -86,8 +86,9 @@ def item_phrases(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, Dat
 
 
 def anchor_terms(phrases: DataFrame, index: DataFrame, anchors: int = ANCHORS) -> DataFrame:
-    """`(term, phrase_id, offset, n_anchors, n_phrase)`: the rarest terms of
-    every phrase that can occur (all of its terms are in the index)."""
+    """`(term, phrase_id, offset, k, n_anchors, n_phrase)`: the rarest terms of
+    every phrase that can occur (all of its terms are in the index), numbered
+    by k."""
     frequency = index.groupBy("term").agg(F.count("*").alias("n"))
     each = phrases.select("phrase_id", F.size("words").alias("n_phrase"), F.posexplode("words").alias("offset", "word"))
     each = each.select("phrase_id", "n_phrase", "offset", F.xxhash64("word").alias("term"))
@@ -96,18 +97,19 @@ def anchor_terms(phrases: DataFrame, index: DataFrame, anchors: int = ANCHORS) -
     )
     ranked = ranked.where(F.size("by_n") == F.col("n_phrase"))
     chosen = F.slice("by_n", 1, anchors)
-    rows = ranked.select("phrase_id", "n_phrase", F.size(chosen).alias("n_anchors"), F.explode(chosen).alias("a"))
-    return stored(rows.select("a.term", "phrase_id", "a.offset", "n_anchors", "n_phrase"), "anchors")
+    rows = ranked.select("phrase_id", "n_phrase", F.size(chosen).alias("n_anchors"), F.posexplode(chosen).alias("k", "a"))
+    return stored(rows.select("a.term", "phrase_id", "a.offset", "k", "n_anchors", "n_phrase"), "anchors")
 
 
 def candidates(index: DataFrame, anchors: DataFrame) -> DataFrame:
     """`(doc_id, uid, phrase_id, n_phrase, start)`: where the moved posting
     lists of all anchors of a phrase meet."""
     moved = index.join(_sent(anchors), "term").select(
-        "doc_id", "uid", "phrase_id", "n_phrase", "n_anchors", (F.col("pos") - F.col("offset")).alias("start")
+        "doc_id", "uid", "phrase_id", "n_phrase", "n_anchors", (F.col("pos") - F.col("offset")).alias("start"), F.expr("shiftleft(1, k)").alias("bit")
     )
-    met = moved.where("start >= 0").groupBy("doc_id", "uid", "phrase_id", "n_phrase", "n_anchors", "start").agg(F.count("*").alias("n"))
-    return met.where("n = n_anchors").drop("n", "n_anchors")
+    # one bit an anchor: repeated document rows set the same bits again
+    met = moved.where("start >= 0").groupBy("doc_id", "uid", "phrase_id", "n_phrase", "n_anchors", "start").agg(F.bit_or("bit").alias("bits"))
+    return met.where("bits = shiftleft(1, n_anchors) - 1").drop("bits", "n_anchors")
 
 
 def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, anchors: int = ANCHORS) -> DataFrame:

@@ -151,15 +151,16 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", shown)
 
 
+def _count_of(kind: int) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document is a repository, its source the owner."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     found = scan(docs.withColumn("repository", F.col("doc_id")), "repository", "source")
     base = F.filter("spans", lambda s: s["kind"] < len(BASE_KINDS))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}")
-        for k, (name, *_) in enumerate(BASE_KINDS)
-    ]
+    counts = [_count_of(k).alias(f"n_{name}") for k, (name, *_) in enumerate(BASE_KINDS)]
     return found.select(
         "doc_id",
         *counts,

@@ -19,19 +19,32 @@ from bucketlens.llm.quality import LANGUAGE_BANDS, quality_rules
 from bucketlens.session import ship_package
 
 
+def _folded(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and all others in one struct ``rest``, so that no
+    other column of the table can clash with what an operator adds."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return docs.select(*names, F.struct(*others, F.lit(True).alias("_always")).alias("rest"))
+
+
+def _unfolded(df: DataFrame, columns: list[str], *names: str) -> DataFrame:
+    return df.select(*[F.col(c) if c in names else F.col("rest").getField(c).alias(c) for c in columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go (operator 8)."""
     ship_package(spark)
-    return quality_rules(docs, language_bands=LANGUAGE_BANDS, lang="lang").where("_quality.kept").select(docs.columns)
+    names = [c for c in ("doc_id", "text", "lang") if c in docs.columns]
+    judged = quality_rules(_folded(docs, *names), language_bands=LANGUAGE_BANDS, lang="lang" if "lang" in names else None)
+    return _unfolded(judged.where("_quality.kept"), docs.columns, *names)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go from the texts; a document of
     which nothing is left goes too (operator 5)."""
-    done = dedup_lines(docs).withColumn("text", F.col("_text")).where("text is not null")
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast("bigint"))
-    return done.select(docs.columns)
+    names = ["doc_id", "text"]
+    done = dedup_lines(_folded(docs, *names)).withColumn("text", F.col("_text")).where("text is not null")
+    out = _unfolded(done, docs.columns, *names)
+    return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,22 +52,24 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     found = near_duplicates(docs)
     kept = found.where("is_kept").select(F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    keyed = _folded(docs, "doc_id", "text").withColumn("_key", F.xxhash64("text"))
     joined = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_doc"]) & (keyed["_key"] == kept["_text"]), "left_semi")
     # repeated rows of the document that stays are copies as well; texts
     # without a word are in no class of copies and all stay
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
     copies = joined.where(words).dropDuplicates(["doc_id", "_key"])
-    return copies.unionByName(joined.where(~F.coalesce(words, F.lit(False)))).select(docs.columns)
+    out = copies.unionByName(joined.where(~F.coalesce(words, F.lit(False))))
+    return _unfolded(out, docs.columns, "doc_id", "text")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go (operator 10)."""
     judged = decontaminate(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
     bad = judged.where("contaminated").select(F.col("doc_id").alias("_doc"), F.col("uid").alias("_uid")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    keyed = _folded(docs, "doc_id", "text").withColumn("_key", F.xxhash64("text"))
     same = keyed["doc_id"].eqNullSafe(bad["_doc"]) & (keyed["_key"] == bad["_uid"])
-    return keyed.join(bad, same, "left_anti").select(docs.columns)
+    kept = keyed.join(bad, same, "left_anti")
+    return _unfolded(kept, docs.columns, "doc_id", "text")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

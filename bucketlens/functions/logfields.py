@@ -65,30 +65,33 @@ STRICT_FIELDS = (
     FieldPattern("version_id", r"\S+"),
 )
 STRICT_TAIL = ""
-# Tolerant pattern: quoted fields may hold spaces, the address may be empty,
-# `-` or any token, and extra fields after the version id are allowed.
-QUOTED_OR_TOKEN = r'"[^"]*"|\S+'
+# Tolerant pattern: quoted fields may hold spaces (but no quotes), the address
+# may be empty or `-`, and extra fields after the version id are allowed. The
+# address, the key and the status have a shape, so that a line with a field too
+# few or an open quote is malformed instead of shifted by one.
+QUOTED_OR_TOKEN = r'"[^"]*"|[^"\s]\S*'
+ADDRESS = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}|[0-9A-Fa-f]*:[0-9A-Fa-f:.]+|-"
 TOLERANT_FIELDS = (
     FieldPattern("owner_name", r"\S+"),
     FieldPattern("bucket_name", r"\S+"),
     FieldPattern("event_time", r"[^\]]*", before=r"\[", after=r"\]"),
-    FieldPattern("ip_address", r"\S*"),
-    FieldPattern("requester", r"\S+"),
-    FieldPattern("request_id", r"\S+"),
-    FieldPattern("operation", r"\S+"),
-    FieldPattern("key", r"\S+"),
+    FieldPattern("ip_address", ADDRESS, optional=True),
+    FieldPattern("requester", r'[^"\s]\S*'),
+    FieldPattern("request_id", r'[^"\s]\S*'),
+    FieldPattern("operation", r'[^"\s]\S*'),
+    FieldPattern("key", r'[^"\s]\S*'),
     FieldPattern("request_uri", QUOTED_OR_TOKEN),
-    FieldPattern("http_status", r"\S+"),
-    FieldPattern("error_code", r"\S+"),
-    FieldPattern("bytes_sent", r"\S+"),
-    FieldPattern("object_size", r"\S+"),
-    FieldPattern("total_time", r"\S+"),
-    FieldPattern("turn_around_time", r"\S+"),
+    FieldPattern("http_status", r"[0-9]{3}|-"),
+    FieldPattern("error_code", r'[^"\s]\S*'),
+    FieldPattern("bytes_sent", r'[^"\s]\S*'),
+    FieldPattern("object_size", r'[^"\s]\S*'),
+    FieldPattern("total_time", r'[^"\s]\S*'),
+    FieldPattern("turn_around_time", r'[^"\s]\S*'),
     FieldPattern("referrer", QUOTED_OR_TOKEN),
     FieldPattern("user_agent", QUOTED_OR_TOKEN),
-    FieldPattern("version_id", r"\S+"),
+    FieldPattern("version_id", r'[^"\s]\S*'),
 )
-TOLERANT_TAIL = r"(?: .*)?"
+TOLERANT_TAIL = r"(?: [^\n]*)?"
 # Positional mode: split on single spaces (trailing spaces make no tokens). Token 2 is `[dd/MMM/yyyy:HH:mm:ss`,
 # token 3 the `+hhmm]` offset, tokens 9, 10 and 11 are joined without spaces
 # into the URI, tokens after 20 are ignored; fewer than 21 tokens is malformed.

@@ -25,10 +25,6 @@ def object_uri(root: str, bucket: Column, key: Column) -> Column:
     return F.concat(F.lit(base), object_path(bucket, key))
 
 
-def is_root(key: Column) -> Column:
-    return key == F.lit("")
-
-
 def is_directory(key: Column) -> Column:
     """A directory marker is a key ending with the separator."""
     return key.endswith(SEPARATOR)

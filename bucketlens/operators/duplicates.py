@@ -13,11 +13,17 @@ reference ran one job per file):
 * ``bytes``: MD5 of the exact bytes. Only objects whose size occurs more than
   once are hashed at all; zero-byte objects need no read.
 
-Results are *equality classes*, not hash values: ``class_id`` is the smallest
-`bucket/key` path of the class. Copies are reported one row per object with
-the class size — a class of millions of copies is never collected into one
-row or one task; class ids are an aggregate joined back (adaptive execution
-splits a hot class or broadcasts the small side).
+``checksum`` is the digest of an object's fingerprint: equal content has equal
+checksums in every run, so new objects can be compared with old results.
+``class_id`` is the smallest `bucket/key` path of a class in this run. Copies
+are reported one row per object with the class size — a class of millions of
+copies is never collected into one row or one task; class ids are an aggregate
+joined back (adaptive execution splits a hot class or broadcasts the small
+side).
+
+What is not known is never called a copy: an object with a size but without a
+line read, or without a size, has a NULL checksum, class and count. An object
+that is listed twice is an error (keep the latest version: ``read_inventory``).
 """
 
 from __future__ import annotations
@@ -34,67 +40,75 @@ EMPTY_MD5 = "d41d8cd98f00b204e9800998ecf8427e"
 
 
 def line_signatures(lines: DataFrame, mode: str = "lines") -> DataFrame:
-    """``(bucket_name, key, _n, _s0 … _s5)`` per object with ≥ 1 non-empty line."""
-    nonempty = lines.where(F.col("line") != "")
-    ps = pieces(F.col("line"), mode)
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(p).alias(f"_s{i}") for i, p in enumerate(ps)]
-    return nonempty.groupBy("bucket_name", "key").agg(*aggs)
-
-
-def _signature_cols(sig: DataFrame) -> list[str]:
-    return [c for c in sig.columns if c.startswith("_")]
-
-
-def _per_class(fp: DataFrame, sig_cols: list[str]) -> DataFrame:
-    """One row per class: its signature, ``class_id`` and ``n_copies``."""
+    """``(bucket_name, key, _n, _s0 … _s5)`` per object with ≥ 1 line; blank
+    lines add nothing."""
+    filled = F.col("line") != ""
+    aggs = [F.count_if(filled).alias("_n")]
+    aggs += [F.coalesce(F.sum(F.when(filled, p)), F.lit(0)).cast("bigint").alias(f"_s{i}")
+             for i, p in enumerate(pieces(F.col("line"), mode))]
+    return lines.groupBy("bucket_name", "key").agg(*aggs)
+
+
+def one_row_per_key(objects: DataFrame) -> DataFrame:
+    """``(bucket_name, key, size)``; a key that is listed twice is an error. A
+    table without sizes gives NULL sizes."""
+    size = F.col("size") if "size" in objects.columns else F.lit(None).cast("bigint")
+    per_key = objects.groupBy("bucket_name", "key").agg(F.max(size).alias("size"), F.count(F.lit(1)).alias("_k"))
+    twice = F.raise_error(F.concat(F.lit("object listed twice: "), object_path(F.col("bucket_name"), F.col("key"))))
+    return per_key.select("bucket_name", "key", F.when(F.col("_k") == 1, F.col("size")).otherwise(twice.cast("bigint")).alias("size"))
+
+
+def _classes(fp: DataFrame) -> DataFrame:
+    """``(bucket_name, key, checksum, class_id, n_copies)`` from ``(bucket_name,
+    key, size, checksum)`` rows (``size`` tells unequal contents apart early)."""
     path = object_path(F.col("bucket_name"), F.col("key"))
-    return fp.groupBy(*sig_cols).agg(F.min(path).alias("class_id"), F.count(F.lit(1)).alias("n_copies"))
+    per_class = fp.groupBy("size", "checksum").agg(F.min(path).alias("class_id"), F.count(F.lit(1)).alias("n_copies"))
+    return fp.join(per_class, ["size", "checksum"]).select("bucket_name", "key", "checksum", "class_id", "n_copies")
 
 
-def _classes(fp: DataFrame, sig_cols: list[str]) -> DataFrame:
-    """``(bucket_name, key, class_id, n_copies)`` from per-object signatures."""
-    return fp.join(_per_class(fp, sig_cols), sig_cols).select("bucket_name", "key", "class_id", "n_copies")
+def _unknown(rows: DataFrame) -> DataFrame:
+    none = F.lit(None)
+    return rows.select("bucket_name", "key", none.cast("string").alias("checksum"), none.cast("string").alias("class_id"),
+                       none.cast("bigint").alias("n_copies"))
 
 
-def _line_fingerprints(objects: DataFrame, lines: DataFrame, mode: str) -> tuple[DataFrame, list[str]]:
+def line_classes(objects: DataFrame, lines: DataFrame, mode: str = "lines") -> DataFrame:
+    """Every object of ``objects`` ``(bucket_name, key, size)`` with its
+    checksum and class under a line fingerprint. Objects without any non-empty
+    line (zero-byte, by their size, or blank-only) are one class."""
     if mode not in LINE_MODES:
         raise ValueError(f"mode must be one of {LINE_MODES}, got {mode!r}")
     sig = line_signatures(lines, mode)
-    cols = _signature_cols(sig)
-    fp = objects.select("bucket_name", "key").join(sig, ["bucket_name", "key"], "left").fillna(0, subset=cols)
-    return fp, cols
-
-
-def line_classes(objects: DataFrame, lines: DataFrame, mode: str = "lines") -> DataFrame:
-    """Every object of ``objects`` with its class under a line fingerprint.
-
-    Objects without any non-empty line (empty, zero-byte or blank-only) share
-    the signature of "no lines", so they come from ``objects``, not ``lines``."""
-    return _classes(*_line_fingerprints(objects, lines, mode))
+    cols = [c for c in sig.columns if c.startswith("_")]
+    own = one_row_per_key(objects).join(sig, ["bucket_name", "key"], "left")
+    read = F.col("_n").isNotNull() | (F.col("size") == 0)
+    digest = F.md5(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit(0)).cast("string") for c in cols]))
+    fp = own.select("bucket_name", "key", F.lit(0).alias("size"), F.when(F.coalesce(read, F.lit(False)), digest).alias("checksum"))
+    known = fp.where(F.col("checksum").isNotNull())
+    return _classes(known).unionByName(_unknown(fp.where(F.col("checksum").isNull())))
 
 
 def content_fingerprint(objects: DataFrame, lines: DataFrame, mode: str = "lines") -> DataFrame:
-    """A-11: ``(bucket_name, key, class_id)`` for every object."""
-    return line_classes(objects, lines, mode).select("bucket_name", "key", "class_id")
+    """A-11: ``(bucket_name, key, checksum, class_id)`` for every object."""
+    return line_classes(objects, lines, mode).select("bucket_name", "key", "checksum", "class_id")
 
 
-def _copies(classes: DataFrame) -> DataFrame:
-    dup = classes.where(F.col("n_copies") > 1)
-    return dup.select("class_id", "n_copies", "bucket_name", "key").orderBy(
+def _ordered(classes: DataFrame) -> DataFrame:
+    return classes.select("checksum", "class_id", "n_copies", "bucket_name", "key").orderBy(
         F.desc("n_copies"), "class_id", "bucket_name", "key"
     )
 
 
 def duplicate_files(objects: DataFrame, lines: DataFrame, mode: str = "lines") -> DataFrame:
-    """A-9: objects that have at least one copy, one row each, largest
-    classes first: ``(class_id, n_copies, bucket_name, key)``."""
-    return _copies(line_classes(objects, lines, mode))
+    """A-9: objects that have at least one copy, one row each, largest classes
+    first: ``(checksum, class_id, n_copies, bucket_name, key)``."""
+    return _ordered(line_classes(objects, lines, mode).where(F.col("n_copies") > 1))
 
 
 def checksum_groups(objects: DataFrame, lines: DataFrame, mode: str = "lines") -> DataFrame:
-    """A-10: every class, singletons included: ``(class_id, n_copies)``."""
-    per_class = _per_class(*_line_fingerprints(objects, lines, mode))
-    return per_class.select("class_id", "n_copies").orderBy(F.desc("n_copies"), "class_id")
+    """A-10: the members of every checksum group, singletons included, one row
+    per object: ``(checksum, class_id, n_copies, bucket_name, key)``."""
+    return _ordered(line_classes(objects, lines, mode))
 
 
 def byte_classes(objects: DataFrame, checksums) -> DataFrame:
@@ -104,9 +118,9 @@ def byte_classes(objects: DataFrame, checksums) -> DataFrame:
     DataFrame of candidates ``(bucket_name, key, size)`` to ``(bucket_name,
     key, size, checksum)``. It is only asked for objects whose size occurs more
     than once and is not 0; an object with a unique size is its own class
-    without being read.
+    without being read (its checksum stays NULL).
     """
-    objects = objects.select("bucket_name", "key", "size")
+    objects = one_row_per_key(objects)
     per_size = objects.groupBy("size").agg(F.count(F.lit(1)).alias("_k"))
     sized = objects.join(per_size, "size")
     candidates = sized.where(F.col("_k") > 1).select("bucket_name", "key", "size")
@@ -114,15 +128,15 @@ def byte_classes(objects: DataFrame, checksums) -> DataFrame:
     hashed = checksums(candidates.where(F.col("size") != 0))
     both = empty.unionByName(hashed.select("bucket_name", "key", "size", "checksum"))
     alone = sized.where(F.col("_k") == 1).select(
-        "bucket_name", "key", object_path(F.col("bucket_name"), F.col("key")).alias("class_id"),
-        F.lit(1).cast("bigint").alias("n_copies"),
+        "bucket_name", "key", F.lit(None).cast("string").alias("checksum"),
+        object_path(F.col("bucket_name"), F.col("key")).alias("class_id"), F.lit(1).cast("bigint").alias("n_copies"),
     )
-    return _classes(both, ["size", "checksum"]).unionByName(alone)
+    return _classes(both).unionByName(alone).unionByName(_unknown(objects.where(F.col("size").isNull())))
 
 
 def duplicate_files_bytes(objects: DataFrame, checksums) -> DataFrame:
-    """Duplicates by exact bytes: ``(class_id, n_copies, bucket_name, key)``."""
-    return _copies(byte_classes(objects, checksums))
+    """Duplicates by exact bytes, as ``duplicate_files``."""
+    return _ordered(byte_classes(objects, checksums).where(F.col("n_copies") > 1))
 
 
 def md5_of_column(contents: DataFrame, column: str = "content"):

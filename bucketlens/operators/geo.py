@@ -4,34 +4,47 @@ longitude)`` table of inclusive IPv4 ranges).
 
 A row is never multiplied: each address gets at most one range — the
 containing range with the greatest start, then the smallest end, then the
-smallest (country, city, latitude, longitude). GeoIP tables are disjoint, and
-that is checked; a table with overlaps is first painted into disjoint
-segments that carry exactly that winner (a sweep per /16 block over the
-ranges table only), so both strategies below are exact on any input.
+smallest (country, city, latitude, longitude). Overlapping ranges are painted
+into disjoint segments that carry exactly that winner (a sweep per /16 block
+over the ranges table only), so both strategies below are exact on any input
+and return the same columns and rows.
+
+``prepare_geo(ranges)`` does the looking at the ranges table once: it counts
+the /16-cut table and tests it for overlaps (two distributed aggregates), and
+fixes the strategy. Enriching with what it returns starts no job. A plain
+ranges DataFrame works as well: it is painted and looked up by ``bucketed``,
+also without a job.
 
 * ``broadcast``: the ranges, cut at /16 boundaries, are broadcast and every
   row of the input is looked up where it is (hash on the /16 block plus the
-  range test): one scan, no shuffle of the big side. Used only after one
-  bounded action showed the cut table has at most ``broadcast_max_rows`` rows.
+  range test): one scan, no shuffle of the big side. Used only if the counted
+  cut table has at most ``broadcast_max_rows`` rows.
 * ``bucketed``: an as-of lookup per /16 block over the *distinct* addresses,
   joined back. Addresses and range starts of a block are sorted together and
   each address takes the last segment that started at or before it. A block
   holds at most 2^16 distinct addresses, so no window partition is unbounded,
-  however skewed the traffic; the ranges table may have any size.
+  however skewed the traffic; the ranges table may have any size. Rows without
+  an address are dealt out by a hash of the row, not to one task; the rows of a
+  hot address are split by adaptive execution (the join keeps its left side).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.network import PREFIX16_SHIFT, ipv4_to_long, prefix16
+from ..session import ship_package
 
 GEO_COLUMNS = ("country", "city", "latitude", "longitude")
 # Cut ranges above this many rows are not broadcast (≈60 bytes a row).
 BROADCAST_MAX_ROWS = 250_000
-# "auto" and "broadcast" broadcast only after the size check passes (and fall
-# back to "bucketed" otherwise); "bucketed" never broadcasts the ranges.
+# Keys that rows without an address are dealt out by.
+_SPREAD = 1 << 16
+# "auto" and "broadcast" broadcast only if the size check passes (and are
+# "bucketed" otherwise); "bucketed" never broadcasts the ranges.
 METHODS = ("auto", "broadcast", "bucketed")
 
 
@@ -51,22 +64,6 @@ def cut_at_prefix16(geo: DataFrame) -> DataFrame:
 
 
 # --- making ranges disjoint ----------------------------------------------------
-def _inspect(geo: DataFrame, broadcast_max_rows: int) -> tuple[bool, bool]:
-    """One small action on the ranges table, bounded by ``broadcast_max_rows``:
-    (does the /16-cut table fit the broadcast bound, are the ranges disjoint).
-    Only the first ``broadcast_max_rows + 1`` ranges are looked at; beyond
-    that the table does not fit and disjointness is checked per block."""
-    valid = geo.where(F.col("ip_start") <= F.col("ip_end")).select("ip_start", "ip_end")
-    head = valid.limit(broadcast_max_rows + 1)
-    w = Window.orderBy("ip_start", "ip_end").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = prefix16(F.col("ip_end")) - prefix16(F.col("ip_start")) + 1
-    stats = head.select(blocks.alias("_k"), (F.max("ip_end").over(w) >= F.col("ip_start")).alias("_o")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_k").alias("cut"), F.max("_o").alias("overlap")
-    ).collect()[0]
-    fits = stats.n <= broadcast_max_rows and (stats.cut or 0) <= broadcast_max_rows
-    return fits, not stats.overlap
-
-
 def blocks_disjoint(geo: DataFrame) -> bool:
     """True if no two ranges overlap; one pass over the cut table, windowed
     per /16 block (any table size)."""
@@ -115,23 +112,46 @@ def _paint_block(pdf):
 
 def disjoint_ranges(geo: DataFrame) -> DataFrame:
     """Overlapping ranges → disjoint segments (inside /16 blocks) carrying the
-    winning range's location. Runs on the ranges table only, one group per
-    /16 block, so the work is bounded by the ranges touching a block."""
+    winning range's location. Runs on the ranges table only, one group per /16
+    block. Of the ranges that cover a whole block only the winner matters; it
+    is chosen by an aggregate first (combined map-side), so a group holds one
+    such range and those with an end inside the block."""
     cut = cut_at_prefix16(geo).select("_p", "_from", "_to", "ip_start", "ip_end", *GEO_COLUMNS)
+    whole = F.col("_to") - F.col("_from") == (1 << PREFIX16_SHIFT) - 1
+    # greatest start, then smallest end, then smallest location (NULLs first)
+    order = F.struct((-F.col("ip_start")).alias("s"), "ip_end", *GEO_COLUMNS)
+    best = cut.where(whole).groupBy("_p", "_from", "_to").agg(F.min(order).alias("_best"))
+    best = best.select("_p", "_from", "_to", (-F.col("_best.s")).alias("ip_start"), F.col("_best.ip_end").alias("ip_end"),
+                       *[F.col(f"_best.{c}").alias(c) for c in GEO_COLUMNS])
+    parts = cut.where(~whole).unionByName(best)
+    ship_package(geo.sparkSession)
     types = dict(geo.dtypes)
     schema = ", ".join(["ip_start bigint", "ip_end bigint"] + [f"{c} {types[c]}" for c in GEO_COLUMNS])
-    return cut.groupBy("_p").applyInPandas(_paint_block, schema)
+    return parts.groupBy("_p").applyInPandas(_paint_block, schema)
+
 
+@dataclass(frozen=True)
+class PreparedGeo:
+    """Disjoint ranges cut at /16 boundaries, and the strategy to use."""
 
-def _prepared(geo: DataFrame, method: str, broadcast_max_rows: int) -> tuple[DataFrame, str]:
-    """Disjoint ranges and the strategy to use (size check first)."""
+    cut: DataFrame
+    method: str
+
+
+def prepare_geo(geo: DataFrame, method: str = "auto", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> PreparedGeo:
+    """Look at the ranges once (see the module's notes)."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
+    ranges = geo if blocks_disjoint(geo) else disjoint_ranges(geo)
     if method != "bucketed":
-        fits, disjoint = _inspect(geo, broadcast_max_rows)
-        if fits:
-            return (geo if disjoint else disjoint_ranges(geo)), "broadcast"
-    return (geo if blocks_disjoint(geo) else disjoint_ranges(geo)), "bucketed"
+        blocks = prefix16(F.col("ip_end")) - prefix16(F.col("ip_start")) + 1
+        rows = ranges.where(F.col("ip_start") <= F.col("ip_end")).agg(F.sum(blocks)).first()[0] or 0
+        method = "broadcast" if rows <= broadcast_max_rows else "bucketed"
+    return PreparedGeo(cut_at_prefix16(ranges), method)
+
+
+def _prepared(geo: DataFrame | PreparedGeo) -> PreparedGeo:
+    return geo if isinstance(geo, PreparedGeo) else PreparedGeo(cut_at_prefix16(disjoint_ranges(geo)), "bucketed")
 
 
 # --- lookups -------------------------------------------------------------------
@@ -161,26 +181,22 @@ def _lookup_bucketed(ips: DataFrame, cut: DataFrame) -> DataFrame:
     return found.select("ip_address", *[F.col(f"_hit.{c}").alias(c) for c in GEO_COLUMNS])
 
 
-def lookup_locations(ips: DataFrame, geo: DataFrame, method: str = "auto",
-                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Distinct ``ip_address`` values → ``(ip_address, country, city,
-    latitude, longitude)`` for the addresses inside some range."""
-    ranges, method = _prepared(geo, method, broadcast_max_rows)
-    cut = cut_at_prefix16(ranges)
-    if method == "broadcast":
-        return _join_broadcast(ips.select("ip_address"), cut, "inner")
-    return _lookup_bucketed(ips, cut)
-
-
-def enrich_geo(df: DataFrame, geo: DataFrame, method: str = "auto",
-               broadcast_max_rows: int = BROADCAST_MAX_ROWS, distinct: bool = True) -> DataFrame:
-    """Add country, city, latitude and longitude to every row of ``df`` (by
-    its ``ip_address``); rows without a located address get NULLs.
-    ``distinct=False`` when ``df`` already has one row per address."""
-    ranges, method = _prepared(geo, method, broadcast_max_rows)
-    cut = cut_at_prefix16(ranges)
-    if method == "broadcast":
-        return _join_broadcast(df, cut, "left")
-    ips = df.select("ip_address").where(F.col("ip_address").isNotNull())
-    ips = ips.distinct() if distinct else ips
-    return df.join(_lookup_bucketed(ips, cut), "ip_address", "left")
+def lookup_locations(ips: DataFrame, geo: DataFrame | PreparedGeo) -> DataFrame:
+    """``(ip_address, country, city, latitude, longitude)``, one row for each
+    distinct address inside some range."""
+    geo = _prepared(geo)
+    ips = ips.select("ip_address").where(F.col("ip_address").isNotNull()).distinct()
+    return _join_broadcast(ips, geo.cut, "inner") if geo.method == "broadcast" else _lookup_bucketed(ips, geo.cut)
+
+
+def enrich_geo(df: DataFrame, geo: DataFrame | PreparedGeo) -> DataFrame:
+    """Every row of ``df``, its columns in their order, then country, city,
+    latitude and longitude (by its ``ip_address``; NULLs without a location)."""
+    geo = _prepared(geo)
+    if geo.method == "broadcast":
+        return _join_broadcast(df, geo.cut, "left")
+    found = lookup_locations(df, geo).withColumnRenamed("ip_address", "_address")
+    # no address looks like this, so these rows meet nothing, in many tasks
+    spread = F.concat(F.lit("no address "), F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD)).cast("string"))
+    keyed = df.withColumn("_key", F.coalesce("ip_address", spread))
+    return keyed.join(found, keyed["_key"] == found["_address"], "left").select(*[keyed[c] for c in df.columns], *GEO_COLUMNS)

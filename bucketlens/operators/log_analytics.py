@@ -19,8 +19,12 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..parallelism import default_parallelism
-from .geo import enrich_geo
+from .geo import PreparedGeo, enrich_geo
+
+
+def exact_sum(name: str) -> Column:
+    """Sum of a bigint column that cannot overflow."""
+    return F.sum(F.col(name).cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
 def good_rows(log: DataFrame) -> DataFrame:
@@ -41,7 +45,7 @@ def select_buckets(df: DataFrame, buckets: Iterable[str] | DataFrame | None) ->
 # --- A-1 / O-1 ---------------------------------------------------------------
 def top_buckets_by_size(log: DataFrame, n: int | None = 5) -> DataFrame:
     """Buckets by total object size, largest first (ties by name)."""
-    out = good_rows(log).groupBy("bucket_name").agg(F.sum("object_size").alias("total_size"))
+    out = good_rows(log).groupBy("bucket_name").agg(exact_sum("object_size").alias("total_size"))
     out = out.orderBy(F.desc("total_size"), "bucket_name")
     return out if n is None else out.limit(n)
 
@@ -50,23 +54,27 @@ def top_buckets_by_size(log: DataFrame, n: int | None = 5) -> DataFrame:
 def top_objects_per_bucket(log: DataFrame, n: int | None = 5, buckets=None) -> DataFrame:
     """Requests ranked per bucket by object size (``dense_rank``), rank ≤ n.
 
-    A dense rank depends on the distinct sizes of a bucket only, so it is
-    computed on the (bucket, size) summary: combined map-side, and with the
-    rank filter Spark inserts a partial per-partition group limit, so at most
-    n sizes per bucket and partition are shipped. The ranked sizes (≤ n per
-    bucket) are joined back to the rows on (bucket, size); adaptive execution
-    broadcasts that small side after measuring it, so the rows are filtered
-    where they are read. No task ever holds a whole bucket, even when a third
-    of all requests are ties on one bucket's largest object."""
-    rows = select_buckets(good_rows(log), buckets).select("bucket_name", "key", "object_size")
-    sizes = rows.select("bucket_name", "object_size").distinct()
-    w = Window.partitionBy("bucket_name").orderBy(F.desc("object_size"))
-    ranked = sizes.withColumn("rank", F.dense_rank().over(w))
-    if n is not None:
-        ranked = ranked.where(F.col("rank") <= n)
+    The log is read once, into a count per (bucket, key, size) that is combined
+    map-side. A dense rank depends on the distinct sizes of a bucket only: with
+    ``n`` they are ranked by a window whose rank filter Spark applies before
+    its shuffle too (at most n sizes per bucket and partition are shipped);
+    without a limit the rank is a count of greater sizes by ``_prefix_sums``,
+    so no window ever holds a bucket. The ranks are joined to the counts, and
+    the rows are made again from them (``_repeat_rows``): a third of all
+    requests on one bucket's largest object never meet in one task."""
+    rows = select_buckets(good_rows(log), buckets)
+    counts = rows.groupBy("bucket_name", "key", "object_size").agg(F.count(F.lit(1)).alias("_c"))
+    sizes = counts.select("bucket_name", "object_size").distinct()
+    if n is None:
+        ones = _prefix_sums(sizes.withColumn("_c", F.lit(1).cast("bigint")), "bucket_name", "object_size", descending=True)
+        ranked = ones.withColumn("rank", F.col("running_sum").cast("int")).drop("running_sum", "_c")
+    else:
+        w = Window.partitionBy("bucket_name").orderBy(F.desc("object_size"))
+        ranked = sizes.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= n)
     ranked = ranked.select(F.col("bucket_name").alias("_b"), F.col("object_size").alias("_s"), "rank")
     same = F.col("bucket_name").eqNullSafe(F.col("_b")) & F.col("object_size").eqNullSafe(F.col("_s"))
-    return rows.join(ranked, same).select("bucket_name", "key", "object_size", "rank")
+    found = counts.join(ranked, same).select("bucket_name", "key", "object_size", "rank", "_c")
+    return _repeat_rows(found, "_c", ["bucket_name", "key", "object_size", "rank"])
 
 
 # --- A-3 / F-6 / O-2 ---------------------------------------------------------
@@ -74,13 +82,13 @@ def hits_per_object(log: DataFrame, buckets=None) -> DataFrame:
     """Requests and bytes per (bucket, key); keys `-` excluded."""
     rows = select_buckets(good_rows(log), buckets).where(F.col("key") != "-")
     out = rows.groupBy("bucket_name", "key").agg(
-        F.count("key").alias("hits"), F.sum("object_size").alias("bytes")
+        F.count("key").alias("hits"), exact_sum("object_size").alias("bytes")
     )
     return out.orderBy("bucket_name", "key")
 
 
 # --- A-2 / J-1 / O-5 ---------------------------------------------------------
-def hits_per_ip(log: DataFrame, buckets=None, geo: DataFrame | None = None, geo_method: str = "auto") -> DataFrame:
+def hits_per_ip(log: DataFrame, buckets=None, geo: DataFrame | PreparedGeo | None = None) -> DataFrame:
     """Requests per client address over all buckets, for the addresses that
     touched a selected bucket, most active first.
 
@@ -102,11 +110,11 @@ def hits_per_ip(log: DataFrame, buckets=None, geo: DataFrame | None = None, geo_
         touched = F.max(F.col("bucket_name").isin(list(buckets))).alias("_touched")
         out = rows.groupBy("ip_address").agg(F.count("ip_address").alias("hits"), touched).where("_touched").drop("_touched")
     if geo is not None:
-        out = enrich_geo(out, geo, method=geo_method, distinct=False)
+        out = enrich_geo(out, geo)
     return out.orderBy(F.desc("hits"), "ip_address")
 
 
-def top_ips(log: DataFrame, n: int = 5, buckets=None, geo: DataFrame | None = None) -> DataFrame:
+def top_ips(log: DataFrame, n: int = 5, buckets=None, geo: DataFrame | PreparedGeo | None = None) -> DataFrame:
     return hits_per_ip(log, buckets=buckets, geo=geo).limit(n)
 
 
@@ -116,7 +124,7 @@ def distinct_buckets(log: DataFrame) -> DataFrame:
 
 
 def total_bytes_sent(log: DataFrame) -> DataFrame:
-    return good_rows(log).agg(F.sum("bytes_sent").alias("total_bytes_sent"))
+    return good_rows(log).agg(exact_sum("bytes_sent").alias("total_bytes_sent"))
 
 
 def malformed_summary(parsed: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -140,59 +148,64 @@ _CHUNK = 1 << 16
 
 def _size_counts(rows: DataFrame, group: str, value: str) -> DataFrame:
     """Distinct (group, value) with their row count: the map-side-combined
-    summary every per-row share is computed from.
-
-    The not-null conditions are what the later joins would infer anyway;
-    stating them once here keeps every branch that reads the summary
-    identical, so Spark computes it once and reuses the exchange."""
-    keys = F.col(group).isNotNull() & F.col(value).isNotNull()
-    return rows.where(keys).groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+    summary every per-row share is computed from. NULLs are values of their
+    own, as in a window."""
+    return rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
 
 
 def _repeat_rows(df: DataFrame, count_col: str, cols: list[str]) -> DataFrame:
     """Each row of ``df`` ``count_col`` times (only ``cols`` kept).
 
-    A count is first cut into chunks of ≤ 2^16, the chunks are spread
-    round-robin over the cluster, and each chunk is expanded where it lands,
-    so a (bucket, size) pair holding a third of all rows is regenerated by
-    every task, not by one."""
+    A count is first cut into chunks of ≤ 2^16, the chunks are dealt out by a
+    hash of row and chunk over as many tasks as the session shuffles into, and
+    each chunk is expanded where it lands, so a (bucket, size) pair holding a
+    third of all rows is regenerated by every task, not by one."""
     c = F.col(count_col)
     n_chunks = F.floor((c + (_CHUNK - 1)) / _CHUNK).cast("bigint")
     chunks = df.select(*cols, c, F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)).alias("_chunk"))
-    spread = chunks.repartition(default_parallelism(df.sparkSession))
+    spread = chunks.repartition(*[F.col(x) for x in cols], F.col("_chunk"))
     length = F.least(F.lit(_CHUNK).cast("bigint"), c - F.col("_chunk") * _CHUNK).cast("int")
     return spread.select(*cols, F.explode(F.array_repeat(F.lit(True), length)).alias("_one")).select(*cols)
 
 
-def _prefix_sums(counts: DataFrame, group: str, value: str) -> DataFrame:
+# Stands for a NULL where blocks are made; sorts before every size, as NULLs do.
+_NULL_SIZE = -(1 << 63)
+
+
+def _prefix_sums(counts: DataFrame, group: str, value: str, descending: bool = False) -> DataFrame:
     """``(group, value, _c, running_sum)``: for each distinct (group, value)
     with ``_c`` rows, the sum of ``value`` over all rows of the group with a
-    value ≤ it — the RANGE-frame running sum, without a per-group window.
+    value ≤ it — the RANGE-frame running sum, without a per-group window. A
+    NULL value adds nothing and sorts first. ``descending``: the number of rows
+    with a value ≥ it instead (NULL last).
 
     A value's running sum is its running sum inside its 2^21-wide block, plus
     the sum of the earlier blocks inside its 2^42-wide block, plus the sum of
     the earlier 2^42-wide blocks of the group. Each term is one bounded window
     (≤ 2^21 rows a partition) over a summary, added with joins on block keys.
     """
-    b1, b2 = "_b1", "_b2"
-    weight = (F.col(value).cast("decimal(38,0)") * F.col("_c")).cast("decimal(38,0)")
-    # block keys are non-null by construction (values are), and say so: no
-    # join then infers a not-null filter that would make branches differ
-    base = counts.select(group, value, "_c", weight.alias("_t"),
-                         F.coalesce(F.shiftright(F.col(value), _SHIFTS[0]), F.lit(0).cast("bigint")).alias(b1),
-                         F.coalesce(F.shiftright(F.col(value), _SHIFTS[1]), F.lit(0).cast("bigint")).alias(b2))
+    size = F.coalesce(F.col(value), F.lit(_NULL_SIZE))
+    # ~v = -v - 1 turns the order round and cannot overflow
+    order = F.bitwise_not(size) if descending else size
+    weight = F.col("_c") if descending else F.coalesce(F.col(value), F.lit(0)).cast("decimal(20,0)") * F.col("_c")
+    # keys of blocks are never null and say so: every branch then reads one
+    # summary, which Spark computes once
+    name = F.concat(F.when(F.col(group).isNull(), F.lit("0")).otherwise(F.lit("1")), F.coalesce(F.col(group), F.lit("")))
+    g, b1, b2 = "_g", "_b1", "_b2"
+    base = counts.select(group, value, "_c", weight.cast("decimal(38,0)").alias("_t"), order.alias("_o"), name.alias(g),
+                         F.shiftright(order, _SHIFTS[0]).alias(b1), F.shiftright(order, _SHIFTS[1]).alias(b2))
 
     def running(parts: list[str], order: str, inclusive: bool) -> Column:
         w = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         total = F.sum("_t").over(w)
         return total if inclusive else total - F.col("_t")
 
-    inside = base.withColumn("_in", running([group, b1], value, True))
-    t1 = base.groupBy(group, b2, b1).agg(F.sum("_t").alias("_t"))
-    ex1 = t1.select(group, b1, running([group, b2], b1, False).alias("_ex1"))
-    t2 = base.groupBy(group, b2).agg(F.sum("_t").alias("_t"))
-    ex2 = t2.select(group, b2, running([group], b2, False).alias("_ex2"))
-    out = inside.join(ex1, [group, b1]).join(ex2, [group, b2])
+    inside = base.withColumn("_in", running([g, b1], "_o", True))
+    t1 = base.groupBy(g, b2, b1).agg(F.sum("_t").alias("_t"))
+    ex1 = t1.select(g, b1, running([g, b2], b1, False).alias("_ex1"))
+    t2 = base.groupBy(g, b2).agg(F.sum("_t").alias("_t"))
+    ex2 = t2.select(g, b2, running([g], b2, False).alias("_ex2"))
+    out = inside.join(ex1, [g, b1]).join(ex2, [g, b2])
     total = F.col("_in") + F.col("_ex1") + F.col("_ex2")
     return out.select(group, value, "_c", total.alias("running_sum"))
 
@@ -203,8 +216,9 @@ def running_percentage(log: DataFrame, buckets=None) -> DataFrame:
     output row per log row.
 
     This is the literal reference formula: it is not a share of the total and
-    exceeds 100; a zero size gives NULL instead of an error. The log is read
-    once and only (bucket, size) summaries are shuffled."""
+    exceeds 100; a zero or NULL size gives NULL instead of an error, and a NULL
+    bucket is a bucket. The log is read once and only (bucket, size) summaries
+    are shuffled."""
     rows = select_buckets(good_rows(log), buckets).select("bucket_name", "object_size")
     running = _prefix_sums(_size_counts(rows, "bucket_name", "object_size"), "bucket_name", "object_size")
     pct = F.try_divide(F.col("running_sum").cast("double") * 100, F.col("object_size"))
@@ -218,11 +232,12 @@ def percentage_of_bucket_total(log: DataFrame, buckets=None) -> DataFrame:
     output row per log row.
 
     Totals come from the (bucket, size) summary, not from a window over a
-    whole bucket, and the log is read once."""
+    whole bucket, and the log is read once. A NULL size has a NULL share; a NULL
+    bucket is a bucket."""
     rows = select_buckets(good_rows(log), buckets).select("bucket_name", "object_size")
     counts = _size_counts(rows, "bucket_name", "object_size")
-    weight = F.col("object_size").cast("decimal(38,0)") * F.col("_c")
-    totals = counts.groupBy("bucket_name").agg(F.sum(weight).alias("_total"))
+    weight = F.col("object_size").cast("decimal(20,0)") * F.col("_c")
+    totals = counts.groupBy(F.col("bucket_name").alias("_b")).agg(F.sum(weight).alias("_total"))
     share = F.try_divide(F.col("object_size").cast("double") * 100, F.col("_total").cast("double"))
-    summary = counts.join(totals, "bucket_name").select("bucket_name", "object_size", "_c", share.alias("bucket_share"))
+    summary = counts.join(totals, F.col("bucket_name").eqNullSafe(F.col("_b"))).select("bucket_name", "object_size", "_c", share.alias("bucket_share"))
     return _repeat_rows(summary, "_c", ["bucket_name", "object_size", "bucket_share"])

@@ -12,9 +12,10 @@ from ..operators import geo as geo_ops
 from ..operators import inventory as inv
 from ..operators import log_analytics as la
 from ..operators.parse import parse_access_log
+from ..sources.inventory import read_inventory
 from ..sources.views import register_views
 from . import fixtures as fx
-from .params import ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS, TOP_IPS, TOP_OBJECTS
+from .params import LOG_BUCKETS, ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS, TOP_IPS, TOP_OBJECTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +29,7 @@ def _top_buckets_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     parameters (never spliced into the SQL text)."""
     register_views(access_log=_log(spark, sf_dir))
     return spark.sql(
-        """SELECT bucket_name, sum(object_size) AS total_size
+        """SELECT bucket_name, CAST(sum(CAST(object_size AS DECIMAL(20,0))) AS DECIMAL(38,0)) AS total_size
            FROM access_log WHERE NOT is_malformed
            GROUP BY bucket_name ORDER BY total_size DESC, bucket_name LIMIT :n""",
         args={"n": TOP_BUCKETS},
@@ -37,9 +38,7 @@ def _top_buckets_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _geo_enrich(method: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        log = _log(spark, sf_dir)
-        enriched = geo_ops.enrich_geo(log, fx.geo_ranges(spark), method=method)
-        return enriched.select("request_id", "ip_address", *geo_ops.GEO_COLUMNS)
+        return geo_ops.enrich_geo(_log(spark, sf_dir), geo_ops.prepare_geo(fx.geo_ranges(spark), method))
 
     return run
 
@@ -54,9 +53,13 @@ LOG_QUERIES: dict[str, Query] = {
     "top_buckets_by_size": lambda s, d: la.top_buckets_by_size(_log(s, d), n=TOP_BUCKETS),
     "top_buckets_by_size_sql": _top_buckets_sql,
     "top_objects_per_bucket": lambda s, d: la.top_objects_per_bucket(_log(s, d), n=TOP_OBJECTS),
+    "top_objects_per_bucket_all": lambda s, d: la.top_objects_per_bucket(_log(s, d), n=None),
+    "top_objects_per_bucket_selected": lambda s, d: la.top_objects_per_bucket(_log(s, d), n=TOP_OBJECTS, buckets=LOG_BUCKETS),
+    "hits_per_object_selected": lambda s, d: la.hits_per_object(_log(s, d), buckets=LOG_BUCKETS),
+    "running_percentage_selected": lambda s, d: la.running_percentage(_log(s, d), buckets=LOG_BUCKETS),
     "hits_per_object": lambda s, d: la.hits_per_object(_log(s, d)),
-    "hits_per_ip": lambda s, d: la.hits_per_ip(_log(s, d), buckets=[ONE_BUCKET], geo=fx.geo_ranges(s)),
-    "top_ips": lambda s, d: la.top_ips(_log(s, d), n=TOP_IPS, geo=fx.geo_ranges(s)),
+    "hits_per_ip": lambda s, d: la.hits_per_ip(_log(s, d), buckets=[ONE_BUCKET], geo=geo_ops.prepare_geo(fx.geo_ranges(s))),
+    "top_ips": lambda s, d: la.top_ips(_log(s, d), n=TOP_IPS, geo=geo_ops.prepare_geo(fx.geo_ranges(s))),
     "running_percentage": lambda s, d: la.running_percentage(_log(s, d)),
     "percentage_of_bucket_total": lambda s, d: la.percentage_of_bucket_total(_log(s, d)),
     "geo_enrich": _geo_enrich("auto"),
@@ -64,13 +67,14 @@ LOG_QUERIES: dict[str, Query] = {
 }
 
 
-def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inv.file_paths(fx.object_files(spark, sf_dir))
+def _inventory_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` read as an inventory report with its own column names."""
+    return read_inventory(spark, f"{sf_dir.rstrip('/')}/documents.parquet", bucket_col="source", key_col="doc_id", size_col="n_chars")
 
 
 def _line_query(op, mode: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return op(_files(spark, sf_dir), fx.object_lines(spark, sf_dir), mode=mode)
+        return op(fx.object_files(spark, sf_dir), fx.object_lines(spark, sf_dir), mode=mode)
 
     return run
 
@@ -80,19 +84,21 @@ def _duplicates_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OBJECT_QUERIES: dict[str, Query] = {
-    "object_inventory": lambda s, d: fx.object_inventory(s, d),
+    "object_inventory": _inventory_table,
     "inventory_for_buckets": lambda s, d: inv.inventory_for_buckets(fx.object_inventory(s, d), SOME_BUCKETS),
     "classify_objects": lambda s, d: inv.classify_objects(fx.object_inventory(s, d), bucket=PREFIX_BUCKET),
+    "classify_object_at_path": lambda s, d: inv.classify_objects(fx.object_inventory(s, d), path=PREFIX),
     "file_paths": lambda s, d: inv.file_paths(fx.object_inventory(s, d)),
     "file_paths_for_prefix": lambda s, d: inv.file_paths_for_prefix(fx.object_inventory(s, d), PREFIX_BUCKET, PREFIX),
-    "object_line_counts": lambda s, d: dup.object_line_counts(fx.object_lines(s, d), objects=_files(s, d)),
+    "object_line_counts": lambda s, d: dup.object_line_counts(fx.object_lines(s, d), objects=fx.object_files(s, d)),
     "directories_per_bucket": lambda s, d: inv.directories_per_bucket(fx.object_inventory(s, d)),
     "directories_per_bucket_json": lambda s, d: inv.directories_per_bucket_json(fx.object_inventory(s, d)),
     "directories_total": lambda s, d: inv.directories_total(fx.object_inventory(s, d)),
     "files_by_format": lambda s, d: inv.files_by_format(fx.object_inventory(s, d)),
     "files_by_bucket_format": lambda s, d: inv.files_by_bucket_format(fx.object_inventory(s, d)),
     "content_fingerprint": _line_query(dup.content_fingerprint, "lines"),
-    "content_fingerprint_fast": _line_query(dup.content_fingerprint, "lines_fast"),
+    # the fast checksum is no SQL function; its classes are
+    "content_fingerprint_fast": lambda s, d: _line_query(dup.content_fingerprint, "lines_fast")(s, d).drop("checksum"),
     "duplicate_files": _line_query(dup.duplicate_files, "lines"),
     "checksum_groups": _line_query(dup.checksum_groups, "lines"),
     "duplicate_files_bytes": _duplicates_bytes,

@@ -15,11 +15,6 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return buf.getvalue()
 
 
-def plan_has(df: DataFrame, *operators: str) -> dict[str, bool]:
-    text = plan_text(df)
-    return {op: op in text for op in operators}
-
-
 def uses_python(df: DataFrame) -> bool:
     """True if any Python UDF evaluation is in the plan."""
     text = plan_text(df)

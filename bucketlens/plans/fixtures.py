@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import object_path
 from ..functions.reuse import once
-from ..parallelism import default_parallelism
 
 
 # Schemas of the driver tables read here (TESTDATA.md). Given
@@ -27,22 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The driver's tables are single files with one row group, so a scan is
-    one task; real inputs (many log files, many objects) arrive already split.
-    Spread the rows over the cores before the per-line work, as a file source
-    would. Library operators never do this."""
-    return df.repartition(default_parallelism(df.sparkSession))
-
-
 def _when_mod(n: Column, m: int, then, otherwise) -> Column:
     return F.when(n % m == 0, then).otherwise(otherwise)
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One access-log line per event (`value`)."""
-    ev = spread(table(spark, sf_dir, "events"))
-    return ev.select(once(("raw_lines",), _raw_line))
+    return table(spark, sf_dir, "events").select(once(("raw_lines",), _raw_line))
 
 
 def _raw_line() -> Column:
@@ -52,7 +41,9 @@ def _raw_line() -> Column:
         F.lit("own"),
         F.concat(F.lit("bkt-"), F.col("event_type"), F.lit("-"), s(uid % 10)),
         F.concat(F.lit("["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0000]")),
-        _when_mod(eid, 11, F.lit(""), F.concat(F.lit("10.0."), s(uid % 4), F.lit("."), s(uid))),
+        # left out altogether (NULL: one space less), empty (two spaces), or there
+        F.when(eid % 37 == 0, F.lit(None)).when(eid % 11 == 0, F.lit("")).otherwise(
+            F.concat(F.lit("10.0."), s(uid % 4), F.lit("."), s(uid))),
         F.concat(F.lit("arn:u"), s(uid)),
         F.concat(F.lit("R"), s(eid)),
         F.lit("REST.GET.OBJECT"),
@@ -64,8 +55,8 @@ def _raw_line() -> Column:
         F.lit("12"),
         F.lit("-"),
         F.lit('"-"'),
-        _when_mod(eid, 17, F.lit('"Mozilla/5.0 (X11)"'), F.lit('"cli/1.0"')),
-        F.concat(F.lit("-"), _when_mod(eid, 19, F.lit(" hostid SigV4"), F.lit(""))),
+        F.when(eid % 31 == 0, F.lit('"Moz "x" y"')).otherwise(_when_mod(eid, 17, F.lit('"Mozilla/5.0 (X11)"'), F.lit('"cli/1.0"'))),
+        F.concat(F.lit("-"), F.when((eid % 19 == 0) | (eid % 37 == 0), F.lit(" hostid SigV4")).otherwise(F.lit(""))),
     ]
     return F.concat_ws(" ", *fields).alias("value")
 
@@ -117,7 +108,7 @@ def object_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def object_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(bucket_name, key, content)`: the UTF-8 text of each file object."""
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select(F.col("source").alias("bucket_name"), _file_key(docs).alias("key"), F.col("text").alias("content"))
 
 
@@ -125,7 +116,3 @@ def object_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(bucket_name, key, line)`: text split on `\\n`, one row per line."""
     texts = object_texts(spark, sf_dir)
     return texts.select("bucket_name", "key", F.explode(F.split("content", "\n", -1)).alias("line"))
-
-
-def with_path(df: DataFrame) -> DataFrame:
-    return df.withColumn("path", object_path(F.col("bucket_name"), F.col("key")))

@@ -1,32 +1,63 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
-The oracle is written independently of the Spark code: plain SQL over the
-driver's tables, with the same derived inputs (FIXTURES.md §3) rebuilt in SQL.
-Only the line pattern pieces are shared, so both engines test the same layout;
-DuckDB allows few capture groups, so each field is extracted with a pattern
-that captures that one field.
+The oracle shares no pattern, position or constant with the Spark code: plain
+SQL over the driver's tables, with the same derived inputs (FIXTURES.md §3)
+rebuilt in SQL and the line layouts written out by hand. DuckDB allows few
+capture groups, so each field is extracted with a pattern that captures that
+one field.
 """
 
 from __future__ import annotations
 
-from ..functions.logfields import (
-    LOG_FIELDS,
-    POSITIONAL_MIN_TOKENS,
-    POSITIONAL_TOKENS,
-    STRICT_FIELDS,
-    STRICT_TAIL,
-    TOLERANT_FIELDS,
-    TOLERANT_TAIL,
-    line_pattern,
-)
-from .params import ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS, TOP_IPS, TOP_OBJECTS
+from .params import LOG_BUCKETS, ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS, TOP_IPS, TOP_OBJECTS
+
+# The 18 fields of a line, as (name, pattern); the address may be
+# missing between its two spaces.
+_T = "[^ \\t\\n\\f\\r\\x0B]"
+_N = '[^" \\t\\n\\f\\r\\x0B]' + _T + "*"
+_Q = '"[^"]*"|' + _N
+_FIELDS = """owner_name bucket_name event_time ip_address requester request_id operation key request_uri http_status
+error_code bytes_sent object_size total_time turn_around_time referrer user_agent version_id""".split()
+_STRICT = {n: _T + "+" for n in _FIELDS} | {
+    "event_time": "[^\\]]+",
+    "ip_address": "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}",
+    "request_uri": f"{_T}+ .{_T}+ .{_T}+",
+}
+_TOLERANT = {n: _N for n in _FIELDS} | {
+    "owner_name": _T + "+",
+    "bucket_name": _T + "+",
+    "event_time": "[^\\]]*",
+    "ip_address": "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}|[0-9A-Fa-f]*:[0-9A-Fa-f:.]+|-",
+    "request_uri": _Q,
+    "http_status": "[0-9][0-9][0-9]|-",
+    "referrer": _Q,
+    "user_agent": _Q,
+}
+_POSITIONS = {
+    "owner_name": 1, "bucket_name": 2, "ip_address": 5, "requester": 6, "request_id": 7, "operation": 8, "key": 9,
+    "http_status": 13, "error_code": 14, "bytes_sent": 15, "object_size": 16, "total_time": 17, "turn_around_time": 18,
+    "referrer": 19, "user_agent": 20, "version_id": 21,
+}
+
+
+def _line(fields: dict[str, str], tail: str, capture: str | None) -> str:
+    parts = []
+    for name, body in fields.items():
+        group = f"({body})" if name == capture else f"(?:{body})"
+        if name == "event_time":
+            group = f"\\[{group}\\]"
+        if name == "ip_address":
+            group = f"({body}|)" if name == capture else f"(?:{body}|)"
+        parts.append(group)
+    return "^" + " ".join(parts) + tail + "$"
+
 
 RAW_LINES = """raw_lines AS (
   SELECT concat_ws(' ',
     'own',
     'bkt-' || event_type || '-' || CAST(user_id % 10 AS VARCHAR),
     '[' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000]',
-    CASE WHEN event_id % 11 = 0 THEN '' ELSE '10.0.' || CAST(user_id % 4 AS VARCHAR) || '.' || CAST(user_id AS VARCHAR) END,
+    CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 11 = 0 THEN '' ELSE '10.0.' || CAST(user_id % 4 AS VARCHAR) || '.' || CAST(user_id AS VARCHAR) END,
     'arn:u' || CAST(user_id AS VARCHAR),
     'R' || CAST(event_id AS VARCHAR),
     'REST.GET.OBJECT',
@@ -36,8 +67,8 @@ RAW_LINES = """raw_lines AS (
     CASE WHEN event_id % 7 = 0 THEN '-' ELSE CAST(event_id * 37 % 5000 AS VARCHAR) END,
     CASE WHEN event_id % 13 = 0 THEN '-' ELSE CAST(event_id * 41 % 9000 AS VARCHAR) END,
     '12', '-', '"-"',
-    CASE WHEN event_id % 17 = 0 THEN '"Mozilla/5.0 (X11)"' ELSE '"cli/1.0"' END,
-    '-' || CASE WHEN event_id % 19 = 0 THEN ' hostid SigV4' ELSE '' END
+    CASE WHEN event_id % 31 = 0 THEN '"Moz "x" y"' WHEN event_id % 17 = 0 THEN '"Mozilla/5.0 (X11)"' ELSE '"cli/1.0"' END,
+    '-' || CASE WHEN event_id % 19 = 0 OR event_id % 37 = 0 THEN ' hostid SigV4' ELSE '' END
   ) AS value
   FROM events
 )"""
@@ -73,21 +104,18 @@ def _typed(raw: dict[str, str], ok: str, strict_ip: bool) -> str:
         "total_time": _long(raw["total_time"]),
         "turn_around_time": _long(raw["turn_around_time"]),
     }
-    cols = [f"CASE WHEN {ok} THEN {exprs.get(n, raw[n])} END AS {n}" for n in LOG_FIELDS]
+    cols = [f"CASE WHEN {ok} THEN {exprs.get(n, raw[n])} END AS {n}" for n in _FIELDS]
     return ",\n    ".join(cols + [f"NOT ({ok}) AS is_malformed"])
 
 
-def _regex_log(name: str, fields, tail: str, strict_ip: bool) -> str:
-    match = line_pattern(fields, tail, capture=-1)
-    extracts = [
-        f"regexp_extract(value, '{line_pattern(fields, tail, capture=i)}', 1) AS f{i}" for i in range(len(fields))
-    ]
-    raw = {f.name: f"f{i}" for i, f in enumerate(fields)}
+def _regex_log(name: str, fields: dict[str, str], tail: str, strict_ip: bool) -> str:
+    extracts = [f"regexp_extract(value, '{_line(fields, tail, f)}', 1) AS f_{f}" for f in fields]
+    raw = {f: f"f_{f}" for f in fields}
     return f"""{name} AS (
   SELECT
     {_typed(raw, "ok", strict_ip)}
   FROM (
-    SELECT regexp_matches(value, '{match}') AND strpos(value, chr(10)) = 0 AS ok,
+    SELECT regexp_matches(value, '{_line(fields, tail, None)}') AND strpos(value, chr(10)) = 0 AS ok,
       {", ".join(extracts)}
     FROM raw_lines
   )
@@ -95,7 +123,7 @@ def _regex_log(name: str, fields, tail: str, strict_ip: bool) -> str:
 
 
 def _positional_log(name: str) -> str:
-    raw = {n: f"t[{i + 1}]" for n, i in POSITIONAL_TOKENS.items()}
+    raw = {n: f"t[{i}]" for n, i in _POSITIONS.items()}
     raw["event_time"] = (
         "(CASE WHEN starts_with(t[3], '[') THEN substr(t[3], 2) END) || ' ' || "
         "(CASE WHEN ends_with(t[4], ']') THEN substr(t[4], 1, length(t[4]) - 1) END)"
@@ -104,12 +132,12 @@ def _positional_log(name: str) -> str:
     return f"""{name} AS (
   SELECT
     {_typed(raw, "ok", strict_ip=False)}
-  FROM (SELECT t, len(t) >= {POSITIONAL_MIN_TOKENS} AS ok FROM (SELECT string_split(rtrim(value, ' '), ' ') AS t FROM raw_lines))
+  FROM (SELECT t, len(t) >= 21 AS ok FROM (SELECT string_split(rtrim(value, ' '), ' ') AS t FROM raw_lines))
 )"""
 
 
-LOG_STRICT = _regex_log("log_strict", STRICT_FIELDS, STRICT_TAIL, strict_ip=True)
-LOG_TOLERANT = _regex_log("log_tolerant", TOLERANT_FIELDS, TOLERANT_TAIL, strict_ip=False)
+LOG_STRICT = _regex_log("log_strict", _STRICT, "", strict_ip=True)
+LOG_TOLERANT = _regex_log("log_tolerant", _TOLERANT, "(?: [^\\n]*)?", strict_ip=False)
 LOG_POSITIONAL = _positional_log("log_positional")
 GOOD = """good AS (SELECT * FROM log_strict WHERE NOT is_malformed)"""
 
@@ -142,12 +170,12 @@ LOG_QUERIES = {
     "malformed_summary": _with(RAW_LINES, LOG_STRICT)
     + "SELECT count(*) AS lines, count_if(NOT is_malformed) AS good_lines, count_if(is_malformed) AS malformed_lines FROM log_strict",
     "distinct_buckets": _with(*_LOG) + "SELECT DISTINCT bucket_name FROM good",
-    "total_bytes_sent": _with(*_LOG) + "SELECT CAST(sum(bytes_sent) AS BIGINT) AS total_bytes_sent FROM good",
+    "total_bytes_sent": _with(*_LOG) + "SELECT CAST(sum(bytes_sent) AS DECIMAL(38,0)) AS total_bytes_sent FROM good",
     "top_buckets_by_size": _with(*_LOG)
-    + f"""SELECT bucket_name, CAST(sum(object_size) AS BIGINT) AS total_size FROM good
+    + f"""SELECT bucket_name, CAST(sum(object_size) AS DECIMAL(38,0)) AS total_size FROM good
 GROUP BY bucket_name ORDER BY total_size DESC, bucket_name LIMIT {TOP_BUCKETS}""",
     "top_buckets_by_size_sql": _with(*_LOG)
-    + f"""SELECT bucket_name, CAST(sum(object_size) AS BIGINT) AS total_size FROM good
+    + f"""SELECT bucket_name, CAST(sum(object_size) AS DECIMAL(38,0)) AS total_size FROM good
 GROUP BY bucket_name ORDER BY total_size DESC, bucket_name LIMIT {TOP_BUCKETS}""",
     "top_objects_per_bucket": _with(*_LOG)
     + f"""SELECT * FROM (
@@ -155,7 +183,7 @@ GROUP BY bucket_name ORDER BY total_size DESC, bucket_name LIMIT {TOP_BUCKETS}""
          CAST(dense_rank() OVER (PARTITION BY bucket_name ORDER BY object_size DESC) AS INTEGER) AS rank
   FROM good) WHERE rank <= {TOP_OBJECTS}""",
     "hits_per_object": _with(*_LOG)
-    + """SELECT bucket_name, key, count(key) AS hits, CAST(sum(object_size) AS BIGINT) AS bytes
+    + """SELECT bucket_name, key, count(key) AS hits, CAST(sum(object_size) AS DECIMAL(38,0)) AS bytes
 FROM good WHERE key <> '-' GROUP BY bucket_name, key ORDER BY bucket_name, key""",
     "hits_per_ip": _with(*_LOG, GEO_RANGES, LOCATED, PER_IP)
     + f"""SELECT p.ip_address, p.hits, l.country, l.city, l.latitude, l.longitude
@@ -176,9 +204,13 @@ FROM good""",
   CASE WHEN t = 0 THEN NULL ELSE CAST(object_size AS DOUBLE) * 100 / t END AS bucket_share
 FROM (SELECT bucket_name, object_size, sum(object_size) OVER (PARTITION BY bucket_name) AS t FROM good)""",
     "geo_enrich": _with(RAW_LINES, LOG_STRICT, GEO_RANGES, LOCATED)
-    + """SELECT s.request_id, s.ip_address, l.country, l.city, l.latitude, l.longitude
+    + """SELECT s.*, l.country, l.city, l.latitude, l.longitude
 FROM log_strict s LEFT JOIN located l ON s.ip_address = l.ip_address""",
 }
+_SELECTED = f"good AS (SELECT * FROM log_strict WHERE NOT is_malformed AND bucket_name IN {LOG_BUCKETS!r})"
+for _name in ("top_objects_per_bucket", "hits_per_object", "running_percentage"):
+    LOG_QUERIES[f"{_name}_selected"] = LOG_QUERIES[_name].replace(GOOD, _SELECTED)
+LOG_QUERIES["top_objects_per_bucket_all"] = LOG_QUERIES["top_objects_per_bucket"].replace(f"WHERE rank <= {TOP_OBJECTS}", "")
 LOG_QUERIES["geo_enrich_bucketed"] = LOG_QUERIES["geo_enrich"]
 
 
@@ -197,16 +229,21 @@ INVENTORY = """inventory AS (
   SELECT DISTINCT source, 'docs/' || lang || '/', CAST(0 AS BIGINT) FROM documents
 )"""
 LINES = """lines AS (SELECT bucket_name, key, unnest(string_split(text, chr(10))) AS line FROM files)"""
-LINE_CLASSES = """sig AS (
-  SELECT bucket_name, key, md5(string_agg(line, chr(10) ORDER BY line)) AS h
+_PIECES = ", ".join(
+    f"CAST(sum(('0x' || substr(md5(line), {s}, {w}))::BIGINT) AS VARCHAR)" for s, w in ((1, 6), (7, 6), (13, 6), (19, 6), (25, 6), (31, 2))
+)
+LINE_CLASSES = f"""sig AS (
+  SELECT bucket_name, key, md5(string_agg(line, chr(10) ORDER BY line)) AS h,
+    md5(concat_ws(',', CAST(count(*) AS VARCHAR), {_PIECES})) AS checksum
   FROM lines WHERE line <> '' GROUP BY bucket_name, key
 ),
 fp AS (
-  SELECT f.bucket_name, f.key, f.bucket_name || '/' || f.key AS path, coalesce(s.h, '') AS h
+  SELECT f.bucket_name, f.key, f.bucket_name || '/' || f.key AS path, coalesce(s.h, '') AS h,
+    coalesce(s.checksum, md5('0,0,0,0,0,0,0')) AS checksum
   FROM files f LEFT JOIN sig s ON f.bucket_name = s.bucket_name AND f.key = s.key
 ),
 per_class AS (SELECT h, min(path) AS class_id, count(*) AS n_copies FROM fp GROUP BY h),
-classes AS (SELECT fp.bucket_name, fp.key, c.class_id, c.n_copies FROM fp JOIN per_class c ON fp.h = c.h)"""
+classes AS (SELECT fp.bucket_name, fp.key, fp.checksum, c.class_id, c.n_copies FROM fp JOIN per_class c ON fp.h = c.h)"""
 BYTE_CLASSES = """cand AS (
   SELECT * FROM files WHERE size IN (SELECT size FROM files GROUP BY size HAVING count(*) > 1)
 ),
@@ -216,17 +253,20 @@ bfp AS (
   FROM cand
 ),
 bper AS (SELECT size, h, min(path) AS class_id, count(*) AS n_copies FROM bfp GROUP BY size, h),
-bclasses AS (SELECT b.bucket_name, b.key, c.class_id, c.n_copies FROM bfp b JOIN bper c ON b.size = c.size AND b.h = c.h)"""
+bclasses AS (SELECT b.bucket_name, b.key, b.h AS checksum, c.class_id, c.n_copies FROM bfp b JOIN bper c ON b.size = c.size AND b.h = c.h)"""
 
 _FMT = r"""CASE WHEN regexp_extract(key, '\.([^./]+)$', 1) = '' THEN '(none)' ELSE regexp_extract(key, '\.([^./]+)$', 1) END"""
 
 OBJECT_QUERIES = {
-    "object_inventory": _with(FILES, INVENTORY) + "SELECT * FROM inventory",
+    "object_inventory": """SELECT source AS bucket_name, CAST(doc_id AS VARCHAR) AS key, n_chars AS size FROM documents""",
     "inventory_for_buckets": _with(FILES, INVENTORY)
     + f"SELECT * FROM inventory WHERE bucket_name IN {SOME_BUCKETS!r}",
     "classify_objects": _with(FILES, INVENTORY)
     + f"""SELECT bucket_name, key, CASE WHEN ends_with(key, '/') THEN 'directory' ELSE 'file' END AS kind,
   bucket_name || '/' || key AS path FROM inventory WHERE bucket_name = '{PREFIX_BUCKET}'""",
+    "classify_object_at_path": _with(FILES, INVENTORY)
+    + f"""SELECT bucket_name, key, CASE WHEN ends_with(key, '/') THEN 'directory' ELSE 'file' END AS kind,
+  bucket_name || '/' || key AS path FROM inventory WHERE key = '{PREFIX}'""",
     "file_paths": _with(FILES) + "SELECT bucket_name, key, bucket_name || '/' || key AS path FROM files",
     "file_paths_for_prefix": _with(FILES)
     + f"""SELECT bucket_name, key, bucket_name || '/' || key AS path FROM files
@@ -243,17 +283,17 @@ FROM (SELECT bucket_name, count(key) AS n FROM inventory WHERE ends_with(key, '/
     "files_by_format": _with(FILES) + f"SELECT {_FMT} AS format, count(*) AS n_files FROM files GROUP BY 1",
     "files_by_bucket_format": _with(FILES)
     + f"SELECT bucket_name, {_FMT} AS format, count(*) AS n_files FROM files GROUP BY 1, 2",
-    "content_fingerprint": _with(FILES, LINES, LINE_CLASSES) + "SELECT bucket_name, key, class_id FROM classes",
+    "content_fingerprint": _with(FILES, LINES, LINE_CLASSES) + "SELECT bucket_name, key, checksum, class_id FROM classes",
     "duplicate_files": _with(FILES, LINES, LINE_CLASSES)
-    + """SELECT class_id, n_copies, bucket_name, key FROM classes WHERE n_copies > 1
+    + """SELECT checksum, class_id, n_copies, bucket_name, key FROM classes WHERE n_copies > 1
 ORDER BY n_copies DESC, class_id, bucket_name, key""",
     "checksum_groups": _with(FILES, LINES, LINE_CLASSES)
-    + "SELECT class_id, n_copies FROM per_class ORDER BY n_copies DESC, class_id",
+    + "SELECT checksum, class_id, n_copies, bucket_name, key FROM classes",
     "duplicate_files_bytes": _with(FILES, BYTE_CLASSES)
-    + """SELECT class_id, n_copies, bucket_name, key FROM bclasses WHERE n_copies > 1
+    + """SELECT checksum, class_id, n_copies, bucket_name, key FROM bclasses WHERE n_copies > 1
 ORDER BY n_copies DESC, class_id, bucket_name, key""",
 }
-OBJECT_QUERIES["content_fingerprint_fast"] = OBJECT_QUERIES["content_fingerprint"]
+OBJECT_QUERIES["content_fingerprint_fast"] = _with(FILES, LINES, LINE_CLASSES) + "SELECT bucket_name, key, class_id FROM classes"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,6 +3,8 @@ oracle SQL so both ask the same question."""
 
 # one bucket for the single-bucket log queries
 ONE_BUCKET = "bkt-error-0"
+# bucket allow-list of the log queries
+LOG_BUCKETS = ("bkt-error-0", "bkt-error-1", "bkt-view-2")
 # bucket allow-list for the inventory filter
 SOME_BUCKETS = ("src1", "src2")
 # bucket and key prefix for the prefix listing and the classification

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from bucketlens.operators import duplicates as dup
 from bucketlens.plans import fixtures as fx
 from bucketlens.plans.explain import plan_text
-from bucketlens.sources.content import file_checksums, read_object_lines
-from bucketlens.sources.inventory import list_objects
+from bucketlens.sources.content import file_checksums, read_bucket_lines, read_object_lines
+from bucketlens.sources.inventory import list_objects, split_bucket_key
 
 
 def write_tree(files: dict[str, bytes]) -> str:
@@ -93,7 +93,7 @@ def test_permuting_lines_keeps_fingerprint(spark):
         rows += [("b", f"k{k}", ln) for ln in shuffled]
     rows += [("b", "other", ln) for ln in base[:-1] + [base[0]]]  # same count, one line swapped
     lines = spark.createDataFrame(rows, "bucket_name string, key string, line string")
-    objects = lines.select("bucket_name", "key").distinct()
+    objects = lines.select("bucket_name", "key").distinct()  # no sizes: what was read is known
     for mode in ("lines", "lines_fast"):
         got = classes(dup.line_classes(objects, lines, mode))
         assert frozenset({f"b/k{k}" for k in range(5)}) in got
@@ -155,3 +155,79 @@ def test_odd_file_names(spark):
     by_lines = classes(dup.line_classes(listed, lines, "lines"))
     by_bytes = classes(dup.byte_classes(listed, file_checksums(listed)))
     assert by_lines == by_bytes == {frozenset(names)}
+
+
+def pairs(df):
+    return {(r.bucket_name, r.key) for r in df.collect()}
+
+
+def test_layouts_name_bucket_and_key(spark, tmp_path, monkeypatch):
+    root = write_tree({"b1/top.txt": b"1\n", "b1/logs/a.txt": b"2\n", "b2/x.txt": b"3\n"})
+    want = {("b1", "top.txt"), ("b1", "logs/a.txt"), ("b2", "x.txt")}
+    assert pairs(read_object_lines(spark, root)) == pairs(list_objects(spark, root)) == want
+    assert pairs(read_object_lines(spark, "file://" + root + "/")) == want
+    # each root is one bucket: a file at its top level is a key
+    roots = {"one": root + "/b1", "two": f"file:{root}/b2"}
+    assert pairs(read_object_lines(spark, roots)) == {("one", "top.txt"), ("one", "logs/a.txt"), ("two", "x.txt")}
+    # Spark resolves a relative root against its working folder
+    relative = os.path.relpath(root)
+    assert pairs(read_object_lines(spark, relative)) == want
+
+
+def test_bucket_is_the_authority(spark):
+    paths = spark.createDataFrame([("s3a://mybucket/logs/a.txt",), ("s3a://mybucket/a.txt",), ("s3a://other/d/e f.txt",)], "p string")
+    got = paths.select(*split_bucket_key(spark, F.col("p"), ["s3a://mybucket/", "s3a://other/"], "authority"))
+    assert pairs(got) == {("mybucket", "logs/a.txt"), ("mybucket", "a.txt"), ("other", "d/e f.txt")}
+    assert read_bucket_lines.__doc__
+
+
+def test_path_outside_its_root_is_an_error(spark):
+    root = write_tree({"loose.txt": b"1\n", "b/k.txt": b"2\n"})
+    with pytest.raises(Exception, match="outside a bucket folder"):
+        read_object_lines(spark, root).collect()
+    elsewhere = spark.createDataFrame([("file:/else/where.txt",)], "p string")
+    for place in (root, {"b": root}):
+        with pytest.raises(Exception, match="not under"):
+            elsewhere.select(*split_bucket_key(spark, F.col("p"), place)).collect()
+    with pytest.raises(ValueError):
+        split_bucket_key(spark, F.col("p"), [root])
+
+
+def test_unread_objects_are_not_empty(spark):
+    lines = spark.createDataFrame([("b", "k1", "x"), ("b", "k2", "x"), ("b", "blank", "")], "bucket_name string, key string, line string")
+    rows = [("b", "k1", 1), ("b", "k2", 2), ("b", "blank", 1), ("b", "zero", 0), ("b", "unread", 9), ("b", "unknown", None)]
+    objects = spark.createDataFrame(rows, "bucket_name string, key string, size bigint")
+    for mode in ("lines", "lines_fast"):
+        got = {r.key: (r.class_id, r.n_copies) for r in dup.line_classes(objects, lines, mode).collect()}
+        assert got == {"k1": ("b/k1", 2), "k2": ("b/k1", 2), "blank": ("b/blank", 2), "zero": ("b/blank", 2),
+                       "unread": (None, None), "unknown": (None, None)}
+    assert {r.key for r in dup.duplicate_files(objects, lines).collect()} == {"k1", "k2", "blank", "zero"}
+
+
+def test_checksum_does_not_depend_on_the_other_objects(spark):
+    lines = spark.createDataFrame([("b", "k1", "x"), ("b", "k2", "x"), ("a", "k0", "x")], "bucket_name string, key string, line string")
+    sizes = "bucket_name string, key string, size bigint"
+    one = dup.content_fingerprint(spark.createDataFrame([("b", "k1", 1)], sizes), lines).collect()[0]
+    more = dup.checksum_groups(spark.createDataFrame([("b", "k1", 1), ("b", "k2", 1), ("a", "k0", 1)], sizes), lines).collect()
+    assert {r.checksum for r in more} == {one.checksum} and {r.class_id for r in more} == {"a/k0"} and one.class_id == "b/k1"
+    assert [r.n_copies for r in more] == [3, 3, 3]
+
+
+def test_unknown_size_and_repeated_keys_by_bytes(spark):
+    sizes = "bucket_name string, key string, size bigint"
+    contents = spark.createDataFrame([("b", "x", "aa"), ("b", "y", "aa")], "bucket_name string, key string, content string")
+    objects = spark.createDataFrame([("b", "x", 2), ("b", "y", 2), ("b", "lost", None)], sizes)
+    got = {r.key: (r.class_id, r.n_copies) for r in dup.byte_classes(objects, dup.md5_of_column(contents)).collect()}
+    assert got == {"x": ("b/x", 2), "y": ("b/x", 2), "lost": (None, None)}
+    twice = spark.createDataFrame([("b", "x", 2), ("b", "x", 2)], sizes)
+    with pytest.raises(Exception, match="listed twice"):
+        dup.byte_classes(twice, dup.md5_of_column(contents)).collect()
+
+
+def test_latest_versions_of_an_inventory(spark, tmp_path):
+    from bucketlens.sources.inventory import read_inventory
+
+    rows = [("b", "k", 1, False, False), ("b", "k", 2, True, False), ("b", "gone", 0, True, True), ("b", "l", 5, True, None)]
+    spark.createDataFrame(rows, "bucket string, key string, size bigint, is_latest boolean, is_delete_marker boolean").write.parquet(f"{tmp_path}/inv")
+    got = read_inventory(spark, f"{tmp_path}/inv", bucket_col="bucket", latest_col="is_latest", delete_marker_col="is_delete_marker")
+    assert {tuple(r) for r in got.collect()} == {("b", "k", 2), ("b", "l", 5)}

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from bucketlens.functions.network import ipv4_to_long
-from bucketlens.operators.geo import GEO_COLUMNS, enrich_geo, lookup_locations
+from bucketlens.operators.geo import GEO_COLUMNS, enrich_geo, lookup_locations, prepare_geo
 from bucketlens.plans import fixtures as fx
 from bucketlens.plans.explain import plan_text
 
@@ -54,7 +54,7 @@ def test_strategies_agree_with_brute_force(spark):
         if hits:
             expect[dotted(a)] = hits[0][2]
     for method in ("broadcast", "bucketed", "auto"):
-        got = {r.ip_address: r.country for r in lookup_locations(ips, geo, method=method).collect()}
+        got = {r.ip_address: r.country for r in lookup_locations(ips, prepare_geo(geo, method=method)).collect()}
         assert got == expect, method
 
 
@@ -63,7 +63,7 @@ def test_nested_ranges_do_not_multiply_rows(spark):
                                  (10, 20, "dup", "d", 2.0, 2.0)], GEO)
     ips = spark.createDataFrame([(dotted(15),), (dotted(15),), (dotted(5),)], "ip_address string")
     for method in ("broadcast", "bucketed"):
-        out = enrich_geo(ips, geo, method=method).collect()
+        out = enrich_geo(ips, prepare_geo(geo, method=method)).collect()
         assert len(out) == 3
         assert {r.ip_address: r.country for r in out}[dotted(5)] == "outer"
         assert {r.country for r in out if r.ip_address == dotted(15)} <= {"inner", "dup"}
@@ -72,8 +72,8 @@ def test_nested_ranges_do_not_multiply_rows(spark):
 def test_broadcast_only_after_size_check(spark):
     ips = spark.createDataFrame([("10.0.0.1",)], "ip_address string")
     geo = fx.geo_ranges(spark)
-    small = plan_text(lookup_locations(ips, geo, method="auto"))
-    big = plan_text(lookup_locations(ips, geo, method="auto", broadcast_max_rows=1))
+    small = plan_text(lookup_locations(ips, prepare_geo(geo, method="auto")))
+    big = plan_text(lookup_locations(ips, prepare_geo(geo, method="auto", broadcast_max_rows=1)))
     assert "BroadcastExchange" in small
     assert "Window" in big and "BroadcastNestedLoopJoin" not in big
 
@@ -81,8 +81,14 @@ def test_broadcast_only_after_size_check(spark):
 def test_enrich_keeps_columns(spark):
     df = spark.createDataFrame([("r1", "10.0.1.3"), ("r2", None)], "request_id string, ip_address string")
     out = enrich_geo(df, fx.geo_ranges(spark))
-    assert set(out.columns) == {"request_id", "ip_address", *GEO_COLUMNS}
-    assert out.count() == 2
+    for method in ("broadcast", "bucketed"):
+        out = enrich_geo(df, prepare_geo(fx.geo_ranges(spark), method))
+        assert out.columns == ["request_id", "ip_address", *GEO_COLUMNS]
+        assert out.count() == 2
+    assert enrich_geo(df, fx.geo_ranges(spark)).columns == ["request_id", "ip_address", *GEO_COLUMNS]
+    swapped = df.select("ip_address", "request_id")
+    for method in ("broadcast", "bucketed"):
+        assert enrich_geo(swapped, prepare_geo(fx.geo_ranges(spark), method)).columns[:2] == ["ip_address", "request_id"]
 
 
 def test_disjoint_small_ranges_enrich_rows_in_place(spark):
@@ -91,7 +97,7 @@ def test_disjoint_small_ranges_enrich_rows_in_place(spark):
     from bucketlens.operators.parse import parse_access_log
 
     log = parse_access_log(fx.raw_lines(spark, SF001))
-    text = plan_text(enrich_geo(log, fx.geo_ranges(spark)))
+    text = plan_text(enrich_geo(log, prepare_geo(fx.geo_ranges(spark))))
     assert text.split("\n\n")[0].count("Scan parquet") == 1  # the log is read and parsed once
     assert "SortMergeJoin" not in text and "BroadcastHashJoin LeftOuter" in text
 
@@ -103,14 +109,14 @@ def test_row_lookup_equals_distinct_lookup(spark):
     rows = [(f"r{i}", dotted(rnd.choice(addrs))) for i in range(3000)] + [("rn", None), ("rx", "-")]
     df = spark.createDataFrame(rows, "request_id string, ip_address string")
     geo = spark.createDataFrame(ranges, GEO)
-    a = sorted(tuple(r) for r in enrich_geo(df, geo, method="broadcast").select("request_id", *GEO_COLUMNS).collect())
-    b = sorted(tuple(r) for r in enrich_geo(df, geo, method="bucketed").select("request_id", *GEO_COLUMNS).collect())
+    a = sorted(tuple(r) for r in enrich_geo(df, prepare_geo(geo, method="broadcast")).select("request_id", *GEO_COLUMNS).collect())
+    b = sorted(tuple(r) for r in enrich_geo(df, prepare_geo(geo, method="bucketed")).select("request_id", *GEO_COLUMNS).collect())
     assert a == b and len(a) == len(rows)
 
 
 def test_forced_broadcast_still_checks_size(spark):
     ips = spark.createDataFrame([("10.0.0.1",)], "ip_address string")
-    text = plan_text(lookup_locations(ips, fx.geo_ranges(spark), method="broadcast", broadcast_max_rows=2))
+    text = plan_text(lookup_locations(ips, prepare_geo(fx.geo_ranges(spark), method="broadcast", broadcast_max_rows=2)))
     assert "Window" in text  # the bucketed as-of lookup, not a broadcast of an unchecked table
 
 
@@ -133,7 +139,31 @@ def test_overlapping_ranges_exact_for_both_strategies(spark):
     ips = spark.createDataFrame([(dotted(x),) for x in addrs], "ip_address string")
     geo = spark.createDataFrame(ranges, GEO)
     for method in ("broadcast", "bucketed"):
-        got = {r.ip_address: (r.country, r.city) for r in lookup_locations(ips, geo, method=method).collect()}
+        got = {r.ip_address: (r.country, r.city) for r in lookup_locations(ips, prepare_geo(geo, method=method)).collect()}
         assert got == expect, method
     rows = enrich_geo(ips.union(ips), geo, method="bucketed").count()
     assert rows == 2 * len(addrs)
+
+
+def test_wide_overlapping_ranges(spark):
+    """Ranges that cover whole blocks meet as one row per block."""
+    rnd = random.Random(8)
+    ranges = [(rnd.randrange(0, 1 << 20), rnd.randrange(1 << 24, 1 << 25), f"W{i}", "w", float(i), 0.0) for i in range(40)]
+    ranges += [(70000, 80000, "in", "i", 0.0, 0.0), (70000, 80000, None, None, None, None)]
+    addrs = [rnd.randrange(0, 1 << 25) for _ in range(500)] + [70000, 80000, 75000]
+    expect = {}
+    for x in addrs:
+        hits = [r for r in ranges if r[0] <= x <= r[1]]
+        if hits:
+            expect[dotted(x)] = min(hits, key=lambda r: (-r[0], r[1], r[2] is not None, r[2]))[2]
+    ips = spark.createDataFrame([(dotted(x),) for x in set(addrs)], "ip_address string")
+    geo = spark.createDataFrame(ranges, GEO)
+    for prepared in (prepare_geo(geo, "broadcast"), prepare_geo(geo, "bucketed"), geo):
+        assert {r.ip_address: r.country for r in lookup_locations(ips, prepared).collect()} == expect
+
+
+def test_repeated_addresses_keep_their_rows(spark):
+    df = spark.createDataFrame([("10.0.0.7",)] * 5 + [(None,)] * 4 + [("x",)], "ip_address string")
+    for method in ("broadcast", "bucketed"):
+        out = enrich_geo(df, prepare_geo(fx.geo_ranges(spark), method)).collect()
+        assert len(out) == 10 and sum(r.country == "A" for r in out) == 5

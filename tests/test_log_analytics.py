@@ -176,3 +176,44 @@ def test_dataframe_allow_list_is_a_left_semi_join(spark):
     out = la.top_objects_per_bucket(df, buckets=allow)
     assert "LeftSemi" in plan_text(out)
     assert [(r.bucket_name, r.object_size) for r in out.collect()] == [("b", 7)]
+
+
+def test_null_sizes_and_buckets_come_out_like_a_window(spark):
+    sizes = (None, 5, 5, 0, None, 20, -3)
+    rows = [(b, "k", s, None, 0, False) for b in ("a", None) for s in sizes]
+    df = log(spark, rows)
+    w = Window.partitionBy("bucket_name")
+    running = F.sum("object_size").over(w.orderBy("object_size").rangeBetween(Window.unboundedPreceding, 0)).cast("double")
+    key = lambda r: tuple((x is not None, x) for x in r)
+    want = df.select("bucket_name", "object_size", F.try_divide(running * 100, F.col("object_size")))
+    assert sorted(map(key, la.running_percentage(df).collect())) == sorted(map(key, want.collect()))
+    share = F.try_divide(F.col("object_size").cast("double") * 100, F.sum("object_size").over(w).cast("double"))
+    want = df.select("bucket_name", "object_size", share)
+    assert sorted(map(key, la.percentage_of_bucket_total(df).collect())) == sorted(map(key, want.collect()))
+
+
+def test_sums_do_not_overflow(spark):
+    top = 2**63 - 1
+    df = log(spark, [("b", "k", top, None, top, False)] * 3 + [("c", "k", None, None, 1, False)])
+    assert [(r.bucket_name, r.total_size) for r in la.top_buckets_by_size(df).collect()] == [("b", 3 * top), ("c", None)]
+    assert {r.bucket_name: r.bytes for r in la.hits_per_object(df).collect()} == {"b": 3 * top, "c": None}
+    assert la.total_bytes_sent(df).collect()[0][0] == 3 * top + 1
+
+
+def test_top_objects_without_a_limit(spark):
+    rnd = random.Random(2)
+    sizes = [None, 0, 3, 3, 1 << 45, (1 << 45) + 1, -5] + [rnd.randrange(1 << 44) for _ in range(50)]
+    df = log(spark, [(b, f"k{i % 9}", s, None, 0, False) for b in ("a", "b", None) for i, s in enumerate(sizes)])
+    w = Window.partitionBy("bucket_name").orderBy(F.desc("object_size"))
+    key = lambda r: tuple((x is not None, x) for x in r)
+    want = df.select("bucket_name", "key", "object_size", F.dense_rank().over(w))
+    out = la.top_objects_per_bucket(df, n=None)
+    assert sorted(map(key, out.collect())) == sorted(map(key, want.collect()))
+    assert "dense_rank" not in plan_text(out)
+
+
+def test_top_objects_reads_a_text_log_once(spark, tmp_path):
+    fx.raw_lines(spark, SF001).limit(50).write.text(f"{tmp_path}/log")
+    text = plan_text(la.top_objects_per_bucket(parse_access_log(spark.read.text(f"{tmp_path}/log")), n=3))
+    tree = text.split("\n\n")[0]
+    assert tree.count("Scan text") - tree.count("ReusedExchange") <= 1, tree

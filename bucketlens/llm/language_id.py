@@ -32,11 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import crc_mod, small_batches, table
+from .common import crc_mod, small_batches, stored, table
 
 ORDER = 4
 TRAIN_ROWS = 600
 CHECK_ROWS = 200
+#: Sampled ids up to this many are sent to every task; beyond it, they are
+#: joined by shuffle, with the same result.
+BROADCAST_ROWS = 200_000
 #: Characters that one posterior may count as independent evidence.
 EVIDENCE = 40
 LIMIT_QUANTILE = 0.999
@@ -152,6 +155,10 @@ def sampled(docs: DataFrame, train_rows: int, check_rows: int) -> DataFrame:
     # every (train_rows + check_rows) / check_rows-th document is for the limits
     every = max(2, (train_rows + check_rows) // max(1, check_rows))
     ids = ids.select("lang", "doc_id", (F.col("_r") % every == 0).alias("is_check")).dropDuplicates(["lang", "doc_id"])
+    # a bounded number of ids a language: with a usual number of languages they
+    # go to the texts, which then need no shuffle
+    ids = stored(ids, "sampled-ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     chosen = known.join(ids, ["lang", "doc_id"])
     return chosen.groupBy("lang", "doc_id", "is_check").agg(F.min("text").alias("text"))
 

@@ -19,6 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from .geo import PreparedGeo, enrich_geo
 
 
@@ -64,7 +65,9 @@ def top_objects_per_bucket(log: DataFrame, n: int | None = 5, buckets=None) -> D
     requests on one bucket's largest object never meet in one task."""
     rows = select_buckets(good_rows(log), buckets)
     counts = rows.groupBy("bucket_name", "key", "object_size").agg(F.count(F.lit(1)).alias("_c"))
-    sizes = counts.select("bucket_name", "object_size").distinct()
+    # asking for the count (always positive) keeps this branch's first aggregate
+    # the same as the other's, so its shuffle is reused and the log read once
+    sizes = counts.groupBy("bucket_name", "object_size").agg(F.sum("_c").alias("_c")).where("_c > 0")
     if n is None:
         ones = _prefix_sums(sizes.withColumn("_c", F.lit(1).cast("bigint")), "bucket_name", "object_size", descending=True)
         ranked = ones.withColumn("rank", F.col("running_sum").cast("int")).drop("running_sum", "_c")
@@ -157,13 +160,15 @@ def _repeat_rows(df: DataFrame, count_col: str, cols: list[str]) -> DataFrame:
     """Each row of ``df`` ``count_col`` times (only ``cols`` kept).
 
     A count is first cut into chunks of ≤ 2^16, the chunks are dealt out by a
-    hash of row and chunk over as many tasks as the session shuffles into, and
-    each chunk is expanded where it lands, so a (bucket, size) pair holding a
-    third of all rows is regenerated by every task, not by one."""
+    hash of row and chunk, and each chunk is expanded where it lands, so a
+    (bucket, size) pair holding a third of all rows is regenerated by every
+    task, not by one. The number of tasks is the session's shuffle partitions,
+    stated, so that adaptive execution does not join tasks whose input is small
+    but whose output is not."""
     c = F.col(count_col)
     n_chunks = F.floor((c + (_CHUNK - 1)) / _CHUNK).cast("bigint")
     chunks = df.select(*cols, c, F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)).alias("_chunk"))
-    spread = chunks.repartition(*[F.col(x) for x in cols], F.col("_chunk"))
+    spread = chunks.repartition(shuffle_partitions(df.sparkSession), *[F.col(x) for x in cols], F.col("_chunk"))
     length = F.least(F.lit(_CHUNK).cast("bigint"), c - F.col("_chunk") * _CHUNK).cast("int")
     return spread.select(*cols, F.explode(F.array_repeat(F.lit(True), length)).alias("_one")).select(*cols)
 

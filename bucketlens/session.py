@@ -29,6 +29,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many tasks the session shuffles into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import object_uri
-from ..session import ship_package
+from ..session import ship_package, shuffle_partitions
 from .inventory import file_path_column, roots_of, split_bucket_key
 
 # Read size per chunk when hashing a file's bytes, and concurrent reads per task.
@@ -105,7 +105,7 @@ def md5_of_files(paths: DataFrame, partitions: int | None = None, filesystem: di
     access_key, …), as the session's Hadoop settings do not reach it."""
     ship_package(paths.sparkSession)
     options = tuple(sorted((filesystem or {}).items()))
-    dealt = paths.repartition(partitions, "path") if partitions else paths.repartition("path")
+    dealt = paths.repartition(partitions or shuffle_partitions(paths.sparkSession), "path")
     schema = ", ".join(f"`{n}` {t}" for n, t in paths.dtypes) + ", checksum string"
     return dealt.mapInPandas(_md5_batches(options), schema)
 

@@ -141,7 +141,7 @@ def test_overlapping_ranges_exact_for_both_strategies(spark):
     for method in ("broadcast", "bucketed"):
         got = {r.ip_address: (r.country, r.city) for r in lookup_locations(ips, prepare_geo(geo, method=method)).collect()}
         assert got == expect, method
-    rows = enrich_geo(ips.union(ips), geo, method="bucketed").count()
+    rows = enrich_geo(ips.union(ips), prepare_geo(geo, "bucketed")).count()
     assert rows == 2 * len(addrs)
 
 

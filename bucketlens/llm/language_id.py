@@ -37,6 +37,7 @@ from .common import crc_mod, small_batches, stored, table
 ORDER = 4
 TRAIN_ROWS = 600
 CHECK_ROWS = 200
+SLICES = 256
 #: Sampled ids up to this many are sent to every task; beyond it, they are
 #: joined by shuffle, with the same result.
 BROADCAST_ROWS = 200_000
@@ -150,10 +151,14 @@ def sampled(docs: DataFrame, train_rows: int, check_rows: int) -> DataFrame:
     ``check_rows`` documents of the training folds, by the hash of the id."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     known = known.where(crc_mod("doc_id", 4) != 2)
-    order = W.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    ids = known.select("lang", "doc_id").withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= train_rows + check_rows)
+    most = train_rows + check_rows
+    ids = known.select("lang", "doc_id", F.xxhash64(F.col("doc_id").cast("string")).alias("_h"))
+    # first in slices of a language, so that no task sorts a whole language
+    for slices in (SLICES, 1):
+        order = W.partitionBy("lang", F.pmod("_h", F.lit(slices))).orderBy("_h", "doc_id")
+        ids = ids.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= most)
     # every (train_rows + check_rows) / check_rows-th document is for the limits
-    every = max(2, (train_rows + check_rows) // max(1, check_rows))
+    every = max(2, most // max(1, check_rows))
     ids = ids.select("lang", "doc_id", (F.col("_r") % every == 0).alias("is_check")).dropDuplicates(["lang", "doc_id"])
     # a bounded number of ids a language: with a usual number of languages they
     # go to the texts, which then need no shuffle
@@ -179,7 +184,7 @@ def count_grams(sample: DataFrame) -> DataFrame:
     """`(lang, k, gram, n)`: raw counts at the highest order, distinct left
     extensions below it."""
     top = sample.select("lang", "text").mapInPandas(_count_grams, "lang string, gram string, n long")
-    top = top.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    top = stored(top.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
     levels = [top.select("lang", F.lit(ORDER).alias("k"), "gram", "n")]
     for k in range(ORDER - 1, 0, -1):
         below = levels[-1].groupBy("lang", F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("n"))
@@ -225,7 +230,7 @@ def build(counts: pd.DataFrame) -> Model:
 
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, check_rows: int = CHECK_ROWS) -> Model | None:
     """A model from the bounded sample; None if there is nothing to learn."""
-    sample = sampled(docs, train_rows, check_rows)
+    sample = stored(sampled(docs, train_rows, check_rows), "language-sample")
     counts = count_grams(sample.where("not is_check")).toPandas()  # bounded by the sample
     if counts.empty:
         return None

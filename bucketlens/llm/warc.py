@@ -40,6 +40,10 @@ MIN_REVISIT = 1000
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 64 << 20
 LEVEL = 3
+#: Payloads that several pages share: up to this many (about 60 bytes each) go to
+#: every task; beyond it, the pages are joined to them by shuffle, with the same
+#: result.
+BROADCAST_ROWS = 200_000
 #: The capture time written into records when the table has none.
 DATE = "1970-01-01T00:00:00Z"
 
@@ -210,7 +214,9 @@ def with_roles(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     own = own.withColumns({"payload_bytes": F.octet_length("payload").cast("bigint"), "payload_digest": F.sha1("payload")})
     large = own.where(F.col("payload_bytes") >= min_revisit)
     shared = large.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("first_page"), F.count("*").alias("_n"))
-    joined = own.join(shared.where("_n > 1").drop("_n"), ["payload_digest", "payload_bytes"], "left")
+    shared = stored(shared.where("_n > 1").drop("_n"), "warc-shared")
+    shared = F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared
+    joined = own.join(shared, ["payload_digest", "payload_bytes"], "left")
     revisits = F.col("first_page").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_page"))
     return joined.select(
         "page_id",

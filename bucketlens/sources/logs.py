@@ -8,18 +8,30 @@ from ..operators.parse import parse_access_log
 from .inventory import file_path_column
 
 
-def read_log_lines(spark: SparkSession, path, recursive: bool = True) -> DataFrame:
-    """Log files as lines (`value`) plus the file they came from (`source_file`).
+def read_log_lines(spark: SparkSession, path, recursive: bool = False, **options) -> DataFrame:
+    """Log files as lines (`value`) plus the file they came from (`source_file`),
+    and the partition columns of the path (`…/day=2019-02-06/…`).
+
+    ``path`` may hold patterns. A filter on a partition column prunes whole
+    folders before they are read; ``recursive`` reads every folder below
+    ``path`` instead, and finds no partition columns. ``options`` go to the
+    reader (``pathGlobFilter``, ``modifiedAfter``, …).
 
     One scan over every file; `.gz` files are decompressed by extension.
     Splittable files are split by `spark.sql.files.maxPartitionBytes`, and many
     small log files are packed into one task by `spark.sql.files.openCostInBytes`.
     """
-    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
-    return reader.text(path).select("value", file_path_column().alias("source_file"))
-
-
-def read_access_logs(spark: SparkSession, path, mode: str = "strict", keep_source: bool = False) -> DataFrame:
-    """Read and parse server access logs (strict, tolerant or positional)."""
-    lines = read_log_lines(spark, path)
-    return parse_access_log(lines, mode=mode, keep=["source_file"] if keep_source else None)
+    lines = spark.read.options(recursiveFileLookup=str(recursive).lower(), **options).text(path)
+    return lines.select("*", file_path_column().alias("source_file"))
+
+
+def read_access_logs(spark: SparkSession, path, mode: str = "strict", keep_source: bool = False, recursive: bool = False,
+                     where: str | None = None, **options) -> DataFrame:
+    """Read and parse server access logs (strict, tolerant or positional).
+    ``where`` is a condition on partition columns; they come first in the
+    result."""
+    lines = read_log_lines(spark, path, recursive, **options)
+    if where is not None:
+        lines = lines.where(where)
+    partitions = [c for c in lines.columns if c not in ("value", "source_file")]
+    return parse_access_log(lines, mode=mode, keep=partitions + (["source_file"] if keep_source else []))

@@ -5,6 +5,7 @@ import tempfile
 from test_parse import line
 
 from bucketlens.operators.log_analytics import malformed_summary, top_buckets_by_size
+from bucketlens.plans.explain import plan_text
 from bucketlens.sources.inventory import read_inventory
 from bucketlens.sources.logs import read_access_logs
 
@@ -17,7 +18,7 @@ def test_read_logs_from_files_with_source_accounting(spark):
     os.makedirs(os.path.join(root, "2019", "02"))
     with gzip.open(os.path.join(root, "2019", "02", "b.log.gz"), "wt") as f:
         f.write(line(size="7") + "\r\n")
-    log = read_access_logs(spark, root, mode="strict", keep_source=True)
+    log = read_access_logs(spark, root, mode="strict", keep_source=True, recursive=True)
     per_file = {os.path.basename(r.source_file): (r.lines, r.good_lines, r.malformed_lines)
                 for r in malformed_summary(log, by=["source_file"]).collect()}
     assert per_file == {"a.log": (3, 2, 1), "b.log.gz": (1, 1, 0)}
@@ -58,3 +59,17 @@ def test_sample_log_file_like_the_reference_tests(spark):
 
     assert total_bytes_sent(log).collect()[0].total_bytes_sent == 878
     assert [r.bucket_name for r in distinct_buckets(log).collect()] == ["mybucket"]
+
+
+def test_days_are_pruned_before_they_are_read(spark):
+    root = tempfile.mkdtemp(prefix="bucketlens-days-")
+    for day, size in (("2019-02-06", "5"), ("2019-02-07", "7")):
+        os.makedirs(os.path.join(root, f"day={day}"))
+        with open(os.path.join(root, f"day={day}", "a.log"), "w") as f:
+            f.write(line(size=size) + "\n")
+    log = read_access_logs(spark, root, where="day = '2019-02-07'")
+    assert log.columns[0] == "day" and [r.object_size for r in log.collect()] == [7]
+    text = plan_text(log)
+    assert "PartitionFilters: [isnotnull(day" in text
+    globbed = read_access_logs(spark, root, recursive=True, pathGlobFilter="b*.log")
+    assert globbed.count() == 0

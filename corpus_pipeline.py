@@ -56,9 +56,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     joined = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_doc"]) & (keyed["_key"] == kept["_text"]), "left_semi")
     # repeated rows of the document that stays are copies as well; texts
     # without a word are in no class of copies and all stay
-    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    copies = joined.where(words).dropDuplicates(["doc_id", "_key"])
-    out = copies.unionByName(joined.where(~F.coalesce(words, F.lit(False))))
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    alone = F.when(words, F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    out = joined.withColumn("_alone", alone).dropDuplicates(["doc_id", "_key", "_alone"])
     return _unfolded(out, docs.columns, "doc_id", "text")
 
 

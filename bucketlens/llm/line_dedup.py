@@ -136,7 +136,8 @@ def later_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     named = stored(sized.join(left, ["k", "_row", "first"]).join(right, ["k", "_row", "second"]), "named-runs")
     name = ["backward", "m", "r1", "r2"]
     place = F.struct("doc_id", "_row", "first")
-    intervals = named.groupBy(name).agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # stored, so that the join has an exchange of its own and can split a hot run
+    intervals = stored(named.groupBy(name).agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n"), "intervals")
     return named.join(intervals, name).where(place != F.col("kept")).select("_row", "first", "last")
 
 

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A word is a run of characters other than these six.
@@ -47,6 +47,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_and_seen(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, dict]:
+    """``stored``, with aggregates of the rows that are taken while they are
+    written (no job of their own)."""
+    seen = Observation()
+    out = stored(df.observe(seen, *metrics), name)
+    return out, seen.get
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a ``stored`` frame that nothing reads any more."""
     spark = df.sparkSession

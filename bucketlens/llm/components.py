@@ -5,30 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, stored_and_seen
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """`(node, component)` for edges `(a, b)`: the least node of each
     component, by alternating large-star and small-star steps until the edges
     no longer change. Every round is written to the shared folder; the driver
-    sees one pair of sums a round."""
-    edges = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    sees a count and a sum a round."""
+    edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = stored(edges, "edges")
+    metrics = F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")
     seen = None
     while True:
         # large star: every greater neighbour of a node points to the least of all
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a != b").distinct()
+        large = both.join(least, "a").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: every lesser neighbour, and the node, point to the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b"))).where("a != b")
-        edges = stored(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        small = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        edges, state = stored_and_seen(small, "edges", *metrics)
         if state == seen:
             break
         seen = state
     parts = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return parts.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+    return parts.union(edges.select("b", "b")).distinct()

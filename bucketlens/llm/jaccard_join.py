@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored, table
+from .common import small_batches, stored, stored_and_seen, table
 from .components import connected_components
 from .tokens import combine, mix, words
 
@@ -285,34 +285,38 @@ def _token_links(threshold: float):
 
 
 def candidate_edges(found: DataFrame, sets: DataFrame, threshold: float, limit: int) -> DataFrame:
-    """`(a, b)`: connections between the sets of each leaf, stored."""
+    """`(a, b)`: connections between the sets of each leaf."""
     rows = block_pairs(found, "path", "n", limit).join(sets.select("set_id", "tokens"), "set_id")
     rows = rows.select("path", "b1", "b2", "block", "set_id", "tokens")
     rows = rows.repartition("path", "b1", "b2").sortWithinPartitions("path", "b1", "b2")
-    return stored(rows.mapInPandas(_token_links(threshold), "a long, b long").distinct(), "candidate-edges")
+    return rows.mapInPandas(_token_links(threshold), "a long, b long")
 
 
 def candidate_classes(sets: DataFrame, threshold: float, limit: int, depth: int, batches, recall: float) -> DataFrame | None:
     """`(set_id, component)`: sets that chosen paths connect, from repeated
     batches of runs; None if no two sets are connected."""
-    edges, classes, first, total = None, None, 0, 0
+    classes, first, total = None, 0, 0
     for n_runs in batches:
         runs = range(first, first + n_runs)
-        found = candidate_edges(leaves(sets, runs, threshold, limit, depth, classes), sets, threshold, limit)
-        # an edge inside a class so far connects nothing new
-        new = found
+        new = candidate_edges(leaves(sets, runs, threshold, limit, depth, classes), sets, threshold, limit)
         if classes is not None:
+            # what is new connects classes: an edge inside one says nothing
             for end in ("a", "b"):
                 named = classes.withColumnsRenamed({"set_id": end, "component": f"_{end}"})
                 new = new.join(named, end, "left")
-            new = stored(new.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a != b").distinct(), "new-edges")
-        n_new = new.count()
-        if n_new:
-            edges = new if edges is None else edges.unionByName(new)
-            classes = stored(connected_components(edges).withColumnRenamed("node", "set_id"), "classes")
-        total += n_new
+            new = new.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a != b")
+        new, seen = stored_and_seen(new.distinct(), "candidate-edges", F.count("*").alias("n"))
+        if seen["n"]:
+            joined = connected_components(new).withColumnRenamed("node", "set_id")
+            if classes is not None:
+                # earlier classes are nodes now; their members follow them
+                moved = joined.withColumnsRenamed({"set_id": "component", "component": "_to"})
+                moved = classes.join(moved, "component", "left").select("set_id", F.coalesce("_to", "component").alias("component"))
+                joined = moved.unionByName(joined.join(classes, "set_id", "left_anti"))
+            classes = stored(joined, "classes")
+        total += seen["n"]
         # runs are independent: the next ones find at most this share again
-        if first and n_new <= (1 - recall) * max(1, total):
+        if first and seen["n"] <= (1 - recall) * max(1, total):
             break
         first += n_runs
     return classes

@@ -51,8 +51,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 TOKENS = 64
 LIMIT = 200
-DEPTH = 4
-BATCHES = (2, 6, 8, 8, 8)
+DEPTH = 3
+BATCHES = (4, 12, 12, 12)
 RECALL = 0.995
 #: A pair is a candidate if its tokens agree this much less than the threshold
 #: (three standard errors of the estimate from 64 tokens).
@@ -196,7 +196,7 @@ def leaves(sets: DataFrame, runs: range, threshold: float, limit: int, depth: in
         sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("class").alias("c1"), F.max("class").alias("c2"))
         # a bucket of one set, or of sets that are connected already, is done
         sizes = sizes.where("n > 1 and c1 != c2").select("path", "n")
-        placed = rows.join(sizes, "path")
+        placed = rows.join(sizes.hint("merge"), "path")
         if level == depth:
             done.append(placed)
             break
@@ -205,7 +205,7 @@ def leaves(sets: DataFrame, runs: range, threshold: float, limit: int, depth: in
         large = placed.where(F.col("n") > limit).select("path", "set_id")
         if large.isEmpty():
             break
-        rows = next_paths(large.join(sets.select("set_id", "tokens"), "set_id"), threshold)
+        rows = next_paths(large.join(sets.select("set_id", "tokens").hint("merge"), "set_id"), threshold)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -261,22 +261,40 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _roots(linked: np.ndarray) -> np.ndarray:
+    """The least member of each member's component."""
+    root = np.arange(len(linked))
+    for member, first in _forest(linked):
+        root[member] = first
+    return root
+
+
+def _joining(linked: np.ndarray, block: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that span a group: all of a forest within one block; between two
+    blocks only those that join components of the blocks, which the groups of
+    the single blocks have spanned already."""
+    if (block == block[0]).all():
+        return _forest(linked)
+    same = block[:, None] == block[None, :]
+    root = _roots(linked & same)
+    i, j = np.nonzero(linked & ~same)
+    names, place = np.unique(root, return_inverse=True)
+    joined = np.zeros((len(names), len(names)), bool)
+    joined[place[i], place[j]] = True
+    return [(int(names[a]), int(names[b])) for a, b in _forest(joined | joined.T)]
+
+
 def _token_links(threshold: float):
     least = int(math.ceil((threshold - SLACK) * TOKENS))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _groups(batches, ["path", "b1", "b2"]):
             ids = rows["set_id"].to_numpy()
-            block = rows["block"].to_numpy()
             tokens = _token_matrix(rows["tokens"])
-            n = len(ids)
-            linked = np.zeros((n, n), bool)
-            for i in range(n - 1):
+            linked = np.zeros((len(ids), len(ids)), bool)
+            for i in range(len(ids) - 1):
                 linked[i, i + 1 :] = (tokens[i + 1 :] == tokens[i]).sum(axis=1) >= least
-            linked |= linked.T
-            if rows["b1"].iloc[0] != rows["b2"].iloc[0]:
-                linked &= block[:, None] != block[None, :]
-            edges = _forest(linked)
+            edges = _joining(linked | linked.T, rows["block"].to_numpy())
             if edges:
                 a, b = np.array(edges).T
                 yield pd.DataFrame({"a": ids[a], "b": ids[b]})
@@ -286,7 +304,7 @@ def _token_links(threshold: float):
 
 def candidate_edges(found: DataFrame, sets: DataFrame, threshold: float, limit: int) -> DataFrame:
     """`(a, b)`: connections between the sets of each leaf."""
-    rows = block_pairs(found, "path", "n", limit).join(sets.select("set_id", "tokens"), "set_id")
+    rows = block_pairs(found, "path", "n", limit).join(sets.select("set_id", "tokens").hint("merge"), "set_id")
     rows = rows.select("path", "b1", "b2", "block", "set_id", "tokens")
     rows = rows.repartition("path", "b1", "b2").sortWithinPartitions("path", "b1", "b2")
     return rows.mapInPandas(_token_links(threshold), "a long, b long")
@@ -331,15 +349,16 @@ def _exact_links(threshold: float, shingle: int):
             sizes = np.array([len(s) for s in sets], float)
             linked = inter >= threshold * (sizes[:, None] + sizes[None, :] - inter) - 1e-9
             np.fill_diagonal(linked, False)
-            if rows["b1"].iloc[0] != rows["b2"].iloc[0]:
-                block = rows["block"].to_numpy()
-                linked &= block[:, None] != block[None, :]
-            copies = linked @ rows["copies"].to_numpy(float)
+            block = rows["block"].to_numpy()
             root = np.arange(len(ids))
-            for member, parent in _forest(linked):
+            for member, parent in _joining(linked, block):
                 root[member] = parent
+            if rows["b1"].iloc[0] != rows["b2"].iloc[0]:  # links inside a block are counted in its own group
+                linked &= block[:, None] != block[None, :]
+            n_sets, n_docs = linked.sum(axis=1), linked @ rows["copies"].to_numpy(float)
+            says = (n_sets > 0) | (root != np.arange(len(ids)))
             yield pd.DataFrame(
-                {"set_id": ids, "root": ids[root], "n_sets": linked.sum(axis=1).astype(np.int64), "n_docs": copies.astype(np.int64)}
+                {"set_id": ids[says], "root": ids[root[says]], "n_sets": n_sets[says].astype(np.int64), "n_docs": n_docs[says].astype(np.int64)}
             )
 
     return run
@@ -376,7 +395,8 @@ def exact_links(docs: DataFrame, members: DataFrame, threshold: float, shingle:
     such that the roots span the links; stored. ``members``: `(set_id,
     component, copies, text_id)`."""
     sizes = members.groupBy("component").agg(F.count("*").alias("n"))
-    texts = docs.select(F.xxhash64("text").alias("text_id"), "text")
+    # joined by shuffle at every size: what is a copy of what grows with the corpus
+    texts = docs.select(F.xxhash64("text").alias("text_id"), "text").hint("merge")
     one = members.join(texts, "text_id").groupBy("set_id", "component", "copies").agg(F.min("text").alias("text"))
     rows = block_pairs(one.join(sizes, "component"), "component", "n", limit)
     rows = rows.select("component", "b1", "b2", "block", "set_id", "copies", "text")
@@ -407,18 +427,18 @@ def near_duplicates(
     if candidates is None:
         per_set = per_set.withColumns({"component": F.col("set_id"), "n_sets": F.lit(0).cast("bigint"), "n_docs": F.lit(0).cast("bigint")})
     else:
-        members = stored(sets.drop("tokens").join(candidates, "set_id"), "members")
+        members = stored(sets.drop("tokens").join(candidates.hint("merge"), "set_id"), "members")
         links = exact_links(docs, members, threshold, shingle, limit)
         counts = links.groupBy("set_id").agg(F.sum("n_sets").alias("n_sets"), F.sum("n_docs").alias("n_docs"))
         parts = connected_components(links.select(F.col("set_id").alias("a"), F.col("root").alias("b")))
         per_set = per_set.join(counts, "set_id", "left").join(parts.withColumnRenamed("node", "set_id"), "set_id", "left")
     own = F.coalesce("component", "set_id").alias("component")
     per_set = stored(per_set.select("set_id", own, "copies", F.coalesce("n_sets", F.lit(0)).alias("n_sets"), F.coalesce("n_docs", F.lit(0)).alias("n_docs")), "set-classes")
-    placed = rows.where("set_id is not null").select("doc_id", "text_id", "set_id").join(per_set, "set_id")
+    placed = rows.where("set_id is not null").select("doc_id", "text_id", "set_id").join(per_set.hint("merge"), "set_id")
     # null ids sort after all others
     kept = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("text_id").alias("text_id")))
     classes = placed.groupBy("component").agg(kept.alias("kept"), F.count("*").alias("class_size"))
-    joined = placed.join(classes, "component")
+    joined = placed.join(classes.hint("merge"), "component")
     n_links = F.col("n_docs") + F.col("copies") - 1
     out = joined.select(
         "doc_id",

@@ -28,6 +28,7 @@ there. Without a training row all counts are zero.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,7 +49,7 @@ BLOCK_BYTES = 16 << 20
 CHUNK_TOKENS = 4_000_000
 #: Named n-grams up to this many (8 bytes each) are sent to every task; beyond
 #: it, the second pass counts all n-grams, with the same result.
-NAMED_ROWS = 8_000_000
+NAMED_ROWS = 4_000_000
 
 _U = np.uint64
 END = mix(np.array([0xE0D], np.uint64))[0]
@@ -108,16 +109,19 @@ def _rows(k: int, keys: np.ndarray, n: np.ndarray) -> pd.DataFrame:
 
 def count_words(train: DataFrame, order: int, share: float) -> DataFrame:
     """`(k, key, n)`, stored: for k = 1 the count of every token; for higher k
-    a row for every n-gram that some chunk names (n is no total there)."""
+    a row for every n-gram that some chunk names, with its count in the chunks
+    that name it. For k = 0 one row: what an n-gram can have at most in all
+    chunks that do not name it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for tokens, bounds in _chunks(batches):
-            size = sum(map(len, tokens))
+            named_from = max(1, math.ceil(share * sum(map(len, tokens))))
+            yield _rows(0, np.zeros(1, np.uint64), np.array([named_from - 1]))
             keys, n = np.unique(np.concatenate(tokens), return_counts=True)
             yield _rows(1, keys, n)
             for k in range(2, order + 1):
                 keys, n = np.unique(np.concatenate([gram_keys(t, f, k) for t, f in zip(tokens, bounds)]), return_counts=True)
-                yield _rows(k, keys[n >= share * size], n[n >= share * size])
+                yield _rows(k, keys[n >= named_from], n[n >= named_from])
 
     counts = train.select("text").mapInPandas(run, "k int, key long, n long")
     return stored(counts.groupBy("k", "key").agg(F.sum("n").alias("n")), "word-counts")
@@ -299,11 +303,14 @@ def score(
     counts = count_words(train, ORDER, share)
     totals = counts.where("k = 1").select("key", "n")
     n_train, n_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    named_rows = counts.where("k > 1")
+    least = max(2.0, share * n_train)
+    unseen = counts.where("k = 0").agg(F.sum("n")).first()[0] or 0
+    # an n-gram that cannot reach the share with what other chunks may hold is out
+    named_rows = counts.where((F.col("k") > 1) & (F.col("n") + unseen >= least)).select("key")
     named = None
     if named_rows.count() <= NAMED_ROWS:
-        named = np.sort(named_rows.select("key").toPandas()["key"].to_numpy().astype(np.int64).astype(np.uint64))
-    grams = stored(count_grams(train, ORDER, named, max(2.0, share * n_train)), "grams")  # at most 1 / share rows an order
+        named = np.sort(named_rows.toPandas()["key"].to_numpy().astype(np.int64).astype(np.uint64))
+    grams = stored(count_grams(train, ORDER, named, least), "grams")  # at most 1 / share rows an order
     used = grams.where("k = 2").select(F.col("head").alias("key")).union(grams.select(F.col("last").alias("key"))).distinct()
     automaton = build_automaton(grams.toPandas(), totals.join(used, "key").toPandas(), alpha, n_train, n_words, discount)
     shared = docs.sparkSession.sparkContext.broadcast(automaton)

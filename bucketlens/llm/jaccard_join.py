@@ -328,7 +328,7 @@ def candidate_classes(sets: DataFrame, threshold: float, limit: int, depth: int,
             joined = connected_components(new).withColumnRenamed("node", "set_id")
             if classes is not None:
                 # earlier classes are nodes now; their members follow them
-                moved = joined.withColumnsRenamed({"set_id": "component", "component": "_to"})
+                moved = joined.select(F.col("set_id").alias("component"), F.col("component").alias("_to"))
                 moved = classes.join(moved, "component", "left").select("set_id", F.coalesce("_to", "component").alias("component"))
                 joined = moved.unionByName(joined.join(classes, "set_id", "left_anti"))
             classes = stored(joined, "classes")

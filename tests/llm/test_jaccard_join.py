@@ -71,6 +71,13 @@ def test_large_groups_are_split(spark):
     assert result(df, limit=7, depth=2) == brute(rows)
 
 
+def test_later_batches_join_earlier_classes(spark):
+    """One run a batch finds a part of the links each time."""
+    rows = corpus(7, groups=15, copies=6)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(df, batches=(1, 1, 1, 1, 12, 12), recall=1.0) == brute(rows)
+
+
 def test_empty_and_kept(spark, odd_docs):
     assert near_duplicates(odd_docs.limit(0)).count() == 0
     out = near_duplicates(odd_docs).collect()

@@ -2,24 +2,24 @@
 
 Tokens are words (A-Z in lower case) and one end token a text.
 
-1. Counting: one pass counts all words of the training texts; the counts are a
-   table in the shared folder that grows with the corpus. The same pass names
-   the word pairs and triples that hold at least ``share`` of the tokens of
-   some chunk of the corpus. An n-gram with that share of the whole corpus must
-   have it in some chunk, so a second pass that counts just the named ones
-   finds all n-grams of at least that share, with exact counts.
-2. The automaton: those n-grams are the arcs, at most 1 / share of each order
-   whatever the corpus, so it can be sent to every task. States are contexts
-   (no word, one word, two words). An arc carries the discounted probability of
-   its word. A failure arc leads to the state of the shorter context and
-   carries the back-off weight that makes the state's probabilities sum to one.
-   The empty context has the whole vocabulary: add-``alpha`` unigrams from the
-   exact counts.
-3. Scoring: texts are dealt into blocks of about ``block_bytes``. A block asks
-   the count table for its own words only (a join on the word, with one row per
-   word and block) and gets them back beside its texts. All texts of a block
-   walk the automaton from left to right at the same time: a text carries its
-   state, follows failure arcs until an arc fits, and adds up the weights.
+1. Counting: texts are dealt into blocks of about ``block_bytes``. A block sends
+   the distinct keys of its words, pairs and triples, with their counts in its
+   training texts, to parts of the key range, as packed arrays. A part adds the
+   counts up and answers each block, in the order of its keys. Every pair and
+   triple that occurs at least ``least`` times (2) in the corpus is an arc,
+   whatever the size of the corpus; nothing of the model is held in one place.
+2. The automaton: states are contexts (no word, one word, two words). An arc
+   carries the discounted probability of its word. A failure arc leads to the
+   state of the shorter context and carries the back-off weight that makes the
+   state's probabilities sum to one. The sums behind the weights are gathered
+   by context in the same way: of the blocks that hold an n-gram, the one named
+   its owner adds it to its context, and all blocks get the sums of their
+   contexts. The empty context has the whole vocabulary: add-``alpha`` unigrams
+   from the exact counts.
+3. Scoring: a block builds the part of the automaton that its texts can reach.
+   All texts of a block walk it from left to right at the same time: a text
+   carries its state, follows failure arcs until an arc fits, and adds up the
+   weights.
 
 Null and empty texts are the end token alone. A null doc_id is in no fold: it
 is neither learned from nor held out. Repeated rows count as often as they are
@@ -28,12 +28,12 @@ there. Without a training row all counts are zero.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,13 +42,14 @@ from .tokens import combine, mix, words
 
 ALPHA = 0.1
 ORDER = 3
-SHARE = 3e-6
+#: Pairs and triples seen this often are arcs; ``share`` can ask for more.
+LEAST = 2
+SHARE = 0.0
 DISCOUNT = 0.75
 BLOCK_BYTES = 16 << 20
-#: Tokens that are counted together before rows leave a task.
-CHUNK_TOKENS = 4_000_000
-#: Named n-grams up to this many (8 bytes each) are sent to every task; beyond
-#: it, the second pass counts all n-grams, with the same result.
+#: Keys that are combined at once (bounds the work arrays).
+PIECE = 1 << 18
+#: Not used any more: no n-grams are sent to every task.
 NAMED_ROWS = 4_000_000
 
 _U = np.uint64
@@ -87,73 +88,148 @@ def gram_starts(n: int, first: np.ndarray, order: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:
-    """Lists of (tokens, bounds) of small batches, about CHUNK_TOKENS together."""
-    tokens, bounds, n = [], [], 0
-    for batch in batches:
-        for part in small_batches(batch, "text"):
-            t, f = tokens_of(part["text"])
-            tokens.append(t)
-            bounds.append(f)
-            n += len(t)
-            if n >= CHUNK_TOKENS:
-                yield tokens, bounds
-                tokens, bounds, n = [], [], 0
-    if n:
-        yield tokens, bounds
-
-
 def _rows(k: int, keys: np.ndarray, n: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"k": np.full(len(keys), k, np.int32), "key": keys.astype(np.int64), "n": n.astype(np.int64)})
 
 
-def count_words(train: DataFrame, order: int, share: float) -> DataFrame:
-    """`(k, key, n)`, stored: for k = 1 the count of every token; for higher k
-    a row for every n-gram that some chunk names, with its count in the chunks
-    that name it. For k = 0 one row: what an n-gram can have at most in all
-    chunks that do not name it."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for tokens, bounds in _chunks(batches):
-            named_from = max(1, math.ceil(share * sum(map(len, tokens))))
-            yield _rows(0, np.zeros(1, np.uint64), np.array([named_from - 1]))
-            keys, n = np.unique(np.concatenate(tokens), return_counts=True)
-            yield _rows(1, keys, n)
-            for k in range(2, order + 1):
-                keys, n = np.unique(np.concatenate([gram_keys(t, f, k) for t, f in zip(tokens, bounds)]), return_counts=True)
-                yield _rows(k, keys[n >= named_from], n[n >= named_from])
-
-    counts = train.select("text").mapInPandas(run, "k int, key long, n long")
-    return stored(counts.groupBy("k", "key").agg(F.sum("n").alias("n")), "word-counts")
-
-
-def count_grams(train: DataFrame, order: int, named: np.ndarray | None, least: float) -> DataFrame:
-    """`(k, head, key, last, n)`: exact counts of the n-grams of at least
-    ``least``; head is the key of the context, last the last token."""
-    shared = train.sparkSession.sparkContext.broadcast(named)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = shared.value
-        for tokens, bounds in _chunks(batches):
-            for k in range(2, order + 1):
-                parts = []
-                for t, f in zip(tokens, bounds):
-                    key, at = gram_keys(t, f, k), gram_starts(len(t), f, k)
-                    if wanted is not None:
-                        i = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-                        keep = wanted[i] == key if len(wanted) else np.zeros(len(key), bool)
-                        key, at = key[keep], at[keep]
-                    head = t[at] if k == 2 else combine(t[at], t[at + 1])
-                    parts.append((key, head, t[at + k - 1]))
-                key = np.concatenate([p[0] for p in parts])
-                key, where, n = np.unique(key, return_index=True, return_counts=True)
-                out = _rows(k, key, n)
-                out["head"] = np.concatenate([p[1] for p in parts])[where].astype(np.int64)
-                out["last"] = np.concatenate([p[2] for p in parts])[where].astype(np.int64)
-                yield out
-
-    counts = train.select("text").mapInPandas(run, "k int, key long, n long, head long, last long")
-    return counts.groupBy("k", "head", "key", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+# -- blocks and parts --------------------------------------------------------
+
+# Messages between blocks and parts: ``size`` keys of order k (in rising order,
+# left out of answers) and two values for each.
+MESSAGE = "part int, block long, round int, k int, size int, keys binary, a binary, b binary"
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Byte planes of an array, compressed."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, size: int, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, size * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, size).T).view(kind).ravel()
+
+
+def _messages(block: int, round_: int, k: int, n_parts: int, keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple]:
+    """One message for each part of the key range that has keys."""
+    ends = np.array([(i << 64) // n_parts for i in range(1, n_parts)], np.uint64)
+    cuts = [0, *np.searchsorted(keys, ends).tolist(), len(keys)]
+    out = []
+    for part, (i, j) in enumerate(zip(cuts, cuts[1:])):
+        if i < j:
+            steps = np.diff(keys[i:j], prepend=np.zeros(1, np.uint64))
+            out.append((part, block, round_, k, j - i, _pack(steps), _pack(a[i:j]), _pack(b[i:j])))
+    return out
+
+
+def _frame(messages: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(messages, columns=[c.split()[0] for c in MESSAGE.split(", ")])
+
+
+def _answers(rows: pd.DataFrame, round_: int, k: int, kinds) -> tuple[np.ndarray, np.ndarray]:
+    """Both values of all keys of a block, from the answers of the parts."""
+    own = rows[(rows["round"] == round_) & (rows["k"] == k)].sort_values("part")
+    out = []
+    for column, kind in zip("ab", kinds):
+        out.append(np.concatenate([np.zeros(0, kind), *(_unpack(d, n, kind) for d, n in zip(own[column], own["size"]))]))
+    return out[0], out[1]
+
+
+COUNTS = (np.int64, np.uint8)  # count in the corpus; whether this block is the owner
+SUMS = (np.float64, np.float64)  # discounted counts of a context's arcs; lower probabilities of their words
+
+
+def _added(rows: pd.DataFrame, kinds) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[tuple, slice, np.ndarray]]]]:
+    """For each order: sums of both values by key, the first place of each key,
+    and for each message its head, its places and where its keys are."""
+    pa.default_memory_pool().release_unused()  # of the part before
+    for _, own in rows.sort_values("block").groupby("k"):
+        keys = np.concatenate([np.cumsum(_unpack(d, n, np.uint64), dtype=np.uint64) for d, n in zip(own["keys"], own["size"])])
+        order = np.argsort(keys, kind="stable")
+        new = np.concatenate(([True], np.diff(keys[order]) != 0))
+        where = np.empty(len(keys), np.int64)
+        where[order] = np.cumsum(new) - 1
+        a, b = (np.concatenate([_unpack(d, n, kind) for d, n in zip(own[c], own["size"])]) for c, kind in zip("ab", kinds))
+        starts = np.flatnonzero(new)
+        ends = np.cumsum(own["size"].to_numpy())
+        heads = zip(own["part"], own["block"], own["round"], own["k"], own["size"])
+        parts = [(h, slice(e - h[4], e), where[e - h[4] : e]) for h, e in zip(heads, ends.tolist())]
+        yield np.add.reduceat(a[order], starts), np.add.reduceat(b[order], starts, dtype=b.dtype), order[starts], parts
+
+
+def add_counts(rows: pd.DataFrame) -> pd.DataFrame:
+    """Answers with the counts of the corpus. One more row, of block -1, has the
+    number of training tokens and of known words as its values."""
+    out, tokens, known = [], 0, 0
+    for n, _, first, parts in _added(rows, COUNTS):
+        owner = np.zeros(sum(h[4] for h, _, _ in parts), np.uint8)
+        owner[first] = 1
+        out += [(*h, None, _pack(n[at]), _pack(owner[own])) for h, own, at in parts]
+        if parts[0][0][3] == 1:
+            tokens, known = int(n.sum()), int((n > 0).sum())
+    summary = (int(rows["part"].iloc[0]), -1, 1, 1, 0, None, str(tokens).encode(), str(known).encode())
+    return _frame([*out, summary])
+
+
+def add_sums(rows: pd.DataFrame) -> pd.DataFrame:
+    """Answers with the sums of the contexts."""
+    return _frame([(*h, None, _pack(a[at]), _pack(b[at])) for a, b, _, parts in _added(rows, SUMS) for h, _, at in parts])
+
+
+@dataclass
+class Grams:
+    """The tokens of a block with the bounds of its texts, and its distinct
+    n-grams: for each order the keys (sorted) and the counts in training texts.
+    Indices into the n-grams: ``word`` of each token; for each order above 1 the
+    context (order k - 1), the last word (order 1) and the n-gram without its
+    first word (order k - 1)."""
+
+    tokens: np.ndarray
+    first: np.ndarray
+    keys: dict[int, np.ndarray]
+    learned: dict[int, np.ndarray]
+    word: np.ndarray
+    head: dict[int, np.ndarray]
+    last: dict[int, np.ndarray]
+    tail: dict[int, np.ndarray]
+
+
+def grams_of(rows: pd.DataFrame, links: bool = True) -> Grams:
+    """Of the texts of a block; ``links``: with the indices."""
+    pa.default_memory_pool().release_unused()  # of the block before
+    parts = [tokens_of(part["text"]) for part in small_batches(rows, "text")]
+    tokens = np.concatenate([t for t, _ in parts])
+    n = np.concatenate([np.diff(f) for _, f in parts])
+    first = np.concatenate(([0], np.cumsum(n)))
+    del parts
+    learn = np.repeat(rows["learn"].to_numpy().astype(bool), n)
+    out = Grams(tokens, first, {}, {}, np.zeros(0, np.int32), {}, {}, {})
+    below = out.word  # index of the n-gram of the order below that starts at each token
+    starting = tokens.copy()  # key of the n-gram that starts at each token
+    for k in range(1, ORDER + 1):
+        for i in range(0, len(tokens) - k + 1 if k > 1 else 0, PIECE):
+            j = min(i + PIECE, len(tokens) - k + 1)
+            starting[i:j] = combine(starting[i:j], tokens[i + k - 1 : j + k - 1])
+        at = gram_starts(len(tokens), first, k).astype(np.int32)
+        keys = starting[at]
+        order = np.argsort(keys).astype(np.int32)
+        keys = keys[order]
+        new = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool)
+        out.keys[k] = keys[new]
+        del keys
+        sizes = np.add.reduceat(learn[at[order]], np.flatnonzero(new), dtype=np.int32) if len(new) else np.zeros(0, np.int32)
+        out.learned[k] = sizes.astype(np.int64)
+        if not links:
+            continue
+        if k > 1:
+            some = at[order[new]]
+            out.head[k], out.last[k], out.tail[k] = below[some], out.word[some + k - 1], below[some + 1]
+        if k < ORDER:
+            below = np.zeros(len(tokens), np.int32)
+            below[at[order]] = np.cumsum(new, dtype=np.int32) - 1
+            out.word = below if k == 1 else out.word
+    return out
 
 
 # -- the automaton -----------------------------------------------------------
@@ -192,8 +268,8 @@ class Automaton:
             todo = np.flatnonzero(s > 0)
             while len(todo):
                 own = combine(self.key[s[todo]], token[todo])
-                i = np.minimum(np.searchsorted(self.arcs, own), len(self.arcs) - 1)
-                fits = self.arcs[i] == own
+                i = np.minimum(np.searchsorted(self.arcs, own), max(0, len(self.arcs) - 1))
+                fits = self.arcs[i] == own if len(self.arcs) else np.zeros(len(own), bool)
                 hit, i = todo[fits], i[fits]
                 w[hit] += self.arc_weight[i]
                 to[hit] = self.arc_to[i]
@@ -215,75 +291,51 @@ class Automaton:
         return out
 
 
-def build_automaton(grams: pd.DataFrame, unigrams: pd.DataFrame, alpha: float, n_train: int, n_words: int, discount: float) -> Automaton:
-    """``grams``: (k, head, key, last, n); ``unigrams``: (key, n) of every word
-    that is a last word or a one-word context in ``grams``."""
-    u = lambda column: column.to_numpy().astype(np.int64).astype(np.uint64)
-    count = dict(zip(u(unigrams["key"]).tolist(), unigrams["n"].tolist()))
-    base = lambda token: (count.get(token, 0) + alpha) / (n_train + alpha * (n_words + 1))
-    level = {k: grams[grams["k"] == k] for k in (2, 3)}
-    pair_count = dict(zip(u(level[2]["key"]).tolist(), level[2]["n"].tolist()))
-    pair_last = dict(zip(u(level[2]["key"]).tolist(), u(level[2]["last"]).tolist()))
-    word_heads = sorted(set(u(level[2]["head"]).tolist()))
-    pair_heads = sorted(set(u(level[3]["head"]).tolist()))
-    keys = [0, *word_heads, *pair_heads]
-    state = {key: i for i, key in enumerate(keys)}
-    fail = np.zeros(len(keys), np.int64)
-    weight = np.zeros(len(keys))
-    for h in pair_heads:
-        fail[state[h]] = state.get(pair_last[h], 0)
-    arcs: dict[int, tuple[float, int]] = {}
-    p_pair: dict[int, float] = {}
-    # pairs first: the probability of a triple's word falls back on theirs
-    for k, heads in ((2, word_heads), (3, pair_heads)):
-        rows = level[k]
-        by_head: dict[int, list[tuple[int, int, int]]] = {}
-        for head, key, last, n in zip(u(rows["head"]).tolist(), u(rows["key"]).tolist(), u(rows["last"]).tolist(), rows["n"].tolist()):
-            by_head.setdefault(head, []).append((key, last, n))
-        for head in heads:
-            total = count.get(head, 0) if k == 2 else pair_count[head]
-            lower = [base(last) if k == 2 else _lower(head, last, pair_last, p_pair, base, state, weight) for _, last, _ in by_head[head]]
-            given = [max(n - discount, 0.0) / total for _, _, n in by_head[head]]
-            # the discounted mass goes back to all words by their lower probability
-            rest = max(1e-9, 1.0 - sum(given))
-            spread = max(1e-9, 1.0 - sum(lower))
-            weight[state[head]] = np.log10(rest / spread)
-            for (key, last, _), p in zip(by_head[head], given):
-                if k == 2:
-                    p_pair[key] = p
-                arcs[key] = (p, _next(head, last, k, pair_last, state))
-    names = np.array(sorted(arcs), np.uint64)
-    values = [arcs[x] for x in names.tolist()]
-    p = np.array([v[0] for v in values])
-    starts = np.array(word_heads, np.uint64)
+def build_automaton(
+    grams: Grams,
+    count: dict[int, np.ndarray],
+    mass: dict[int, np.ndarray],
+    lower: dict[int, np.ndarray],
+    least: float,
+    discount: float,
+) -> Automaton:
+    """The arcs and states that the texts of a block can reach. ``count`` of
+    every n-gram; ``mass`` and ``lower`` (sums of all arcs of the corpus) of the
+    words and pairs, 0 for those that are no context of an arc."""
+    state, n, weight, keys = {}, 1, [np.zeros(1)], [np.zeros(1, np.uint64)]
+    for k in (1, 2):
+        heads = mass[k] > 0
+        state[k] = np.where(heads, np.cumsum(heads) - 1 + n, 0)
+        n += int(heads.sum())
+        # the discounted mass goes back to all words by their lower probability
+        rest = np.maximum(1e-9, 1.0 - mass[k][heads] / count[k][heads])
+        weight.append(np.log10(rest / np.maximum(1e-9, 1.0 - lower[k][heads])))
+        keys.append(grams.keys[k][heads])
+    fail = np.zeros(n, np.int64)
+    fail[state[2]] = state[1][grams.last[2]]
+    fail[0] = 0
+    arcs, p, to = [], [], []
+    for k in (2, 3):
+        kept = count[k] >= least
+        arcs.append(grams.keys[k][kept])
+        p.append(np.maximum(count[k][kept] - discount, 0.0) / count[k - 1][grams.head[k][kept]])
+        pair = np.flatnonzero(kept) if k == 2 else grams.tail[3][kept]
+        to.append(np.where(state[2][pair] > 0, state[2][pair], state[1][grams.last[k][kept]]))
+    names = np.concatenate(arcs)
+    order = np.argsort(names)
+    starts = mass[1] > 0
     return Automaton(
-        key=np.array(keys, np.uint64),
+        key=np.concatenate(keys),
         fail=fail,
-        weight=weight,
-        words=starts,
-        word_state=np.array([state[h] for h in word_heads], np.int64),
-        arcs=names,
-        arc_weight=np.log10(p) if len(p) else p,
-        arc_to=np.array([v[1] for v in values], np.int64),
+        weight=np.concatenate(weight),
+        words=grams.keys[1][starts],
+        word_state=state[1][starts],
+        arcs=names[order],
+        arc_weight=np.log10(np.concatenate(p)[order]),
+        arc_to=np.concatenate(to)[order],
     )
 
 
-def _lower(pair: int, last: int, pair_last, p_pair, base, state, weight) -> float:
-    """Probability of a word after the second word of a pair."""
-    head = pair_last[pair]
-    key = int(combine(np.array([head], np.uint64), np.array([last], np.uint64))[0])
-    if key in p_pair:
-        return p_pair[key]
-    return float(10 ** weight[state[head]]) * base(last) if head in state else base(last)
-
-
-def _next(head: int, last: int, k: int, pair_last, state) -> int:
-    """State of the longest context that ends with the arc's word."""
-    before = head if k == 2 else pair_last[head]
-    pair = int(combine(np.array([before], np.uint64), np.array([last], np.uint64))[0])
-    return state.get(pair, state.get(last, 0))
-
-
 # -- scoring -----------------------------------------------------------------
 
 # Ids pass through Python as text: with nulls they would become floats.
@@ -300,63 +352,84 @@ def score(
 ) -> tuple[DataFrame, int]:
     """`(doc_id, n_tokens, n_known, base_score, score)` per row of ``docs``, and
     the number of training tokens. ``train``: a table with a column text."""
-    counts = count_words(train, ORDER, share)
-    totals = counts.where("k = 1").select("key", "n")
-    n_train, n_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = max(2.0, share * n_train)
-    unseen = counts.where("k = 0").agg(F.sum("n")).first()[0] or 0
-    # an n-gram that cannot reach the share with what other chunks may hold is out
-    named_rows = counts.where((F.col("k") > 1) & (F.col("n") + unseen >= least)).select("key")
-    named = None
-    if named_rows.count() <= NAMED_ROWS:
-        named = np.sort(named_rows.toPandas()["key"].to_numpy().astype(np.int64).astype(np.uint64))
-    grams = stored(count_grams(train, ORDER, named, least), "grams")  # at most 1 / share rows an order
-    used = grams.where("k = 2").select(F.col("head").alias("key")).union(grams.select(F.col("last").alias("key"))).distinct()
-    automaton = build_automaton(grams.toPandas(), totals.join(used, "key").toPandas(), alpha, n_train, n_words, discount)
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
-
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block")
-    dealt = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", block)
+    asked = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.lit(True).alias("asked"), F.lit(False).alias("learn"))
+    learned = train.select(F.lit(None).cast("string").alias("doc_id"), "text", F.lit(False).alias("asked"), F.lit(True).alias("learn"))
+    return _score(asked.union(learned), alpha, share, discount, block_bytes)
 
-    def ask(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.unique(tokens_of(part["text"])[0]) for part in small_batches(rows, "text")]
-        keys = np.unique(np.concatenate(keys))
-        return pd.DataFrame({"block": rows["block"].iloc[0], "key": keys.astype(np.int64)})
 
-    def answer(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        key = known["key"].to_numpy().astype(np.int64).astype(np.uint64)
-        order = np.argsort(key)
-        key, n = key[order], known["n"].to_numpy()[order]
+def _score(texts: DataFrame, alpha: float, share: float, discount: float, block_bytes: int) -> tuple[DataFrame, int]:
+    """``texts``: (doc_id as text, text, asked, learn); the flags say whether a
+    row is scored and whether it is learned from."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_blocks = max(1, -(-size // block_bytes))
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block")
+    dealt = texts.select("doc_id", "text", "asked", "learn", block).groupBy("block")
+
+    def send_counts(rows: pd.DataFrame) -> pd.DataFrame:
+        own, block = grams_of(rows, links=False), int(rows["block"].iloc[0])
+        return _frame([m for k, keys in own.keys.items() for m in _messages(block, 1, k, n_blocks, keys, own.learned[k], np.zeros(len(keys), np.uint8))])
+
+    counts = stored(dealt.applyInPandas(send_counts, MESSAGE).groupBy("part").applyInPandas(add_counts, MESSAGE), "word-counts")
+    totals = counts.where("block = -1").agg(*(F.coalesce(F.sum(F.col(c).cast("string").cast("long")), F.lit(0)) for c in "ab"))
+    n_train, n_words = totals.first()
+    least = max(float(LEAST), share * n_train)
+    base: Callable = lambda n: (n + alpha) / (n_train + alpha * (n_words + 1))
+
+    def send_sums(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        own, block = grams_of(rows), int(rows["block"].iloc[0])
+        own.tokens = own.word = np.zeros(0, np.uint64)  # not needed here
+        (c1, _), (c2, own2), (c3, own3) = (_answers(replies, 1, k, COUNTS) for k in (1, 2, 3))
         out = []
-        for part in small_batches(rows, "text", 4 << 20):
-            tokens, first = tokens_of(part["text"])
-            i = np.minimum(np.searchsorted(key, tokens), max(0, len(key) - 1))
-            c = np.where(key[i] == tokens, n[i], 0) if len(key) else np.zeros(len(tokens), np.int64)
-            unigram = np.log10((c + alpha) / (n_train + alpha * (n_words + 1)))
-            out.append(
-                pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].to_numpy(),
-                        "n_tokens": np.diff(first),
-                        "n_known": np.add.reduceat((c > 0).astype(np.int64), first[:-1]),
-                        "base_score": np.add.reduceat(unigram, first[:-1]),
-                        "score": shared.value.walk(tokens, first, unigram),
-                    }
-                )
-            )
-        return pd.concat(out)
-
-    wanted = dealt.groupBy("block").applyInPandas(ask, "block long, key long")
-    replies = wanted.join(totals, "key").select("block", "key", "n")
-    scored = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(answer, RESULT)
+        # every arc's pair without the first word is an arc too: it has no smaller count
+        for k, n, mine, below in ((2, c2, own2, base(c1)), (3, c3, own3, None)):
+            above = c1 if k == 2 else c2
+            arcs = np.flatnonzero((n >= least) & (mine == 1))
+            if k == 2:
+                low = below[own.last[2][arcs]]
+            else:
+                tail = own.tail[3][arcs]
+                low = np.maximum(c2[tail] - discount, 0.0) / c1[own.head[2][tail]]
+            head = own.head[k][arcs]
+            mass = np.bincount(head, np.maximum(n[arcs] - discount, 0.0), len(above))
+            low = np.bincount(head, low, len(above))
+            heads = above >= least
+            out += _messages(block, 2, k - 1, n_blocks, own.keys[k - 1][heads], mass[heads], low[heads])
+        return _frame(out)
+
+    replies = counts.where("block >= 0")
+    sums = stored(dealt.cogroup(replies.groupBy("block")).applyInPandas(send_sums, MESSAGE).groupBy("part").applyInPandas(add_sums, MESSAGE), "context-sums")
+
+    def answer(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        own = grams_of(rows)
+        count = {k: _answers(replies, 1, k, COUNTS)[0] for k in (1, 2, 3)}
+        mass, lower = {}, {}
+        for k in (1, 2):
+            heads = count[k] >= least
+            mass[k], lower[k] = np.zeros(len(heads)), np.zeros(len(heads))
+            mass[k][heads], lower[k][heads] = _answers(replies, 2, k, SUMS)
+        automaton = build_automaton(own, count, mass, lower, least, discount)
+        known = count[1][own.word]
+        unigram = np.log10(base(known))
+        out = pd.DataFrame(
+            {
+                "doc_id": rows["doc_id"].to_numpy(),
+                "n_tokens": np.diff(own.first),
+                "n_known": np.add.reduceat((known > 0).astype(np.int64), own.first[:-1]),
+                "base_score": np.add.reduceat(unigram, own.first[:-1]),
+                "score": automaton.walk(own.tokens, own.first, unigram),
+            }
+        )
+        return out[rows["asked"].to_numpy().astype(bool)]
+
+    scored = dealt.cogroup(replies.union(sums).groupBy("block")).applyInPandas(answer, RESULT)
     return scored.withColumn("doc_id", F.col("doc_id").cast("bigint")), int(n_train)
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored, n_train = score(docs, docs.where(crc_mod("doc_id", 10) != 0))
+    learn = F.coalesce(crc_mod("doc_id", 10) != 0, F.lit(False))
+    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.lit(True).alias("asked"), learn.alias("learn"))
+    scored, n_train = _score(texts, ALPHA, SHARE, DISCOUNT, BLOCK_BYTES)
     held_out = F.coalesce(crc_mod("doc_id", 10) == 0, F.lit(False))
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(n_train).cast("bigint").alias("train_tokens"), "base_score", "score"

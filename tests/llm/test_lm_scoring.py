@@ -109,3 +109,18 @@ def test_grams_stay_inside_texts():
     assert lm.gram_starts(len(t), first, 2).tolist() == [0, 1, 4]
     assert lm.gram_starts(len(t), first, 3).tolist() == [0]
     assert isinstance(lm._rows(2, t, np.ones(len(t))), pd.DataFrame)
+
+
+def test_more_rows_of_other_words_take_no_arc_away(spark):
+    """An n-gram seen a few times stays an arc however large the corpus is
+    (before, it had to hold 3 in a million of the tokens)."""
+    other = [" ".join(f"w{i}x{j}" for j in range(1500)) for i in range(700)]
+    train = [*TRAIN, *other]
+    asked = [*TRAIN[:3], "the cat sat on a dog", "w3x4 w3x5 the cat"]
+    docs = spark.createDataFrame([*enumerate(asked)], "doc_id long, text string")
+    rows = spark.createDataFrame([*enumerate(train)], "doc_id long, text string")
+    got, n = lm.score(docs, rows, block_bytes=2 << 20)
+    score, _, _, total = brute(train, 2)
+    assert n == total and 3e-6 * n > 3
+    by_id = {r.doc_id: r.score for r in got.collect()}
+    assert by_id == {i: pytest.approx(score(t), rel=1e-9) for i, t in enumerate(asked)}

@@ -2,6 +2,8 @@ import gzip
 import os
 import tempfile
 
+import pytest
+from pyspark.errors import SparkRuntimeException
 from test_parse import line
 
 from bucketlens.operators.log_analytics import malformed_summary, top_buckets_by_size
@@ -73,3 +75,25 @@ def test_days_are_pruned_before_they_are_read(spark):
     assert "PartitionFilters: [isnotnull(day" in text
     globbed = read_access_logs(spark, root, recursive=True, pathGlobFilter="b*.log")
     assert globbed.count() == 0
+
+
+def test_default_call_leaves_no_folder_out(spark):
+    root = tempfile.mkdtemp(prefix="bucketlens-logs-")
+
+    def put(*path, size):
+        os.makedirs(os.path.join(root, *path[:-1]), exist_ok=True)
+        with open(os.path.join(root, *path), "w") as f:
+            f.write(line(size=size) + "\n")
+
+    put("plain", "a.log", size="100")
+    put("plain", "2019", "02", "b.log", size="7")
+    total = lambda log: [r.total_size for r in top_buckets_by_size(log).collect()]
+    assert total(read_access_logs(spark, os.path.join(root, "plain"))) == [107]
+    assert total(read_access_logs(spark, os.path.join(root, "plain"), recursive=False)) == [100]
+    put("mixed", "day=2019-02-06", "a.log", size="1")
+    assert total(read_access_logs(spark, os.path.join(root, "mixed"), where="day = '2019-02-06'")) == [1]
+    put("mixed", "day=2019-02-06", "sub", "c.log", size="4")
+    assert total(read_access_logs(spark, os.path.join(root, "mixed"))) == [5]
+    put("mixed", "old", "b.log", size="2")
+    with pytest.raises(SparkRuntimeException, match="CONFLICTING_DIRECTORY_STRUCTURES"):
+        read_access_logs(spark, os.path.join(root, "mixed"))

@@ -21,18 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``). Only a session
-    in a single local process may go without: it gets a temporary folder."""
+    in a single local process may go without: it gets one temporary folder,
+    kept here per application (the setting cannot be changed later on)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     master = spark.conf.get("spark.master", "")
     if not (master == "local" or master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = "file://" + tempfile.mkdtemp(prefix="bucketlens-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="bucketlens-llm-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

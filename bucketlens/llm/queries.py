@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ship_package
 from . import oracle
 from .decontamination import op10_decontamination
+from .hard_negatives import op12_hard_negatives
 from .jaccard_join import op1_jaccard_join
 from .language_id import op9_language_id
 from .line_dedup import op5_line_dedup
@@ -16,6 +17,7 @@ from .lm_scoring import op7_lm_scoring
 from .packing import op2_packing
 from .quality import op8_quality_rules
 from .secrets import op4_secret_scans
+from .sharding import op11_sharding
 from .url_filters import op3_url_filters
 from .warc import op6_warc
 
@@ -32,6 +34,8 @@ OPERATORS: list[Query] = [
     op8_quality_rules,
     op9_language_id,
     op10_decontamination,
+    op11_sharding,
+    op12_hard_negatives,
 ]
 
 
@@ -50,4 +54,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_line_dedup": oracle.LINE_DEDUP,
     "op6_warc": oracle.WARC,
     "op10_decontamination": oracle.DECONTAMINATION,
+    "op12_hard_negatives": oracle.HARD_NEGATIVES,
 }

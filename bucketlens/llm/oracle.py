@@ -119,3 +119,23 @@ SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.scor
 FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.own AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
 QUALIFY rank <= 5
 """
+
+COLLOCATIONS = """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+ws AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+g AS (SELECT lang, w[i : i + m - 1] AS p, count(*) AS f
+  FROM (SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM ws, (VALUES (1), (2), (3), (4)) t(m)) GROUP BY 1, 2),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE len(p) = 1 GROUP BY 1),
+c AS (SELECT lang, p, f AS a FROM g WHERE len(p) > 1 AND f >= 30),
+cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM c),
+scored AS (SELECT cuts.lang, cuts.p, a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+  FROM cuts JOIN g x ON x.lang = cuts.lang AND x.p = cuts.p[1 : k] JOIN g y ON y.lang = cuts.lang AND y.p = cuts.p[k + 1 :]
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.p ORDER BY score, k) = 1),
+parts AS (SELECT lang, p[i : i + m - 1] AS p, max(a) AS most
+  FROM (SELECT lang, a, p, m, unnest(range(1, len(p) - m + 2)) AS i FROM c, (VALUES (2), (3)) t(m) WHERE m < len(p)) GROUP BY 1, 2),
+kept AS (SELECT s.lang, array_to_string(s.p, ' ') AS phrase, a, l, r, score
+  FROM scored s LEFT JOIN parts q ON q.lang = s.lang AND q.p = s.p WHERE most IS NULL OR 100 * most < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""

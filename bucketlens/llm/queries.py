@@ -15,6 +15,7 @@ from .language_id import op9_language_id
 from .line_dedup import op5_line_dedup
 from .lm_scoring import op7_lm_scoring
 from .packing import op2_packing
+from .phrases import op13_collocations
 from .quality import op8_quality_rules
 from .secrets import op4_secret_scans
 from .sharding import op11_sharding
@@ -36,6 +37,7 @@ OPERATORS: list[Query] = [
     op10_decontamination,
     op11_sharding,
     op12_hard_negatives,
+    op13_collocations,
 ]
 
 
@@ -55,4 +57,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_warc": oracle.WARC,
     "op10_decontamination": oracle.DECONTAMINATION,
     "op12_hard_negatives": oracle.HARD_NEGATIVES,
+    "op13_collocations": oracle.COLLOCATIONS,
 }

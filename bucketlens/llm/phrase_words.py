@@ -29,7 +29,7 @@ _CLASS[[ord(c) for c in PIECE_ENDS]] = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Bytes hashed at once (bounds the 64-bit work arrays).
 SEGMENT_BYTES = 1 << 19
 #: Longer words are hashed one by one, by a cryptographic hash: the polynomial
@@ -120,15 +120,16 @@ def chunk_row(buffer: np.ndarray, lang: str, hasher: Hasher) -> dict | None:
         "counts": np.bincount(codes).astype(np.uint32).tobytes(),
         "lengths": (end[first] - start[first]).astype(np.uint32).tobytes(),
         "words": b"".join([text[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]),
-        "codes": (codes.astype(np.uint32) << np.uint32(1) | fresh.astype(np.uint32)).tobytes(),
+        # compressed in the row, so that what Spark holds and sends is small too
+        "codes": pa.compress((codes.astype(np.uint32) << np.uint32(1) | fresh.astype(np.uint32)).tobytes(), "zstd", asbytes=True),
         "clash": bool((checks != checks[first][codes]).any()),
     }
 
 
 def _cuts(buffer: np.ndarray) -> list[int]:
     """Cut points just after the end of a piece, about CHUNK_BYTES apart (a
-    longer piece is not cut)."""
-    if len(buffer) <= CHUNK_BYTES:
+    longer piece is not cut, and up to twice as much is one chunk)."""
+    if len(buffer) <= 2 * CHUNK_BYTES:
         return [0, len(buffer)]
     ends = np.flatnonzero(_CLASS[buffer] == 2) + 1
     cuts = [0]
@@ -182,8 +183,8 @@ def _array(binary, dtype) -> np.ndarray:
 
 def chunk_arrays(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(keys, codes, fresh) of each chunk in a batch."""
-    for keys, codes in zip(batch.column("keys"), batch.column("codes")):
-        packed = _array(codes, np.uint32)
+    for n, keys, codes in zip(batch.column("n"), batch.column("keys"), batch.column("codes")):
+        packed = np.frombuffer(pa.decompress(codes.as_buffer(), 4 * n.as_py(), "zstd"), np.uint32)
         yield _array(keys, np.uint64), (packed >> np.uint32(1)).astype(np.int64), (packed & np.uint32(1)).astype(bool)
 
 

@@ -57,6 +57,7 @@ CONTAINED = 80
 MOST_BITS = 27
 MOST_SENT = 1 << 20
 SEEDS = 8
+CHUNKS_PER_FILE = 16
 
 
 def _names(m: int, first: int = 1) -> list[str]:
@@ -70,7 +71,9 @@ def _chunks(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     raw = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     for seed in range(SEEDS):
         path = scratch_path(spark, "chunks")
-        raw.mapInArrow(pw.to_chunks(seed), pw.CHUNKS).write.option("compression", "zstd").parquet(path)
+        # few rows a file: the scan holds the rows of a file together
+        write = raw.mapInArrow(pw.to_chunks(seed), pw.CHUNKS).write.option("maxRecordsPerFile", CHUNKS_PER_FILE)
+        write.option("compression", "zstd").parquet(path)
         chunks = spark.read.schema(pw.CHUNKS).parquet(path)
         listed = chunks.select("keys", "checks", "counts", "lang_key").mapInArrow(pw.vocabulary, pw.VOCABULARY)
         words = listed.groupBy("word").agg(
@@ -113,7 +116,7 @@ def _scored(df: DataFrame, *cuts: tuple[str, str]) -> DataFrame:
 
 def _count(chunks: DataFrame, mapper, m: int) -> DataFrame:
     names = _names(m)
-    rows = chunks.select("keys", "codes").mapInArrow(mapper, pw.phrase_rows(m))
+    rows = chunks.select("n", "keys", "codes").mapInArrow(mapper, pw.phrase_rows(m))
     return rows.groupBy(*names).agg(F.sum("a").alias("a"))
 
 

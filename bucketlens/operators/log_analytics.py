@@ -15,12 +15,15 @@ after measuring it and splits skewed partitions otherwise.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
 from .geo import PreparedGeo, enrich_geo
+from .heavy_hitters import top_values
+from .runtime_filter import AllowList, KeyFilter, key_filter
 
 
 def exact_sum(name: str) -> Column:
@@ -35,9 +38,13 @@ def good_rows(log: DataFrame) -> DataFrame:
 def select_buckets(df: DataFrame, buckets: Iterable[str] | DataFrame | None) -> DataFrame:
     """Keep the given buckets; ``None`` keeps every bucket (no pass over the
     data to find them). A DataFrame with a ``bucket_name`` column is applied as
-    a left-semi join, so the allow-list itself may be large."""
+    a left-semi join, so the allow-list itself may be large; an ``AllowList``
+    (``prepare_allow_list``) filters the scan first, so that a list too long for
+    a broadcast does not make Spark shuffle the whole log."""
     if buckets is None:
         return df
+    if isinstance(buckets, AllowList):
+        return buckets.keep(df)
     if isinstance(buckets, DataFrame):
         return df.join(buckets.select("bucket_name").distinct(), "bucket_name", "left_semi")
     return df.where(F.col("bucket_name").isin(list(buckets)))
@@ -52,10 +59,47 @@ def top_buckets_by_size(log: DataFrame, n: int | None = 5) -> DataFrame:
 
 
 # --- W-1 / O-4 ---------------------------------------------------------------
-def top_objects_per_bucket(log: DataFrame, n: int | None = 5, buckets=None) -> DataFrame:
+@dataclass(frozen=True)
+class TopSizes:
+    """The n largest distinct sizes of every bucket: (bucket_name, object_size,
+    rank). ``filter`` is None if they are few enough for a broadcast."""
+
+    ranked: DataFrame
+    n: int
+    filter: KeyFilter | None
+
+
+#: Ranked sizes that are sent to every task: bucket name, size and rank.
+BROADCAST_MAX_SIZES = 200_000
+
+
+def _ranked_sizes(sizes: DataFrame, n: int) -> DataFrame:
+    w = Window.partitionBy("bucket_name").orderBy(F.desc("object_size"))
+    return sizes.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= n)
+
+
+def prepare_top_sizes(log: DataFrame, n: int = 5, buckets=None, broadcast_max_rows: int = BROADCAST_MAX_SIZES) -> TopSizes:
+    """Find the sizes that ``top_objects_per_bucket`` keeps, by one job over the
+    (bucket, size) summary. Up to ``broadcast_max_rows`` of them pass through the
+    driver; more than that stay a DataFrame and get a bounded filter."""
+    rows = select_buckets(good_rows(log), buckets).select("bucket_name", "object_size")
+    ranked = _ranked_sizes(rows.distinct(), n)
+    found = ranked.limit(broadcast_max_rows + 1).toArrow()
+    if found.num_rows <= broadcast_max_rows:
+        return TopSizes(log.sparkSession.createDataFrame(found, ranked.schema), n, None)
+    return TopSizes(ranked, n, key_filter(ranked, ["bucket_name", "object_size"]))
+
+
+def top_objects_per_bucket(log: DataFrame, n: int | None = 5, buckets=None, sizes: TopSizes | None = None) -> DataFrame:
     """Requests ranked per bucket by object size (``dense_rank``), rank ≤ n.
 
-    The log is read once, into a count per (bucket, key, size) that is combined
+    With ``sizes`` (``prepare_top_sizes``, the same n and buckets) the log is
+    scanned a second time and only rows of a ranked size leave the scan: they
+    are looked up where they are, and no row of the log is shuffled. If there
+    are too many ranked sizes for that, the scan is filtered by a bounded Bloom
+    filter of them, and only what passes is aggregated as below.
+
+    Without ``sizes`` the log is read once, into a count per (bucket, key, size) that is combined
     map-side. A dense rank depends on the distinct sizes of a bucket only: with
     ``n`` they are ranked by a window whose rank filter Spark applies before
     its shuffle too (at most n sizes per bucket and partition are shipped);
@@ -63,17 +107,27 @@ def top_objects_per_bucket(log: DataFrame, n: int | None = 5, buckets=None) -> D
     so no window ever holds a bucket. The ranks are joined to the counts, and
     the rows are made again from them (``_repeat_rows``): a third of all
     requests on one bucket's largest object never meet in one task."""
-    rows = select_buckets(good_rows(log), buckets)
+    rows = select_buckets(good_rows(log), buckets).select("bucket_name", "key", "object_size")
+    if sizes is not None and (n is None or n != sizes.n):
+        raise ValueError("the sizes were prepared for another n")
+    if sizes is not None:
+        ranked = sizes.ranked.select(F.col("bucket_name").alias("_b"), F.col("object_size").alias("_s"), "rank")
+        same = F.col("bucket_name").eqNullSafe(F.col("_b")) & F.col("object_size").eqNullSafe(F.col("_s"))
+        if sizes.filter is None:
+            return rows.join(F.broadcast(ranked), same).select("bucket_name", "key", "object_size", "rank")
+        rows = sizes.filter.apply(rows, ["bucket_name", "object_size"])
+        counts = rows.groupBy("bucket_name", "key", "object_size").agg(F.count(F.lit(1)).alias("_c"))
+        found = counts.join(ranked, same).select("bucket_name", "key", "object_size", "rank", "_c")
+        return _repeat_rows(found, "_c", ["bucket_name", "key", "object_size", "rank"])
     counts = rows.groupBy("bucket_name", "key", "object_size").agg(F.count(F.lit(1)).alias("_c"))
     # asking for the count (always positive) keeps this branch's first aggregate
     # the same as the other's, so its shuffle is reused and the log read once
-    sizes = counts.groupBy("bucket_name", "object_size").agg(F.sum("_c").alias("_c")).where("_c > 0")
+    summary = counts.groupBy("bucket_name", "object_size").agg(F.sum("_c").alias("_c")).where("_c > 0")
     if n is None:
-        ones = _prefix_sums(sizes.withColumn("_c", F.lit(1).cast("bigint")), "bucket_name", "object_size", descending=True)
+        ones = _prefix_sums(summary.withColumn("_c", F.lit(1).cast("bigint")), "bucket_name", "object_size", descending=True)
         ranked = ones.withColumn("rank", F.col("running_sum").cast("int")).drop("running_sum", "_c")
     else:
-        w = Window.partitionBy("bucket_name").orderBy(F.desc("object_size"))
-        ranked = sizes.withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= n)
+        ranked = _ranked_sizes(summary, n)
     ranked = ranked.select(F.col("bucket_name").alias("_b"), F.col("object_size").alias("_s"), "rank")
     same = F.col("bucket_name").eqNullSafe(F.col("_b")) & F.col("object_size").eqNullSafe(F.col("_s"))
     found = counts.join(ranked, same).select("bucket_name", "key", "object_size", "rank", "_c")
@@ -102,7 +156,8 @@ def hits_per_ip(log: DataFrame, buckets=None, geo: DataFrame | PreparedGeo | Non
     rows = good_rows(log).where(F.col("ip_address").isNotNull())
     if buckets is None:
         out = rows.groupBy("ip_address").agg(F.count("ip_address").alias("hits"))
-    elif isinstance(buckets, DataFrame):
+    elif isinstance(buckets, DataFrame | AllowList):
+        buckets = buckets.names.withColumnRenamed("_name", "bucket_name") if isinstance(buckets, AllowList) else buckets
         pairs = rows.groupBy("ip_address", "bucket_name").agg(F.count("ip_address").alias("_n"))
         chosen = buckets.select("bucket_name").distinct().withColumn("_sel", F.lit(True))
         flagged = pairs.join(chosen, "bucket_name", "left")
@@ -117,8 +172,16 @@ def hits_per_ip(log: DataFrame, buckets=None, geo: DataFrame | PreparedGeo | Non
     return out.orderBy(F.desc("hits"), "ip_address")
 
 
-def top_ips(log: DataFrame, n: int = 5, buckets=None, geo: DataFrame | PreparedGeo | None = None) -> DataFrame:
-    return hits_per_ip(log, buckets=buckets, geo=geo).limit(n)
+def top_ips(log: DataFrame, n: int = 5, buckets=None, geo: DataFrame | PreparedGeo | None = None, sketch: bool = False) -> DataFrame:
+    """The n most active addresses. ``sketch`` (for all buckets) finds them by
+    ``heavy_hitters``: two scans and one bounded job when it is called, and no
+    row per distinct address in a shuffle."""
+    if not sketch:
+        return hits_per_ip(log, buckets=buckets, geo=geo).limit(n)
+    if buckets is not None:
+        raise ValueError("the sketch counts all buckets")
+    out = top_values(good_rows(log), "ip_address", n)
+    return out if geo is None else enrich_geo(out, geo).orderBy(F.desc("hits"), "ip_address")
 
 
 # --- A-4 / A-12 / P-3 --------------------------------------------------------

@@ -131,3 +131,28 @@ def inventory_checksums(root: str, partitions: int | None = None, filesystem: di
         return md5_of_files(with_path, partitions, filesystem).drop("path")
 
     return checksums
+
+
+def _write_batches(root: str, options: tuple):
+    def run(batches):
+        for pdf in batches:
+            for bucket, key, body in zip(pdf["bucket_name"], pdf["key"], pdf["content"]):
+                fs, rel = _arrow_location(f"{root}{bucket}/{key}", options)
+                if "/" in rel:
+                    fs.create_dir(rel.rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(rel, compression=None) as out:
+                    out.write(b"" if body is None else bytes(body))
+            yield pdf[["bucket_name", "key"]]
+
+    return run
+
+
+def write_objects(contents: DataFrame, root: str, filesystem: dict | None = None) -> int:
+    """Write each row of ``(bucket_name, key, content)`` as one object at
+    `root/bucket/key`, its exact bytes (NULL: an empty object), from the tasks;
+    returns how many. A task that runs again writes the same objects again. Its
+    counterpart reads them back: ``read_object_lines``, ``list_prefixes``."""
+    ship_package(contents.sparkSession)
+    rows = contents.select("bucket_name", "key", F.col("content").cast("binary").alias("content"))
+    options = tuple(sorted((filesystem or {}).items()))
+    return rows.mapInPandas(_write_batches(root.rstrip("/") + "/", options), "bucket_name string, key string").count()

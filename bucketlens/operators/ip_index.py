@@ -13,8 +13,8 @@ Of the containing ranges the most specific wins: the greatest start, then the
 smallest end, then the smallest of the other columns (of equal ranges only the
 first is kept in the index).
 
-``prepare_ip_index`` looks at the ranges once (one job): which block lengths
-occur, and how many blocks there are. Up to ``broadcast_max_rows`` they are sent to
+``prepare_ip_index`` cuts the ranges once, writes the blocks to the session's
+scratch folder and counts them by length (at most 129 rows). Up to ``broadcast_max_rows`` they are sent to
 every task. Rows with a missing or invalid address get NULLs; ranges with a
 missing bound or an end before the start hold nothing.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.network import ipv4_to_long
-from ..session import ship_package
+from ..session import ship_package, stored
 from .geo import BROADCAST_MAX_ROWS, GEO_COLUMNS
 
 BITS = 128
@@ -41,26 +41,45 @@ def _hex32(number: Column) -> Column:
     return F.lpad(F.lower(F.hex(number)), 8, "0")
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _v6_bytes(text: Column) -> Column:
+    """Groups in lower case, at most one `::` → 16 bytes; NULL if malformed."""
+    none = F.array().cast("array<string>")
+    groups = lambda half: F.when(half.isNull() | (half == ""), none).otherwise(F.split(half, ":", -1))
+
+    def of_sides(s: Column) -> Column:
+        n = F.size(s["left"]) + F.size(s["right"])
+        whole = ((s["parts"] == 1) & (n == 8)) | ((s["parts"] == 2) & (n <= 7))
+        zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - n, F.lit(0)))
+        every = F.concat(s["left"], zeros, s["right"])
+        good = F.forall(every, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+        return F.when(whole & good, F.unhex(F.array_join(F.transform(every, lambda g: F.lpad(g, 4, "0")), "")))
+
+    def of_halves(h: Column) -> Column:
+        sides = F.struct(groups(F.get(h, F.lit(0))).alias("left"), groups(F.get(h, F.lit(1))).alias("right"), F.size(h).alias("parts"))
+        return _let(sides, of_sides)
+
+    return _let(F.split(text, "::", -1), of_halves)
+
+
+def _undotted(text: Column) -> Column:
+    """A dotted tail stands for the last two groups."""
+    def of_tail(tail: Column) -> Column:
+        digits = _hex32(ipv4_to_long(tail))
+        two = F.concat(F.substring(digits, 1, 4), F.lit(":"), F.substring(digits, 5, 4))
+        return F.when(F.instr(tail, ".") > 0, F.concat(F.regexp_replace(text, "[0-9.]+$", ""), two)).otherwise(text)
+
+    return _let(F.regexp_extract(text, ":([0-9.]+)$", 1), of_tail)
+
+
 def ip_bytes(ip: Column) -> Column:
     """An IPv4 or IPv6 address in text → its 16 bytes; NULL for anything else."""
-    v4 = ipv4_to_long(ip)
-    text = F.lower(ip)
-    # a dotted tail stands for the last two groups
-    tail = F.regexp_extract(text, r":([0-9.]+)$", 1)
-    dotted = _hex32(ipv4_to_long(tail))
-    groups16 = F.concat(F.substring(dotted, 1, 4), F.lit(":"), F.substring(dotted, 5, 4))
-    text = F.when(F.instr(tail, ".") > 0, F.concat(F.regexp_replace(text, r"[0-9.]+$", ""), groups16)).otherwise(text)
-    halves = F.split(text, "::", -1)
-    none = F.array().cast("array<string>")
-    half = lambda i: F.when(F.size(halves) <= i, none).when(F.get(halves, F.lit(i)) == "", none).otherwise(F.split(F.get(halves, F.lit(i)), ":", -1))
-    left, right = half(0), half(1)
-    n = F.size(left) + F.size(right)
-    whole = ((F.size(halves) == 1) & (n == 8)) | ((F.size(halves) == 2) & (n <= 7))
-    groups = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - n, F.lit(0))), right)
-    good = F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-    digits = F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
-    v6 = F.when(whole & good, F.unhex(digits))
-    return F.when(v4.isNotNull(), F.unhex(F.concat(F.lit("0" * 20 + "ffff"), _hex32(v4)))).when(F.instr(ip, ":") > 0, v6)
+    v4 = _let(ipv4_to_long(ip), lambda n: F.when(n.isNotNull(), F.unhex(F.concat(F.lit("0" * 20 + "ffff"), _hex32(n)))))
+    return F.when(F.instr(ip, ":") > 0, _let(F.lower(ip), lambda t: _let(_undotted(t), _v6_bytes))).otherwise(v4)
 
 
 def _half(address: Column, first: int) -> Column:
@@ -120,7 +139,7 @@ def prepare_ip_index(ranges: DataFrame, columns: Sequence[str] = GEO_COLUMNS, br
     first = valid.groupBy("ip_start", "ip_end").agg(F.min(F.struct(*columns)).alias("_first"))
     one = first.select("ip_start", "ip_end", *[F.col("_first").getField(c).alias(c) for c in columns])
     schema = ", ".join(f"`{n}` {t}" for n, t in one.dtypes) + ", _len int, _hi bigint, _lo bigint"
-    blocks = one.mapInPandas(_cut_ranges, schema)
+    blocks = stored(one.mapInPandas(_cut_ranges, schema), "ip-index")
     counted = blocks.groupBy("_len").count().collect()  # at most 129 rows
     return IpIndex(blocks, sorted(r["_len"] for r in counted), list(columns), sum(r["count"] for r in counted) <= broadcast_max_rows)
 

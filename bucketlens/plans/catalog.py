@@ -10,12 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import duplicates as dup
 from ..operators import geo as geo_ops
 from ..operators import inventory as inv
+from ..operators import ip_index
 from ..operators import log_analytics as la
 from ..operators.parse import parse_access_log
+from ..operators.refinement import duplicate_files_refined
+from ..operators.runtime_filter import prepare_allow_list
+from ..sources import pieces
+from ..sources.content import read_object_lines
 from ..sources.inventory import read_inventory
+from ..sources.listing import list_prefixes
+from ..sources.log_table import register_table_functions
+from ..sources.logs import read_access_logs
 from ..sources.views import register_views
 from . import fixtures as fx
-from .params import LOG_BUCKETS, ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS, TOP_IPS, TOP_OBJECTS
+from .params import (ALLOW_BROADCAST, BLOCK_BYTES, LOG_BUCKETS, ONE_BUCKET, PIECE_BYTES, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS,
+                     TOP_IPS, TOP_OBJECTS)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +45,13 @@ def _top_buckets_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _top_buckets_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U-3 / K-4: a SQL table function over the registered view."""
+    register_views(access_log=_log(spark, sf_dir))
+    register_table_functions(spark)
+    return spark.sql("SELECT * FROM top_buckets(:n)", args={"n": TOP_BUCKETS})
+
+
 def _geo_enrich(method: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return geo_ops.enrich_geo(_log(spark, sf_dir), geo_ops.prepare_geo(fx.geo_ranges(spark), method))
@@ -43,6 +59,31 @@ def _geo_enrich(method: str) -> Query:
     return run
 
 
+def _top_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W-1: the ranked sizes first, then a scan that keeps nothing else."""
+    log = _log(spark, sf_dir)
+    return la.top_objects_per_bucket(log, n=TOP_OBJECTS, sizes=la.prepare_top_sizes(log, TOP_OBJECTS))
+
+
+def _hits_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-4 with a long list: the scan is filtered by the list's bounded filter."""
+    allow = prepare_allow_list(fx.allowed_buckets(spark, sf_dir), broadcast_max_rows=ALLOW_BROADCAST)
+    return la.hits_per_object(_log(spark, sf_dir), buckets=allow)
+
+
+def _ip_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ip_index.prepare_ip_index(fx.client_ranges(spark, sf_dir), ["name"])
+    return ip_index.enrich_ips(fx.client_addresses(spark, sf_dir), index)
+
+
+def _log_files(mode: str) -> Query:
+    """S-1 / S-2: the lines written as gzip files and read back as a log."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return read_access_logs(spark, fx.log_folder(spark, sf_dir), mode=mode).drop("part")
+
+    return run
+
+
 LOG_QUERIES: dict[str, Query] = {
     "parse_log_regex": lambda s, d: _log(s, d, "strict"),
     "parse_log_tolerant": lambda s, d: _log(s, d, "tolerant"),
@@ -52,7 +93,7 @@ LOG_QUERIES: dict[str, Query] = {
     "total_bytes_sent": lambda s, d: la.total_bytes_sent(_log(s, d)),
     "top_buckets_by_size": lambda s, d: la.top_buckets_by_size(_log(s, d), n=TOP_BUCKETS),
     "top_buckets_by_size_sql": _top_buckets_sql,
-    "top_objects_per_bucket": lambda s, d: la.top_objects_per_bucket(_log(s, d), n=TOP_OBJECTS),
+    "top_objects_per_bucket": _top_objects,
     "top_objects_per_bucket_all": lambda s, d: la.top_objects_per_bucket(_log(s, d), n=None),
     "top_objects_per_bucket_selected": lambda s, d: la.top_objects_per_bucket(_log(s, d), n=TOP_OBJECTS, buckets=LOG_BUCKETS),
     "hits_per_object_selected": lambda s, d: la.hits_per_object(_log(s, d), buckets=LOG_BUCKETS),
@@ -64,6 +105,12 @@ LOG_QUERIES: dict[str, Query] = {
     "percentage_of_bucket_total": lambda s, d: la.percentage_of_bucket_total(_log(s, d)),
     "geo_enrich": _geo_enrich("auto"),
     "geo_enrich_bucketed": _geo_enrich("bucketed"),
+    "top_buckets_table_function": _top_buckets_function,
+    "ip_enrich": _ip_enrich,
+    "top_ips_sketch": lambda s, d: la.top_ips(_log(s, d), n=TOP_IPS, sketch=True),
+    "hits_per_object_allowed": _hits_allowed,
+    "log_files_strict": _log_files("strict"),
+    "log_files_positional": _log_files("positional"),
 }
 
 
@@ -83,6 +130,33 @@ def _duplicates_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dup.duplicate_files_bytes(fx.object_files(spark, sf_dir), dup.md5_of_column(fx.object_texts(spark, sf_dir)))
 
 
+def _tree_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checksums = pieces.column_tree_checksums(fx.object_texts(spark, sf_dir), piece_bytes=PIECE_BYTES)
+    return checksums(fx.object_files(spark, sf_dir))
+
+
+def _listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-3: every document as a file, listed with its folders' markers."""
+    return list_prefixes(spark, fx.object_folder(spark, sf_dir)).drop("path")
+
+
+def _file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-8 / S-9: the files read back in one scan; a file without lines has 0."""
+    root = fx.object_folder(spark, sf_dir)
+    files = list_prefixes(spark, root).where("NOT is_directory")
+    return dup.object_line_counts(read_object_lines(spark, root), objects=files)
+
+
+def _file_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-9 over files: listed, told apart by size, ends, then all bytes by pieces.
+    (The paths are P-12's, `root/bucket/key`.)"""
+    root = fx.object_folder(spark, sf_dir)
+    files = list_prefixes(spark, root).where("NOT is_directory").select("bucket_name", "key", "size")
+    return duplicate_files_refined(
+        files, pieces.end_probe(f"{root}/", block_bytes=BLOCK_BYTES), pieces.tree_checksums(f"{root}/", piece_bytes=PIECE_BYTES)
+    ).drop("checksum")
+
+
 OBJECT_QUERIES: dict[str, Query] = {
     "object_inventory": _inventory_table,
     "inventory_for_buckets": lambda s, d: inv.inventory_for_buckets(fx.object_inventory(s, d), SOME_BUCKETS),
@@ -102,6 +176,10 @@ OBJECT_QUERIES: dict[str, Query] = {
     "duplicate_files": _line_query(dup.duplicate_files, "lines"),
     "checksum_groups": _line_query(dup.checksum_groups, "lines"),
     "duplicate_files_bytes": _duplicates_bytes,
+    "object_tree_checksums": _tree_checksums,
+    "object_listing": _listed_files,
+    "file_line_counts": _file_lines,
+    "file_duplicates_refined": _file_duplicates,
 }
 
 

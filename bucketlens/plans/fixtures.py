@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.reuse import once
+from ..session import scratch_path
+from ..sources.content import write_objects
 
 
 # Schemas of the driver tables read here (TESTDATA.md). Given
@@ -116,3 +118,73 @@ def object_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(bucket_name, key, line)`: text split on `\\n`, one row per line."""
     texts = object_texts(spark, sf_dir)
     return texts.select("bucket_name", "key", F.explode(F.split("content", "\n", -1)).alias("line"))
+
+
+# --- real files ------------------------------------------------------------------
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """A folder of files derived from the tables, written once per application."""
+    at = (spark.sparkContext.applicationId, sf_dir, name)
+    if at not in _WRITTEN:
+        path = scratch_path(spark, name)
+        write(path)
+        _WRITTEN[at] = path
+    return _WRITTEN[at]
+
+
+def log_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The access-log lines as gzip files in partition folders (`part=0` … `part=7`)."""
+    def write(path: str) -> None:
+        lines = raw_lines(spark, sf_dir).withColumn("part", F.crc32("value") % 8)
+        lines.write.partitionBy("part").option("compression", "gzip").text(path)
+
+    return _written(spark, sf_dir, "log-files", write)
+
+
+def object_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Every document's text as one file, `bucket/key` (`.tgz` for `.tar.gz`: a
+    text reader would decompress a name that ends in `.gz`)."""
+    def write(path: str) -> None:
+        plain = F.regexp_replace("key", r"[.]tar[.]gz$", ".tgz")
+        write_objects(object_texts(spark, sf_dir).withColumn("key", plain), path)
+
+    return _written(spark, sf_dir, "object-files", write)
+
+
+# --- addresses of both families ----------------------------------------------------
+def client_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`(event_id, ip_address)` per event: IPv4, IPv6, IPv4 written as IPv6, and none."""
+    uid, eid = F.col("user_id") % 65536, F.col("event_id")
+    v4 = F.concat_ws(".", F.lit("10"), (uid % 4).cast("string"), F.floor(uid / 256).cast("string"), (uid % 256).cast("string"))
+    v6 = F.concat(F.lit("2001:DB8:"), F.lower(F.hex(uid % 16)), F.lit("::"), F.lower(F.hex(uid)))
+    ip = F.when(eid % 23 == 0, F.lit(None)).when(eid % 3 == 0, v6).when(eid % 7 == 0, F.concat(F.lit("::ffff:"), v4)).otherwise(v4)
+    return table(spark, sf_dir, "events").select("event_id", ip.alias("ip_address"))
+
+
+def client_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`(ip_start, ip_end, name)`: one range a customer and one an order, nested
+    and overlapping, of both families."""
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("name"))
+    # the last 40 bits of a range's ends; a seventh of them are wide
+    offset = F.expr("k * 104729 % 262144")
+    width = F.expr("CASE WHEN k % 7 = 0 THEN 65536 ELSE k * 31 % 37 END")
+    last = lambda n: F.lpad(F.lower(F.hex(n)), 10, "0")
+
+    def family(df: DataFrame, head: Column) -> DataFrame:
+        return df.select(F.unhex(F.concat(head, last(offset))).alias("ip_start"), F.unhex(F.concat(head, last(offset + width))).alias("ip_end"), "name")
+
+    v6 = F.concat(F.lit("20010db8000"), F.lower(F.hex(F.expr("k % 16"))), F.lit("0" * 10))
+    # ::ffff:10.x.y.z: the 40 bits are ff0a000000 and the offset
+    v4 = lambda df: df.select(F.unhex(F.concat(F.lit("0" * 20 + "ffff"), F.substring(last(offset + 0x0A000000), 3, 8))).alias("ip_start"),
+                              F.unhex(F.concat(F.lit("0" * 20 + "ffff"), F.substring(last(offset + width + 0x0A000000), 3, 8))).alias("ip_end"), "name")
+    return v4(keys).unionByName(family(keys, v6)).unionByName(v4(orders)).unionByName(family(orders, v6))
+
+
+def allowed_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`(bucket_name)`: a long allow-list, five names a customer, few of which occur."""
+    kinds = F.explode(F.split(F.lit("view,error,click,signup,purchase"), ","))
+    rows = table(spark, sf_dir, "customer").where("c_custkey % 3 = 1").select("c_custkey", kinds.alias("kind"))
+    return rows.select(F.concat(F.lit("bkt-"), F.col("kind"), F.lit("-"), F.col("c_custkey").cast("string")).alias("bucket_name"))

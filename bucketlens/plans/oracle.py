@@ -9,7 +9,7 @@ one field.
 
 from __future__ import annotations
 
-from .params import LOG_BUCKETS, ONE_BUCKET, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS, TOP_IPS, TOP_OBJECTS
+from .params import LOG_BUCKETS, ONE_BUCKET, PIECE_BYTES, PREFIX, PREFIX_BUCKET, SOME_BUCKETS, TOP_BUCKETS, TOP_IPS, TOP_OBJECTS
 
 # The 18 fields of a line, as (name, pattern); the address may be
 # missing between its two spaces.
@@ -212,6 +212,35 @@ for _name in ("top_objects_per_bucket", "hits_per_object", "running_percentage")
     LOG_QUERIES[f"{_name}_selected"] = LOG_QUERIES[_name].replace(GOOD, _SELECTED)
 LOG_QUERIES["top_objects_per_bucket_all"] = LOG_QUERIES["top_objects_per_bucket"].replace(f"WHERE rank <= {TOP_OBJECTS}", "")
 LOG_QUERIES["geo_enrich_bucketed"] = LOG_QUERIES["geo_enrich"]
+LOG_QUERIES["top_buckets_table_function"] = LOG_QUERIES["top_buckets_by_size"]
+LOG_QUERIES["log_files_strict"] = LOG_QUERIES["parse_log_regex"]
+LOG_QUERIES["log_files_positional"] = LOG_QUERIES["parse_log_positional"]
+LOG_QUERIES["top_ips_sketch"] = _with(*_LOG, PER_IP) + f"SELECT ip_address, hits FROM per_ip ORDER BY hits DESC, ip_address LIMIT {TOP_IPS}"
+_ALLOWED = """good AS (SELECT * FROM log_strict WHERE NOT is_malformed AND bucket_name IN (
+  SELECT 'bkt-' || kind || '-' || CAST(c_custkey AS VARCHAR)
+  FROM customer, (VALUES ('view'), ('error'), ('click'), ('signup'), ('purchase')) k(kind) WHERE c_custkey % 3 = 1))"""
+LOG_QUERIES["hits_per_object_allowed"] = LOG_QUERIES["hits_per_object"].replace(GOOD, _ALLOWED)
+# addresses as 128-bit numbers: 2001:db8:k:: is 536939960 * 2^96 + k * 2^80, ::ffff:a.b.c.d is 65535 * 2^32 + …
+_V6 = "CAST(536939960 AS HUGEINT) * 79228162514264337593543950336 + CAST({0} % 16 AS HUGEINT) * 1208925819614629174706176"
+LOG_QUERIES["ip_enrich"] = f"""WITH a AS (
+  SELECT event_id,
+    CASE WHEN event_id % 23 = 0 THEN NULL
+         WHEN event_id % 3 = 0 THEN '2001:DB8:' || lower(to_hex(user_id % 16)) || '::' || lower(to_hex(user_id))
+         ELSE CASE WHEN event_id % 7 = 0 THEN '::ffff:' ELSE '' END
+           || '10.' || (user_id % 4) || '.' || (user_id // 256) || '.' || (user_id % 256) END AS ip_address,
+    CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 3 = 0 THEN {_V6.format("user_id")} + user_id
+         ELSE CAST(281470681743360 AS HUGEINT) + 167772160 + (user_id % 4) * 65536 + user_id END AS n
+  FROM (SELECT event_id, user_id % 65536 AS user_id FROM events)),
+r AS (
+  SELECT k, name, k * 104729 % 262144 AS off, CASE WHEN k % 7 = 0 THEN 65536 ELSE k * 31 % 37 END AS width
+  FROM (SELECT c_custkey AS k, c_name AS name FROM customer UNION ALL SELECT o_orderkey, 'order ' || o_orderkey FROM orders)),
+ranges AS (
+  SELECT name, CAST(281470681743360 AS HUGEINT) + 167772160 + off AS s, CAST(281470681743360 AS HUGEINT) + 167772160 + off + width AS e FROM r
+  UNION ALL SELECT name, {_V6.format("k")} + off, {_V6.format("k")} + off + width FROM r),
+best AS (
+  SELECT n, name FROM (SELECT DISTINCT n FROM a WHERE n IS NOT NULL) x JOIN ranges ON n BETWEEN s AND e
+  QUALIFY row_number() OVER (PARTITION BY n ORDER BY s DESC, e, name) = 1)
+SELECT event_id, ip_address, name FROM a LEFT JOIN best ON a.n = best.n"""
 
 
 
@@ -293,6 +322,16 @@ ORDER BY n_copies DESC, class_id, bucket_name, key""",
     + """SELECT checksum, class_id, n_copies, bucket_name, key FROM bclasses WHERE n_copies > 1
 ORDER BY n_copies DESC, class_id, bucket_name, key""",
 }
+OBJECT_QUERIES["object_tree_checksums"] = _with(FILES) + f"""SELECT bucket_name, key, size, md5(md5(md5(string_agg(leaf, '' ORDER BY i)))) AS checksum
+FROM (SELECT bucket_name, key, size, i, md5(unhex(substr(body, CAST({2 * PIECE_BYTES} * i + 1 AS BIGINT), {2 * PIECE_BYTES}))) AS leaf
+  FROM (SELECT *, hex(encode(text)) AS body, unnest(range(0, greatest(1, (size + {PIECE_BYTES - 1}) // {PIECE_BYTES}))) AS i FROM files))
+GROUP BY bucket_name, key, size"""
+_PLAIN = FILES.replace("'.tar.gz'", "'.tgz'")
+OBJECT_QUERIES["object_listing"] = _with(_PLAIN, INVENTORY) + """SELECT bucket_name, key, size, ends_with(key, '/') AS is_directory FROM inventory
+UNION ALL SELECT DISTINCT bucket_name, 'docs/', 0, true FROM files"""
+OBJECT_QUERIES["file_line_counts"] = _with(_PLAIN) + """SELECT bucket_name, key,
+  CASE WHEN text = '' THEN 0 ELSE len(string_split(text, chr(10))) - CASE WHEN ends_with(text, chr(10)) THEN 1 ELSE 0 END END AS n_lines FROM files"""
+OBJECT_QUERIES["file_duplicates_refined"] = _with(_PLAIN, BYTE_CLASSES) + "SELECT class_id, n_copies, bucket_name, key FROM bclasses WHERE n_copies > 1"
 OBJECT_QUERIES["content_fingerprint_fast"] = _with(FILES, LINES, LINE_CLASSES) + "SELECT bucket_name, key, class_id FROM classes"
 
 

@@ -14,3 +14,8 @@ PREFIX = "docs/en/"
 TOP_BUCKETS = 5
 TOP_OBJECTS = 3
 TOP_IPS = 5
+# piece and block sizes of the checksums by pieces (small, as documents are)
+PIECE_BYTES = 512
+BLOCK_BYTES = 64
+# names sent to the tasks before a list is filtered on the scan instead
+ALLOW_BROADCAST = 100

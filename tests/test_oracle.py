@@ -24,7 +24,7 @@ def con():
 
 def test_every_query_has_oracle():
     assert set(catalog.queries()) == set(oracle.oracle_sql())
-    assert len(catalog.queries()) == 37
+    assert len(catalog.queries()) == 47
     assert set(catalog.queries()) <= set(entry.queries())
 
 

@@ -3,6 +3,8 @@ folder, and the word rules."""
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -40,8 +42,26 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+_NOTES: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    notes = _NOTES.get()
+    if notes is not None:
+        notes.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def noted_scratch() -> Iterator[list[str]]:
+    """The scratch folders that are made inside the block."""
+    made: list[str] = []
+    token = _NOTES.set(made)
+    try:
+        yield made
+    finally:
+        _NOTES.reset(token)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -60,11 +80,10 @@ def stored_and_seen(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFra
     return out, seen.get
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a ``stored`` frame that nothing reads any more."""
-    spark = df.sparkSession
+def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders that nothing reads any more."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for folder in paths:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
 

@@ -81,6 +81,21 @@ def test_each_stage_against_brute_force(spark):
         assert (r.doc_id in left) == (not hit)
 
 
+def test_scratch_of_a_stage_goes_when_the_next_begins(spark):
+    from bucketlens.llm.common import stored
+
+    docs = stored(spark.read.parquet(f"{SF001}/documents.parquet").limit(60), "docs")
+    before = set(map(str, corpus_pipeline._MADE.values()))
+    out = stored(corpus_pipeline.lines(spark, docs, SF001), "out")
+    made = [p for k, v in corpus_pipeline._MADE.items() if k[2] == "lines" for p in v]
+    fs = spark._jvm.org.apache.hadoop.fs.Path(made[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = lambda p: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p))
+    assert len(made) > 3 and all(there(p) for p in made[-3:])
+    stored(corpus_pipeline.near_copies(spark, out, SF001), "next")
+    assert not any(there(p) for p in made) and out.count() == 60
+    assert set(map(str, corpus_pipeline._MADE.values())) != before
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF001).toPandas()
     assert 200 < out.doc_id.nunique() < 1000 and (out.n_tokens <= out.bucket_len).all()

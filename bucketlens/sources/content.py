@@ -110,13 +110,19 @@ def md5_of_files(paths: DataFrame, partitions: int | None = None, filesystem: di
     return dealt.mapInPandas(_md5_batches(options), schema)
 
 
+def _read_once(checksums: DataFrame) -> DataFrame:
+    """With an exchange after the hashing: classes use the checksums twice, and
+    Spark reuses an exchange, but not what a Python function returns."""
+    return checksums.repartition("bucket_name", "key")
+
+
 def file_checksums(objects: DataFrame, partitions: int | None = None, filesystem: dict | None = None):
     """A ``checksums`` function (see ``byte_classes``) for listed files:
     ``objects`` must carry ``path`` next to ``bucket_name, key``."""
 
     def checksums(candidates: DataFrame) -> DataFrame:
         with_path = candidates.join(objects.select("bucket_name", "key", "path"), ["bucket_name", "key"])
-        return md5_of_files(with_path, partitions, filesystem).drop("path")
+        return _read_once(md5_of_files(with_path, partitions, filesystem).drop("path"))
 
     return checksums
 
@@ -128,7 +134,7 @@ def inventory_checksums(root: str, partitions: int | None = None, filesystem: di
 
     def checksums(candidates: DataFrame) -> DataFrame:
         with_path = candidates.withColumn("path", object_uri(root, F.col("bucket_name"), F.col("key")))
-        return md5_of_files(with_path, partitions, filesystem).drop("path")
+        return _read_once(md5_of_files(with_path, partitions, filesystem).drop("path"))
 
     return checksums
 

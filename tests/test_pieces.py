@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from bucketlens.operators import duplicates as dup
 from bucketlens.operators.refinement import duplicate_files_refined, refined, refined_byte_classes
+from bucketlens.plans.explain import plan_text
 from bucketlens.sources import pieces as pc
+from bucketlens.sources.content import inventory_checksums
 
 LINES = "bucket_name string, key string, size long"
 
@@ -117,6 +119,17 @@ def test_bytes_read_stay_within_the_bound(spark, files):
     assert read["full"] == sum(len(b) for b in again) < sum(len(b) for b in tied)
 
 
+@pytest.mark.parametrize("checksums", [inventory_checksums, lambda root: pc.tree_checksums(root, piece_bytes=1000)])
+def test_files_are_hashed_once(files, checksums):
+    """The classes are an aggregate of the checksums joined back to them."""
+    root, _, objects = files
+    out = dup.duplicate_files_bytes(objects, checksums(root))
+    assert out.count() == 6
+    out.collect()
+    tree = plan_text(out).split("\n\n")[0].split("Initial Plan")[0]
+    assert tree.count("MapInPandas") == 1 and "ReusedExchange" in tree
+
+
 def test_refinement_edge_cases(spark):
     objects = spark.createDataFrame([("b", "x", None), ("b", "y", None), ("b", "e", 0)], LINES)
     never = lambda c: c.select("*", F.raise_error(F.lit("read")).cast("string").alias("probe"))

@@ -19,6 +19,8 @@ language's limit is not ``accepted``.
 Only text goes into a prediction. Null texts and texts without a letter are
 ``und`` with score 0. Training skips null texts and null languages; without any
 training row all predictions are ``und``. Repeated rows get equal results.
+Whole texts are read, however long. The result is the column ``_language``; a
+column of that name is replaced.
 """
 
 from __future__ import annotations

@@ -27,7 +27,9 @@ execution splits. Windows run over one document's lines only.
 
 Null texts stay null and have no lines; an empty text is one empty line. Blank
 lines count no words but belong to a run like any other. Repeated rows are
-copies of each other: the later ones lose their long runs.
+copies of each other: the later ones lose their long runs. Ties in doc_id are
+broken by the row's place. An empty table gives an empty one. A very long text is
+only a document of many lines, and a very long line is its hash.
 """
 
 from __future__ import annotations
@@ -154,8 +156,13 @@ def deleted_runs(runs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Every row of ``docs`` plus ``_lines`` (how many it had), ``_runs`` (the
-    deleted runs) and ``_text`` (what is left; null if nothing is)."""
-    rows = numbered(docs)
+    deleted runs) and ``_text`` (what is left; null if nothing is). All other
+    columns pass through in a struct, whatever they are called; only columns of
+    those three names are replaced."""
+    added = ["_lines", "_runs", "_text"]
+    others = [c for c in docs.columns if c not in ("doc_id", "text", *added)]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others], F.lit(True).alias("_always"))
+    rows = numbered(docs.select("doc_id", "text", rest.alias("_rest")))
     runs = deleted_runs(later_runs(repeated_lines(rows.select("doc_id", "_row", "text")), min_words))
     joined = rows.join(runs.withColumnRenamed("runs", "_runs"), "_row", "left").withColumn("_split", F.split("text", "\n", -1))
     total = F.size("_split")
@@ -166,7 +173,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     left = F.flatten(pieces)
     text = F.when(F.col("_runs").isNull(), F.col("text")).when(F.size(left) > 0, F.array_join(left, "\n"))
     out = joined.withColumns({"_lines": F.coalesce(total, F.lit(0)), "_text": text})
-    return out.drop("_row", "_split")
+    own = [F.col(c) if c in ("doc_id", "text") else F.col("_rest").getField(c).alias(c) for c in docs.columns if c not in added]
+    return out.select(*own, *added)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,9 @@ Tokens are words (A-Z in lower case) and one end token a text.
 
 Null and empty texts are the end token alone. A null doc_id is in no fold: it
 is neither learned from nor held out. Repeated rows count as often as they are
-there. Without a training row all counts are zero.
+there. Without a training row all counts are zero; without a row to score there is
+no result. A very long text makes a block of its own. Only doc_id and text are
+read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -49,8 +51,6 @@ DISCOUNT = 0.75
 BLOCK_BYTES = 16 << 20
 #: Keys that are combined at once (bounds the work arrays).
 PIECE = 1 << 18
-#: Not used any more: no n-grams are sent to every task.
-NAMED_ROWS = 4_000_000
 
 _U = np.uint64
 END = mix(np.array([0xE0D], np.uint64))[0]
@@ -88,10 +88,6 @@ def gram_starts(n: int, first: np.ndarray, order: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
-def _rows(k: int, keys: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"k": np.full(len(keys), k, np.int32), "key": keys.astype(np.int64), "n": n.astype(np.int64)})
-
-
 # -- blocks and parts --------------------------------------------------------
 
 # Messages between blocks and parts: ``size`` keys of order k (in rising order,

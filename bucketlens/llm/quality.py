@@ -13,7 +13,9 @@ vocabulary and measures
 Each has a rejection band per script (and per language where one is given).
 A text is kept if it has not failed the base rule and lies inside the bands.
 Null and empty texts have zero words: base_failed, not kept, null measures.
-Rows are judged one by one, so repeated rows get equal results.
+Rows are judged one by one, so repeated rows get equal results, and an empty
+table an empty one. Whole texts are measured, however long. The result is the
+column ``_quality``; a column of that name is replaced.
 """
 
 from __future__ import annotations

@@ -69,3 +69,11 @@ def test_odd_rows(spark, odd_docs):
     out = {(r.doc_id, r._lines): r for r in dedup_lines(odd_docs).collect()}
     assert out[1, 0]._text is None and out[2, 1]._text == ""
     assert dedup_lines(odd_docs.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_come_through(spark, odd_docs):
+    docs = odd_docs.selectExpr("*", "1 AS _rest", "2 AS m", "3 AS line", "4 AS `a.b`", "5 AS _split", "6 AS _text")
+    out = dedup_lines(docs)
+    assert out.columns == ["doc_id", "text", "_row", "rank", "_rest", "m", "line", "a.b", "_split", "_lines", "_runs", "_text"]
+    assert sorted((r._row or 0, r["rank"] or "") for r in out.collect()) == sorted((r._row or 0, r["rank"] or "") for r in odd_docs.collect())
+    assert {tuple(r)[4:9] for r in out.collect()} == {(1, 2, 3, 4, 5)}

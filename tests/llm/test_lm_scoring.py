@@ -3,7 +3,6 @@ import math
 import re
 
 import numpy as np
-import pandas as pd
 import pytest
 
 from llm_fixtures import SF001, shipped  # noqa: F401
@@ -68,14 +67,6 @@ def test_against_recursion(spark):
         assert r.score == pytest.approx(score(text), rel=1e-9), text
 
 
-def test_all_grams_counted_when_too_many_are_named(spark, monkeypatch):
-    train = spark.createDataFrame([(i, t) for i, t in enumerate(TRAIN)], "doc_id long, text string")
-    want = {r.doc_id: r.score for r in lm.score(train, train, share=0.02)[0].collect()}
-    monkeypatch.setattr(lm, "NAMED_ROWS", 0)
-    got = {r.doc_id: r.score for r in lm.score(train, train, share=0.02)[0].collect()}
-    assert got == pytest.approx(want)
-
-
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     out, n = lm.score(docs, docs.limit(0))
@@ -108,7 +99,6 @@ def test_grams_stay_inside_texts():
     assert np.diff(first).tolist() == [3, 1, 2]
     assert lm.gram_starts(len(t), first, 2).tolist() == [0, 1, 4]
     assert lm.gram_starts(len(t), first, 3).tolist() == [0]
-    assert isinstance(lm._rows(2, t, np.ones(len(t))), pd.DataFrame)
 
 
 def test_more_rows_of_other_words_take_no_arc_away(spark):

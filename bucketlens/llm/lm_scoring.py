@@ -2,13 +2,15 @@
 
 Tokens are words (A-Z in lower case) and one end token a text.
 
-1. Counting: texts are dealt into blocks of about ``block_bytes``. A block sends
-   the distinct keys of its words, pairs and triples, with their counts in its
-   training texts, to parts of the key range, as packed arrays. A part adds the
-   counts up and answers each block, in the order of its keys. Every pair and
+1. Blocks: texts are read once, into blocks of about ``block_bytes``, and stored
+   as packed tokens; no text is shuffled.
+2. Counting: a block sends the distinct keys of its words and pairs, with their
+   counts in its training texts, to parts of the key range, as packed arrays. A
+   part adds the counts up and answers each block, in the order of its keys. Then
+   the same for those triples whose two pairs are frequent enough. Every pair and
    triple that occurs at least ``least`` times (2) in the corpus is an arc,
    whatever the size of the corpus; nothing of the model is held in one place.
-2. The automaton: states are contexts (no word, one word, two words). An arc
+3. The automaton: states are contexts (no word, one word, two words). An arc
    carries the discounted probability of its word. A failure arc leads to the
    state of the shorter context and carries the back-off weight that makes the
    state's probabilities sum to one. The sums behind the weights are gathered
@@ -16,7 +18,7 @@ Tokens are words (A-Z in lower case) and one end token a text.
    its owner adds it to its context, and all blocks get the sums of their
    contexts. The empty context has the whole vocabulary: add-``alpha`` unigrams
    from the exact counts.
-3. Scoring: a block builds the part of the automaton that its texts can reach.
+4. Scoring: a block builds the part of the automaton that its texts can reach.
    All texts of a block walk it from left to right at the same time: a text
    carries its state, follows failure arcs until an arc fits, and adds up the
    weights.
@@ -36,10 +38,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, small_batches, stored, table
+from .common import crc_mod, free_shuffles, small_batches, stored, stored_and_seen, table
 from .tokens import combine, mix, words
 
 ALPHA = 0.1
@@ -48,7 +51,9 @@ ORDER = 3
 LEAST = 2
 SHARE = 0.0
 DISCOUNT = 0.75
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+#: Tokens of the corpus for each part of the key range.
+PART_TOKENS = 3 << 20
 #: Keys that are combined at once (bounds the work arrays).
 PIECE = 1 << 18
 
@@ -90,6 +95,49 @@ def gram_starts(n: int, first: np.ndarray, order: int) -> np.ndarray:
 
 # -- blocks and parts --------------------------------------------------------
 
+# A block's texts, in order: ids, flags, the ends of their tokens, the distinct
+# token keys (rising) and a code for each token.
+BLOCKS = "block long, size long, distinct long, ids array<string>, asked binary, learn binary, ends binary, keys binary, codes binary"
+
+
+def pack_blocks(block_bytes: int):
+    """Texts to rows of BLOCKS (a longer text is a block of its own)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for texts in small_batches(batch, "text", block_bytes):
+                parts = [tokens_of(part["text"]) for part in small_batches(texts, "text")]
+                tokens = np.concatenate([t for t, _ in parts])
+                ends = np.cumsum(np.concatenate([np.diff(f) for _, f in parts]))
+                keys, codes = np.unique(tokens, return_inverse=True)
+                flags = [texts[c].to_numpy().astype(bool).tobytes() for c in ("asked", "learn")]
+                packed = [_pack(ends.astype(np.int64)), _pack(np.diff(keys, prepend=np.zeros(1, np.uint64))), _pack(codes.astype(np.uint32))]
+                row = (block, len(tokens), len(keys), list(texts["doc_id"]), *flags, *packed)
+                yield pd.DataFrame([row], columns=[c.split()[0] for c in BLOCKS.split(", ")])
+                block += 1
+
+    return run
+
+
+@dataclass
+class Block:
+    number: int
+    ids: list
+    asked: np.ndarray
+    learn: np.ndarray
+    tokens: np.ndarray
+    first: np.ndarray
+
+
+def open_block(row) -> Block:
+    keys = np.cumsum(_unpack(row["keys"], row["distinct"], np.uint64), dtype=np.uint64)
+    ends = _unpack(row["ends"], len(row["ids"]), np.int64)
+    flags = [np.frombuffer(row[c], bool) for c in ("asked", "learn")]
+    tokens = keys[_unpack(row["codes"], row["size"], np.uint32)]
+    return Block(int(row["block"]), list(row["ids"]), *flags, tokens, np.concatenate(([0], ends)))
+
+
 # Messages between blocks and parts: ``size`` keys of order k (in rising order,
 # left out of answers) and two values for each.
 MESSAGE = "part int, block long, round int, k int, size int, keys binary, a binary, b binary"
@@ -191,19 +239,15 @@ class Grams:
     tail: dict[int, np.ndarray]
 
 
-def grams_of(rows: pd.DataFrame, links: bool = True) -> Grams:
-    """Of the texts of a block; ``links``: with the indices."""
+def grams_of(block: Block, links: bool = True, top: int = ORDER) -> Grams:
+    """Of the texts of a block, up to an order; ``links``: with the indices."""
     pa.default_memory_pool().release_unused()  # of the block before
-    parts = [tokens_of(part["text"]) for part in small_batches(rows, "text")]
-    tokens = np.concatenate([t for t, _ in parts])
-    n = np.concatenate([np.diff(f) for _, f in parts])
-    first = np.concatenate(([0], np.cumsum(n)))
-    del parts
-    learn = np.repeat(rows["learn"].to_numpy().astype(bool), n)
+    tokens, first = block.tokens, block.first
+    learn = np.repeat(block.learn, np.diff(first))
     out = Grams(tokens, first, {}, {}, np.zeros(0, np.int32), {}, {}, {})
     below = out.word  # index of the n-gram of the order below that starts at each token
     starting = tokens.copy()  # key of the n-gram that starts at each token
-    for k in range(1, ORDER + 1):
+    for k in range(1, top + 1):
         for i in range(0, len(tokens) - k + 1 if k > 1 else 0, PIECE):
             j = min(i + PIECE, len(tokens) - k + 1)
             starting[i:j] = combine(starting[i:j], tokens[i + k - 1 : j + k - 1])
@@ -356,25 +400,64 @@ def score(
 def _score(texts: DataFrame, alpha: float, share: float, discount: float, block_bytes: int) -> tuple[DataFrame, int]:
     """``texts``: (doc_id as text, text, asked, learn); the flags say whether a
     row is scored and whether it is learned from."""
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block")
-    dealt = texts.select("doc_id", "text", "asked", "learn", block).groupBy("block")
+    spark = texts.sparkSession
+    blocks = texts.select("doc_id", "text", "asked", "learn").mapInPandas(pack_blocks(block_bytes), BLOCKS)
+    blocks, seen = stored_and_seen(blocks, "blocks", F.sum("size").alias("size"))
+    n_parts = max(1, -(-(seen["size"] or 0) // PART_TOKENS))
+    each = blocks.groupBy("block")
+
+    def added(messages: DataFrame, add: Callable, name: str) -> DataFrame:
+        out = stored(messages.groupBy("part").applyInPandas(add, MESSAGE), name)
+        free_shuffles(spark)
+        return out
 
-    def send_counts(rows: pd.DataFrame) -> pd.DataFrame:
-        own, block = grams_of(rows, links=False), int(rows["block"].iloc[0])
-        return _frame([m for k, keys in own.keys.items() for m in _messages(block, 1, k, n_blocks, keys, own.learned[k], np.zeros(len(keys), np.uint8))])
+    def send_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, row in batch.iterrows():
+                block = open_block(row)
+                own = grams_of(block, links=False, top=2)
+                yield _frame([m for k, keys in own.keys.items() for m in _messages(block.number, 1, k, n_parts, keys, own.learned[k], np.zeros(len(keys), np.uint8))])
 
-    counts = stored(dealt.applyInPandas(send_counts, MESSAGE).groupBy("part").applyInPandas(add_counts, MESSAGE), "word-counts")
+    counts = added(blocks.mapInPandas(send_counts, MESSAGE), add_counts, "word-counts")
     totals = counts.where("block = -1").agg(*(F.coalesce(F.sum(F.col(c).cast("string").cast("long")), F.lit(0)) for c in "ab"))
     n_train, n_words = totals.first()
     least = max(float(LEAST), share * n_train)
     base: Callable = lambda n: (n + alpha) / (n_train + alpha * (n_words + 1))
 
+    def likely(own: Grams, c2: np.ndarray) -> np.ndarray:
+        """The triples that can be arcs: both of their pairs are."""
+        return (c2[own.head[3]] >= least) & (c2[own.tail[3]] >= least)
+
+    def send_triples(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return _frame([])
+        block = open_block(rows.iloc[0])
+        own = grams_of(block)
+        chosen = likely(own, _answers(replies, 1, 2, COUNTS)[0])
+        keys = own.keys[3][chosen]
+        return _frame(_messages(block.number, 1, 3, n_parts, keys, own.learned[3][chosen], np.zeros(len(keys), np.uint8)))
+
+    replies = counts.where("block >= 0")
+    triples = added(each.cogroup(replies.groupBy("block")).applyInPandas(send_triples, MESSAGE), add_counts, "triple-counts")
+    replies = replies.union(triples.where("block >= 0"))
+
+    def counts_of(own: Grams, replies: pd.DataFrame):
+        """Counts of all n-grams of a block, and which of them it owns."""
+        found = {k: _answers(replies, 1, k, COUNTS) for k in (1, 2)}
+        chosen = likely(own, found[2][0])
+        three = np.zeros(len(chosen), np.int64), np.zeros(len(chosen), np.uint8)
+        three[0][chosen], three[1][chosen] = _answers(replies, 1, 3, COUNTS)
+        found[3] = three
+        return found
+
     def send_sums(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        own, block = grams_of(rows), int(rows["block"].iloc[0])
-        own.tokens = own.word = np.zeros(0, np.uint64)  # not needed here
-        (c1, _), (c2, own2), (c3, own3) = (_answers(replies, 1, k, COUNTS) for k in (1, 2, 3))
+        if not len(rows):
+            return _frame([])
+        block = open_block(rows.iloc[0])
+        own = grams_of(block)
+        own.tokens = own.word = block.tokens = np.zeros(0, np.uint64)  # not needed here
+        found = counts_of(own, replies)
+        (c1, _), (c2, own2), (c3, own3) = (found[k] for k in (1, 2, 3))
         out = []
         # every arc's pair without the first word is an arc too: it has no smaller count
         for k, n, mine, below in ((2, c2, own2, base(c1)), (3, c3, own3, None)):
@@ -389,15 +472,17 @@ def _score(texts: DataFrame, alpha: float, share: float, discount: float, block_
             mass = np.bincount(head, np.maximum(n[arcs] - discount, 0.0), len(above))
             low = np.bincount(head, low, len(above))
             heads = above >= least
-            out += _messages(block, 2, k - 1, n_blocks, own.keys[k - 1][heads], mass[heads], low[heads])
+            out += _messages(block.number, 2, k - 1, n_parts, own.keys[k - 1][heads], mass[heads], low[heads])
         return _frame(out)
 
-    replies = counts.where("block >= 0")
-    sums = stored(dealt.cogroup(replies.groupBy("block")).applyInPandas(send_sums, MESSAGE).groupBy("part").applyInPandas(add_sums, MESSAGE), "context-sums")
+    sums = added(each.cogroup(replies.groupBy("block")).applyInPandas(send_sums, MESSAGE), add_sums, "context-sums")
 
     def answer(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        own = grams_of(rows)
-        count = {k: _answers(replies, 1, k, COUNTS)[0] for k in (1, 2, 3)}
+        if not len(rows):
+            return pd.DataFrame(columns=[c.split()[0] for c in RESULT.split(", ")])
+        block = open_block(rows.iloc[0])
+        own = grams_of(block)
+        count = {k: n for k, (n, _) in counts_of(own, replies).items()}
         mass, lower = {}, {}
         for k in (1, 2):
             heads = count[k] >= least
@@ -408,16 +493,16 @@ def _score(texts: DataFrame, alpha: float, share: float, discount: float, block_
         unigram = np.log10(base(known))
         out = pd.DataFrame(
             {
-                "doc_id": rows["doc_id"].to_numpy(),
+                "doc_id": block.ids,
                 "n_tokens": np.diff(own.first),
                 "n_known": np.add.reduceat((known > 0).astype(np.int64), own.first[:-1]),
                 "base_score": np.add.reduceat(unigram, own.first[:-1]),
                 "score": automaton.walk(own.tokens, own.first, unigram),
             }
         )
-        return out[rows["asked"].to_numpy().astype(bool)]
+        return out[block.asked]
 
-    scored = dealt.cogroup(replies.union(sums).groupBy("block")).applyInPandas(answer, RESULT)
+    scored = each.cogroup(replies.union(sums).groupBy("block")).applyInPandas(answer, RESULT)
     return scored.withColumn("doc_id", F.col("doc_id").cast("bigint")), int(n_train)
 
 

@@ -88,12 +88,6 @@ def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished jobs: Spark deletes them when the
-    driver's garbage collector finds that no plan holds them any more."""
-    spark._jvm.System.gc()
-
-
 def crc_mod(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo (the fold rule of the contracts)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus

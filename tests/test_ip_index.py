@@ -80,7 +80,13 @@ def test_lookup_against_plain_python(spark, nested, limit):
     df = spark.createDataFrame([(i, a) for i, a in enumerate([*addresses, None, "-", "x"])], "i long, ip_address string")
     got = {r.i: r.name for r in ix.enrich_ips(df, index).collect()}
     assert got == {i: winner(number(a or ""), ranges) for i, a in enumerate([*addresses, None, "-", "x"])}
-    tree = plan_text(ix.lookup_ips(df, index))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")  # what Spark would broadcast by itself
+    try:
+        tree = plan_text(ix.lookup_ips(df, index))
+    finally:
+        spark.conf.set(name, before)
     assert ("BroadcastHashJoin" in tree) == index.small and "NestedLoop" not in tree and "Window" not in tree
 
 

@@ -10,14 +10,23 @@ similarity of their sets is at least ``threshold``.
    1 / (threshold * TOKENS), decided by a hash of (run, path, token), so
    similar sets pick the same ones; every picked token is a branch. Branches
    that a set walks alone end. A bucket of at most ``limit`` sets, or at the
-   greatest depth, is a leaf; a larger one is split again.
+   greatest depth, is a leaf; a larger one is split again, after its pivots.
+   ``PIVOTS`` of its sets are compared with all others, in linear work. A set
+   that agrees with a pivot in ``CLOSE`` tokens goes no further: what agrees
+   with the set in c tokens agrees with the pivot in c - (TOKENS - CLOSE) or
+   more, and all sets that do are connected to the pivot, so nothing that the
+   set could have met is lost. A large group of near copies ends there instead
+   of walking on as a whole.
 3. Leaves are compared by brute force on the tokens. A larger leaf (near copies
    that no token separates) is cut into blocks, and every pair of blocks is a
    group of its own, so no task holds a whole leaf and no pair of documents
    becomes a row: a group returns the edges of a spanning forest. From the
    second batch of runs on, leaves whose sets are already connected are left.
-4. Batches of runs repeat until the next one is expected to bring less than
-   1 - ``recall`` of the connections (by what the last one brought).
+4. Batches of runs repeat, without a greatest number, until one brings new
+   connections for at most 1 - ``recall`` of the classes found so far. A large
+   group counts as one class, so it cannot hide what small ones lack. Only
+   pairs that agree in enough tokens count; every batch but the last joins
+   classes, so they end.
 5. The connected candidates are compared exactly, on whole shingle sets, again
    by blocks; this gives the links of every set and the final classes
    (connected components of the links).
@@ -35,6 +44,7 @@ doc_id is passed over, unless the class has no other).
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -52,11 +62,14 @@ THRESHOLD = 0.8
 TOKENS = 64
 LIMIT = 200
 DEPTH = 3
-BATCHES = (4, 12, 12, 12)
+#: Runs in each batch; the last number repeats.
+BATCHES = (4, 12)
 RECALL = 0.995
 #: A pair is a candidate if its tokens agree this much less than the threshold
 #: (three standard errors of the estimate from 64 tokens).
 SLACK = 0.15
+PIVOTS = 16
+CLOSE = 52
 
 _U = np.uint64
 _MULTIPLIERS = (mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | _U(1)).astype(np.uint32)
@@ -171,45 +184,113 @@ def first_paths(sets: DataFrame, runs: range, threshold: float) -> DataFrame:
     return sets.select("set_id", "tokens").mapInPandas(run, "path long, set_id long")
 
 
-def next_paths(rows: DataFrame, threshold: float) -> DataFrame:
-    """`(path, set_id)` one step on from `(path, set_id, tokens)`."""
+def _least_tokens(threshold: float) -> int:
+    """The number of equal tokens that makes a pair a candidate."""
+    return int(math.ceil((threshold - SLACK) * TOKENS))
+
+
+_STEP, _EDGE, _LOOSE, _ACTIVE = range(4)
+
+
+def _past_pivots(threshold: float):
+    """For the sets of one part of a bucket and the bucket's pivots, rows
+    `(kind, path, a, b)`: a step of set a (of class b) on a new path; an edge; an edge to
+    pivot b that counts only if some set ends at that pivot; a pivot b at which
+    a set ends. Edges that classes or other edges imply are left out."""
+    least = _least_tokens(threshold)
+    loose = least - (TOKENS - CLOSE)
+
+    def rows_of(rows: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        tokens, ids, names = _token_matrix(rows["tokens"]), rows["set_id"].to_numpy(), rows["class"].to_numpy()
+        path, part = rows["path"].to_numpy(), int(rows["part"].iloc[0])
+        is_pivot = rows["is_pivot"].to_numpy(bool)
+        pivots, own = np.flatnonzero(is_pivot), np.flatnonzero(~is_pivot)
+        agree = np.stack([(tokens == tokens[p]).sum(axis=1) for p in pivots], axis=1)
+        known = names[:, None] == names[pivots][None, :]
+        between = _forest((agree[pivots] >= least) | known[pivots])
+        if part == 0 and between:
+            a, b = pivots[np.array(between)].T
+            new = names[a] != names[b]
+            yield _EDGE, path[a[new]], ids[a[new]], ids[b[new]]
+        group = np.arange(len(pivots))
+        for member, first in between:
+            group[member] = first
+        agree, known = agree[own], known[own]
+        ends, sure, open_ = agree >= CLOSE, agree >= least, (agree >= loose) & (agree < least)
+        for g in np.unique(group):
+            of = np.flatnonzero(group == g)
+            same = known[:, of].any(axis=1)
+            linked = sure[:, of].any(axis=1)
+            new = np.flatnonzero(linked & ~same)
+            yield _EDGE, path[own[new]], ids[own[new]], ids[pivots[of[sure[np.ix_(new, of)].argmax(axis=1)]]]
+            row, column = np.nonzero(open_[:, of] & ~(linked | same)[:, None])
+            yield _LOOSE, path[own[row]], ids[own[row]], ids[pivots[of[column]]]
+        others = ends & (ids[own][:, None] != ids[pivots][None, :])
+        active = pivots[others.any(axis=0)]
+        yield _ACTIVE, path[active], ids[active], ids[active]
+        left = own[~ends.any(axis=1)]
+        row, new_path = _branches(tokens[left], path[left].astype(np.uint64), threshold)
+        yield _STEP, new_path.astype(np.int64), ids[left[row]], names[left[row]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            row, path = _branches(_token_matrix(batch["tokens"]), batch["path"].to_numpy().astype(np.uint64), threshold)
-            yield pd.DataFrame({"path": path.astype(np.int64), "set_id": batch["set_id"].to_numpy()[row]})
+        for rows in _groups(batches, ["path", "part"]):
+            for kind, path, a, b in rows_of(rows):
+                if len(a):
+                    yield pd.DataFrame({"kind": np.int32(kind), "path": path, "a": a, "b": b})
 
-    return rows.select("path", "set_id", "tokens").mapInPandas(run, "path long, set_id long")
+    return run
 
 
-def leaves(sets: DataFrame, runs: range, threshold: float, limit: int, depth: int, classes: DataFrame | None) -> DataFrame:
+def next_paths(large: DataFrame, threshold: float, limit: int) -> tuple[DataFrame, DataFrame]:
+    """From the members `(path, set_id, n, class, tokens)` of large buckets:
+    `(path, set_id, class)` one step on, of the sets that end at no pivot, and
+    the edges `(a, b, sure)` with pivots (sure: the two are a candidate pair). A bucket is dealt out in parts of about
+    ``limit`` sets, and its pivots go to each."""
+    parts = F.ceil(F.col("n") / limit).cast("int")
+    order = F.xxhash64("set_id", "path")
+    own = F.struct("set_id", "class", "tokens", "n")
+    picked = large.groupBy("path", F.pmod(order, F.lit(PIVOTS)).alias("slot")).agg(F.min_by(own, order).alias("p"))
+    picked = picked.select("path", F.col("p.set_id"), F.col("p.class"), F.col("p.tokens"), F.col("p.n"))
+    columns = ["path", "part", "set_id", "class", "tokens", "is_pivot"]
+    members = large.withColumns({"part": F.pmod(F.xxhash64("set_id", F.lit("part")), parts).cast("int"), "is_pivot": F.lit(False)})
+    sent = picked.withColumns({"part": F.explode(F.sequence(F.lit(0), parts - 1)), "is_pivot": F.lit(True)})
+    rows = members.select(columns).unionByName(sent.select(columns)).repartition("path", "part").sortWithinPartitions("path", "part")
+    split = stored(rows.mapInPandas(_past_pivots(threshold), "kind int, path long, a long, b long"), "split")
+    loose = split.where(F.col("kind") == _LOOSE).join(split.where(F.col("kind") == _ACTIVE).select("path", "b"), ["path", "b"], "left_semi")
+    edges = split.where(F.col("kind") == _EDGE).select("a", "b", F.lit(True).alias("sure")).unionByName(loose.select("a", "b", F.lit(False).alias("sure")))
+    return split.where(F.col("kind") == _STEP).select("path", F.col("a").alias("set_id"), F.col("b").alias("class")), edges
+
+
+def leaves(sets: DataFrame, runs: range, threshold: float, limit: int, depth: int, classes: DataFrame | None) -> tuple[DataFrame, list[DataFrame]]:
     """`(path, set_id, n, class)`: the members of all leaf buckets of the runs,
-    stored; class is the set's class so far (itself without one)."""
+    stored; class is the set's class so far (itself without one). And the edges
+    that the splitting of large buckets has found."""
     rows = first_paths(sets, runs, threshold)
-    done = []
+    if classes is not None:
+        rows = rows.join(classes, "set_id", "left").withColumn("class", F.coalesce("component", "set_id")).drop("component")
+    else:
+        rows = rows.withColumn("class", F.col("set_id"))
+    rows = stored(rows, "paths")
+    done, edges = [], []
     for level in range(1, depth + 1):
-        if classes is not None:
-            rows = rows.join(classes, "set_id", "left").withColumn("class", F.coalesce("component", "set_id")).drop("component")
-        else:
-            rows = rows.withColumn("class", F.col("set_id"))
-        rows = stored(rows, "paths")
         sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("class").alias("c1"), F.max("class").alias("c2"))
-        # a bucket of one set, or of sets that are connected already, is done
-        sizes = sizes.where("n > 1 and c1 != c2").select("path", "n")
-        placed = rows.join(sizes.hint("merge"), "path")
+        # a bucket of one set, or of sets that are connected already, is done;
+        # stored, so that both sides of the join are shuffles and a hot path is split
+        sizes = stored(sizes.where("n > 1 and c1 != c2").select("path", "n"), "bucket-sizes")
+        placed = stored(rows.join(sizes.hint("merge"), "path"), "buckets")
         if level == depth:
             done.append(placed)
             break
-        placed = stored(placed, "buckets")
         done.append(placed.where(F.col("n") <= limit))
-        large = placed.where(F.col("n") > limit).select("path", "set_id")
+        large = placed.where(F.col("n") > limit)
         if large.isEmpty():
             break
-        rows = next_paths(large.join(sets.select("set_id", "tokens").hint("merge"), "set_id"), threshold)
+        rows, more = next_paths(large.join(sets.select("set_id", "tokens").hint("merge"), "set_id"), threshold, limit)
+        edges.append(more)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return stored(out.select("path", "set_id", "n", "class"), "leaves")
+    return out.select("path", "set_id", "n", "class"), edges
 
 
 # -- brute force by blocks ---------------------------------------------------
@@ -285,7 +366,7 @@ def _joining(linked: np.ndarray, block: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _token_links(threshold: float):
-    least = int(math.ceil((threshold - SLACK) * TOKENS))
+    least = _least_tokens(threshold)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _groups(batches, ["path", "b1", "b2"]):
@@ -313,17 +394,22 @@ def candidate_edges(found: DataFrame, sets: DataFrame, threshold: float, limit:
 def candidate_classes(sets: DataFrame, threshold: float, limit: int, depth: int, batches, recall: float) -> DataFrame | None:
     """`(set_id, component)`: sets that chosen paths connect, from repeated
     batches of runs; None if no two sets are connected."""
-    classes, first, total = None, 0, 0
-    for n_runs in batches:
+    classes, first, n_classes = None, 0, 0
+    for n_runs in itertools.chain(batches, itertools.repeat(batches[-1])):
         runs = range(first, first + n_runs)
-        new = candidate_edges(leaves(sets, runs, threshold, limit, depth, classes), sets, threshold, limit)
+        found, edges = leaves(sets, runs, threshold, limit, depth, classes)
+        new = candidate_edges(found, sets, threshold, limit)
+        new = new.withColumn("sure", F.lit(True))
+        for more in edges:
+            new = new.unionByName(more)
         if classes is not None:
             # what is new connects classes: an edge inside one says nothing
             for end in ("a", "b"):
                 named = classes.withColumnsRenamed({"set_id": end, "component": f"_{end}"})
                 new = new.join(named, end, "left")
-            new = new.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a != b")
-        new, seen = stored_and_seen(new.distinct(), "candidate-edges", F.count("*").alias("n"))
+            new = new.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"), "sure").where("a != b")
+        new = new.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.max("sure").alias("sure"))
+        new, seen = stored_and_seen(new, "candidate-edges", F.count("*").alias("n"), F.count_if("sure").alias("sure"))
         if seen["n"]:
             joined = connected_components(new).withColumnRenamed("node", "set_id")
             if classes is not None:
@@ -331,10 +417,11 @@ def candidate_classes(sets: DataFrame, threshold: float, limit: int, depth: int,
                 moved = joined.select(F.col("set_id").alias("component"), F.col("component").alias("_to"))
                 moved = classes.join(moved, "component", "left").select("set_id", F.coalesce("_to", "component").alias("component"))
                 joined = moved.unionByName(joined.join(classes, "set_id", "left_anti"))
-            classes = stored(joined, "classes")
-        total += seen["n"]
-        # runs are independent: the next ones find at most this share again
-        if first and seen["n"] <= (1 - recall) * max(1, total):
+            # a class is named by one of its sets
+            classes, now = stored_and_seen(joined, "classes", F.count_if(F.col("set_id") == F.col("component")).alias("n"))
+            n_classes = now["n"]
+        # runs are independent: the next ones bring no more than this again
+        if first and seen["sure"] <= (1 - recall) * n_classes:
             break
         first += n_runs
     return classes

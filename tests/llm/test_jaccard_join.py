@@ -106,17 +106,3 @@ def test_block_arithmetic():
         root[a] = b
     for i, j in zip(*np.nonzero(linked)):
         assert root[i] == root[j]
-
-
-def test_pivots_lose_no_pair(spark):
-    """What a set that ends at a pivot could have met is connected to it: pairs
-    at the threshold beside a large group of near copies are all found."""
-    rng = random.Random(9)
-    base = [f"w{i}" for i in range(150)]
-    rows = [(i, edited(rng, base, rng.randint(0, 6))) for i in range(150)]
-    for g in range(40):
-        words = [f"p{g}x{i}" for i in range(110)]
-        rows.append((len(rows), " ".join(words)))
-        rows.append((len(rows), edited(rng, words, 2)))
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    assert result(df, limit=20, depth=2) == brute(rows)

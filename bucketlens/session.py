@@ -58,10 +58,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Remove a query's shuffle files as soon as it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_parquet(df: DataFrame, path: str) -> None:
+    """``df`` as Parquet; the shuffle files behind it go with the write."""
+    spark = df.sparkSession
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the scratch folder, and read from there."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    write_parquet(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

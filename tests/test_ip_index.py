@@ -104,3 +104,15 @@ def test_hot_address_and_hot_prefix(spark):
     df = spark.range(30000).selectExpr("CASE WHEN id % 3 = 0 THEN '10.0.0.7' ELSE concat('10.1.', id % 200, '.', id % 250) END AS ip_address", "id")
     got = ix.enrich_ips(df, index).groupBy("name").count().collect()
     assert {r.name: r["count"] for r in got} == {"seven": 10000, "ten": 20000}
+
+
+def test_overlapping_ranges_do_not_repeat_blocks(spark):
+    """Ranges that share blocks: a block is kept once, for the winner."""
+    rows = [("10.0.0.0", "10.0.255.255", f"wide {i}") for i in range(300)]
+    rows += [(f"10.0.{i % 9}.0", f"10.0.{i % 9}.{i % 50}", f"r{i:04d}") for i in range(2000)]
+    index = ix.prepare_ip_index(spark.createDataFrame(rows, RANGES).repartition(4), ["name"])
+    every = index.blocks.count()
+    assert every <= 4 * index.blocks.select("_len", "_hi", "_lo").distinct().count() < 2000
+    df = spark.createDataFrame([("10.0.3.0",), ("10.0.3.40",), ("10.0.200.1",), ("10.1.0.0",)], "ip_address string")
+    whole = [(number(a), number(b), n) for a, b, n in rows]
+    assert {r.ip_address: r.name for r in ix.enrich_ips(df, index).collect()} == {r.ip_address: winner(number(r.ip_address), whole) for r in df.collect()}

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import write_parquet
+
 # A word is a run of characters other than these six.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -68,7 +70,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read from there:
     cuts the lineage, and survives the loss of any executor."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    write_parquet(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,8 +4,8 @@ Tokens are words (A-Z in lower case) and one end token a text.
 
 1. Counting: texts are dealt into blocks of about ``block_bytes``. A block sends
    the distinct keys of its words, pairs and triples, with their counts in its
-   training texts, to parts of the key range, as packed arrays. A part adds the
-   counts up and answers each block, in the order of its keys. Every pair and
+   training texts, to parts of the key range, as packed arrays (those of triples
+   in a pass of their own, which halves the disk in use). A part adds the counts up and answers each block, in the order of its keys. Every pair and
    triple that occurs at least ``least`` times (2) in the corpus is an arc,
    whatever the size of the corpus; nothing of the model is held in one place.
 2. The automaton: states are contexts (no word, one word, two words). An arc
@@ -30,7 +30,7 @@ read, so other columns cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,7 +48,7 @@ ORDER = 3
 LEAST = 2
 SHARE = 0.0
 DISCOUNT = 0.75
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Keys that are combined at once (bounds the work arrays).
 PIECE = 1 << 18
 
@@ -191,8 +191,10 @@ class Grams:
     tail: dict[int, np.ndarray]
 
 
-def grams_of(rows: pd.DataFrame, links: bool = True) -> Grams:
-    """Of the texts of a block; ``links``: with the indices."""
+def grams_of(rows: pd.DataFrame, orders: Sequence[int] | None = None) -> Grams:
+    """Of the texts of a block; with ``orders``, only the keys and counts of
+    n-grams of these orders, without the indices."""
+    links = orders is None
     pa.default_memory_pool().release_unused()  # of the block before
     parts = [tokens_of(part["text"]) for part in small_batches(rows, "text")]
     tokens = np.concatenate([t for t, _ in parts])
@@ -207,6 +209,8 @@ def grams_of(rows: pd.DataFrame, links: bool = True) -> Grams:
         for i in range(0, len(tokens) - k + 1 if k > 1 else 0, PIECE):
             j = min(i + PIECE, len(tokens) - k + 1)
             starting[i:j] = combine(starting[i:j], tokens[i + k - 1 : j + k - 1])
+        if not links and k not in orders:
+            continue
         at = gram_starts(len(tokens), first, k).astype(np.int32)
         keys = starting[at]
         order = np.argsort(keys).astype(np.int32)
@@ -361,11 +365,15 @@ def _score(texts: DataFrame, alpha: float, share: float, discount: float, block_
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block")
     dealt = texts.select("doc_id", "text", "asked", "learn", block).groupBy("block")
 
-    def send_counts(rows: pd.DataFrame) -> pd.DataFrame:
-        own, block = grams_of(rows, links=False), int(rows["block"].iloc[0])
-        return _frame([m for k, keys in own.keys.items() for m in _messages(block, 1, k, n_blocks, keys, own.learned[k], np.zeros(len(keys), np.uint8))])
+    def counts_of(orders: Sequence[int]) -> DataFrame:
+        def send_counts(rows: pd.DataFrame) -> pd.DataFrame:
+            own, block = grams_of(rows, orders), int(rows["block"].iloc[0])
+            return _frame([m for k, keys in own.keys.items() for m in _messages(block, 1, k, n_blocks, keys, own.learned[k], np.zeros(len(keys), np.uint8))])
+
+        return stored(dealt.applyInPandas(send_counts, MESSAGE).groupBy("part").applyInPandas(add_counts, MESSAGE), "word-counts")
 
-    counts = stored(dealt.applyInPandas(send_counts, MESSAGE).groupBy("part").applyInPandas(add_counts, MESSAGE), "word-counts")
+    # one after the other: the messages of all orders do not lie on disk at once
+    counts = counts_of((1, 2)).union(counts_of((3,)))
     totals = counts.where("block = -1").agg(*(F.coalesce(F.sum(F.col(c).cast("string").cast("long")), F.lit(0)) for c in "ab"))
     n_train, n_words = totals.first()
     least = max(float(LEAST), share * n_train)

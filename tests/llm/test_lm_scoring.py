@@ -3,6 +3,7 @@ import math
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from llm_fixtures import SF001, shipped  # noqa: F401
@@ -114,3 +115,14 @@ def test_more_rows_of_other_words_take_no_arc_away(spark):
     assert n == total and 3e-6 * n > 3
     by_id = {r.doc_id: r.score for r in got.collect()}
     assert by_id == {i: pytest.approx(score(t), rel=1e-9) for i, t in enumerate(asked)}
+
+
+def test_orders_are_counted_apart():
+    """Triples in a pass of their own: the same keys and counts as all at once."""
+    rows = pd.DataFrame({"text": ["a b c a b c a", "", "b c a b", None, "a"], "learn": [True, True, False, True, True]})
+    whole = lm.grams_of(rows)
+    for orders in ((1, 2), (3,)):
+        own = lm.grams_of(rows, orders)
+        assert set(own.keys) == set(own.learned) == set(orders)
+        for k in orders:
+            assert (own.keys[k] == whole.keys[k]).all() and (own.learned[k] == whole.learned[k]).all()

@@ -13,13 +13,15 @@ Tokens are words (A-Z in lower case) and one end token a text.
    state of the shorter context and carries the back-off weight that makes the
    state's probabilities sum to one. The sums behind the weights are gathered
    by context in the same way: of the blocks that hold an n-gram, the one named
-   its owner adds it to its context, and all blocks get the sums of their
-   contexts. The empty context has the whole vocabulary: add-``alpha`` unigrams
-   from the exact counts.
+   its owner adds it to its context, and every block gets the sums of the
+   contexts whose failure arcs its texts can take (a word without an arc follows).
+   The empty context has the whole vocabulary: add-``alpha`` unigrams from the
+   exact counts.
 3. Scoring: a block builds the part of the automaton that its texts can reach.
    All texts of a block walk it from left to right at the same time: a text
    carries its state, follows failure arcs until an arc fits, and adds up the
-   weights.
+   weights. The arc of a state and the next token is the n-gram that ends there,
+   so it is looked up by that n-gram's number in the block.
 
 Null and empty texts are the end token alone. A null doc_id is in no fold: it
 is neither learned from nor held out. Repeated rows count as often as they are
@@ -91,7 +93,8 @@ def gram_starts(n: int, first: np.ndarray, order: int) -> np.ndarray:
 # -- blocks and parts --------------------------------------------------------
 
 # Messages between blocks and parts: ``size`` keys of order k (in rising order,
-# left out of answers) and two values for each.
+# left out of answers) and two values for each. Rounds: counts, sums, sums
+# without an answer.
 MESSAGE = "part int, block long, round int, k int, size int, keys binary, a binary, b binary"
 
 
@@ -124,16 +127,18 @@ def _frame(messages: list[tuple]) -> pd.DataFrame:
 
 
 def _answers(rows: pd.DataFrame, round_: int, k: int, kinds) -> tuple[np.ndarray, np.ndarray]:
-    """Both values of all keys of a block, from the answers of the parts."""
+    """Both values (unless left out) of all keys of a block, from the answers of
+    the parts."""
     own = rows[(rows["round"] == round_) & (rows["k"] == k)].sort_values("part")
     out = []
     for column, kind in zip("ab", kinds):
-        out.append(np.concatenate([np.zeros(0, kind), *(_unpack(d, n, kind) for d, n in zip(own[column], own["size"]))]))
+        out.append(np.concatenate([np.zeros(0, kind), *(_unpack(d, n, kind) for d, n in zip(own[column], own["size"]) if d is not None)]))
     return out[0], out[1]
 
 
 COUNTS = (np.int64, np.uint8)  # count in the corpus; whether this block is the owner
 SUMS = (np.float64, np.float64)  # discounted counts of a context's arcs; lower probabilities of their words
+ASK, TELL = 2, 3
 
 
 def _added(rows: pd.DataFrame, kinds) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[tuple, slice, np.ndarray]]]]:
@@ -169,8 +174,8 @@ def add_counts(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def add_sums(rows: pd.DataFrame) -> pd.DataFrame:
-    """Answers with the sums of the contexts."""
-    return _frame([(*h, None, _pack(a[at]), _pack(b[at])) for a, b, _, parts in _added(rows, SUMS) for h, _, at in parts])
+    """Answers with the sums of the contexts that were asked for."""
+    return _frame([(*h, None, _pack(a[at]), _pack(b[at])) for a, b, _, parts in _added(rows, SUMS) for h, _, at in parts if h[2] == ASK])
 
 
 @dataclass
@@ -178,6 +183,7 @@ class Grams:
     """The tokens of a block with the bounds of its texts, and its distinct
     n-grams: for each order the keys (sorted) and the counts in training texts.
     Indices into the n-grams: ``word`` of each token; for each order above 1 the
+    n-gram that starts at each token (where one does), and of each n-gram the
     context (order k - 1), the last word (order 1) and the n-gram without its
     first word (order k - 1)."""
 
@@ -186,6 +192,7 @@ class Grams:
     keys: dict[int, np.ndarray]
     learned: dict[int, np.ndarray]
     word: np.ndarray
+    start: dict[int, np.ndarray]
     head: dict[int, np.ndarray]
     last: dict[int, np.ndarray]
     tail: dict[int, np.ndarray]
@@ -202,7 +209,7 @@ def grams_of(rows: pd.DataFrame, orders: Sequence[int] | None = None) -> Grams:
     first = np.concatenate(([0], np.cumsum(n)))
     del parts
     learn = np.repeat(rows["learn"].to_numpy().astype(bool), n)
-    out = Grams(tokens, first, {}, {}, np.zeros(0, np.int32), {}, {}, {})
+    out = Grams(tokens, first, {}, {}, np.zeros(0, np.int32), {}, {}, {}, {})
     below = out.word  # index of the n-gram of the order below that starts at each token
     starting = tokens.copy()  # key of the n-gram that starts at each token
     for k in range(1, ORDER + 1):
@@ -225,10 +232,12 @@ def grams_of(rows: pd.DataFrame, orders: Sequence[int] | None = None) -> Grams:
         if k > 1:
             some = at[order[new]]
             out.head[k], out.last[k], out.tail[k] = below[some], out.word[some + k - 1], below[some + 1]
-        if k < ORDER:
-            below = np.zeros(len(tokens), np.int32)
-            below[at[order]] = np.cumsum(new, dtype=np.int32) - 1
-            out.word = below if k == 1 else out.word
+        below = np.zeros(len(tokens), np.int32)
+        below[at[order]] = np.cumsum(new, dtype=np.int32) - 1
+        if k == 1:
+            out.word = below
+        else:
+            out.start[k] = below
     return out
 
 
@@ -237,39 +246,43 @@ def grams_of(rows: pd.DataFrame, orders: Sequence[int] | None = None) -> Grams:
 
 @dataclass
 class Automaton:
-    """State 0 is the empty context; ``fail`` and ``weight`` (log10) are the
-    failure arcs. ``words`` (sorted) and ``word_state`` lead from the empty
-    context to the state of a word; ``arcs`` (sorted keys of state key and
-    token), ``arc_weight`` and ``arc_to`` are the other arcs."""
+    """State 0 is the empty context, states from ``first_pair`` on are contexts of
+    two words; ``fail`` and ``weight`` (log10) are the failure arcs (a weight that
+    the block's texts cannot need is NaN). ``word_state`` leads from the empty
+    context to the state of a word; ``arc`` has for each order the number of each
+    n-gram's arc (-1: none), ``arc_weight`` and ``arc_to`` are the arcs."""
 
-    key: np.ndarray
+    first_pair: int
     fail: np.ndarray
     weight: np.ndarray
-    words: np.ndarray
     word_state: np.ndarray
-    arcs: np.ndarray
+    arc: dict[int, np.ndarray]
     arc_weight: np.ndarray
     arc_to: np.ndarray
 
-    def walk(self, tokens: np.ndarray, first: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+    def walk(self, grams: Grams, unigram: np.ndarray) -> np.ndarray:
         """Summed log10 weights of each text, read from left to right;
         ``unigram`` holds the log10 probability of every token on its own."""
-        n = np.diff(first)
+        # number of the arc, if any, that the token takes from a state of its context
+        own = {k: np.full(len(grams.tokens), -1, np.int64) for k in (2, 3)}
+        for k in (2, 3):
+            if len(self.arc[k]):
+                own[k][k - 1 :] = self.arc[k][grams.start[k][: len(grams.tokens) - k + 1]]
+        n = np.diff(grams.first)
         order = np.argsort(-n, kind="stable")
-        at, left = first[:-1][order], n[order]
+        at, left = grams.first[:-1][order], n[order]
         state = np.zeros(len(n), np.int64)
         total = np.zeros(len(n))
         alive = np.searchsorted(-left, -np.arange(int(left[0]) if len(left) else 0), side="left")
         for step, m in enumerate(alive):
-            token = tokens[at[:m] + step]
+            token = at[:m] + step
             s = state[:m]
             w = np.zeros(m)
             to = np.zeros(m, np.int64)
             todo = np.flatnonzero(s > 0)
             while len(todo):
-                own = combine(self.key[s[todo]], token[todo])
-                i = np.minimum(np.searchsorted(self.arcs, own), max(0, len(self.arcs) - 1))
-                fits = self.arcs[i] == own if len(self.arcs) else np.zeros(len(own), bool)
+                i = np.where(s[todo] >= self.first_pair, own[3][token[todo]], own[2][token[todo]])
+                fits = i >= 0
                 hit, i = todo[fits], i[fits]
                 w[hit] += self.arc_weight[i]
                 to[hit] = self.arc_to[i]
@@ -279,11 +292,8 @@ class Automaton:
                 s[todo] = self.fail[s[todo]]
                 todo = todo[s[todo] > 0]
             rest = np.flatnonzero(s == 0)
-            if len(rest):
-                w[rest] += unigram[at[:m][rest] + step]
-                if len(self.words):
-                    i = np.minimum(np.searchsorted(self.words, token[rest]), len(self.words) - 1)
-                    to[rest] = np.where(self.words[i] == token[rest], self.word_state[i], 0)
+            w[rest] += unigram[token[rest]]
+            to[rest] = self.word_state[grams.word[token[rest]]]
             state[:m] = to
             total[:m] += w
         out = np.empty(len(n))
@@ -301,41 +311,47 @@ def build_automaton(
 ) -> Automaton:
     """The arcs and states that the texts of a block can reach. ``count`` of
     every n-gram; ``mass`` and ``lower`` (sums of all arcs of the corpus) of the
-    words and pairs, 0 for those that are no context of an arc."""
-    state, n, weight, keys = {}, 1, [np.zeros(1)], [np.zeros(1, np.uint64)]
+    words and pairs, 0 for those that are no context of an arc, NaN for contexts
+    whose failure arcs the texts cannot take."""
+    state, n, weight = {}, 1, [np.zeros(1)]
     for k in (1, 2):
-        heads = mass[k] > 0
+        heads = mass[k] != 0
         state[k] = np.where(heads, np.cumsum(heads) - 1 + n, 0)
         n += int(heads.sum())
         # the discounted mass goes back to all words by their lower probability
         rest = np.maximum(1e-9, 1.0 - mass[k][heads] / count[k][heads])
         weight.append(np.log10(rest / np.maximum(1e-9, 1.0 - lower[k][heads])))
-        keys.append(grams.keys[k][heads])
     fail = np.zeros(n, np.int64)
     fail[state[2]] = state[1][grams.last[2]]
     fail[0] = 0
-    arcs, p, to = [], [], []
+    arc, n_arcs, p, to = {}, 0, [], []
     for k in (2, 3):
         kept = count[k] >= least
-        arcs.append(grams.keys[k][kept])
+        arc[k] = np.where(kept, np.cumsum(kept) - 1 + n_arcs, -1)
+        n_arcs += int(kept.sum())
         p.append(np.maximum(count[k][kept] - discount, 0.0) / count[k - 1][grams.head[k][kept]])
         pair = np.flatnonzero(kept) if k == 2 else grams.tail[3][kept]
         to.append(np.where(state[2][pair] > 0, state[2][pair], state[1][grams.last[k][kept]]))
-    names = np.concatenate(arcs)
-    order = np.argsort(names)
-    starts = mass[1] > 0
     return Automaton(
-        key=np.concatenate(keys),
+        first_pair=1 + int((mass[1] != 0).sum()),
         fail=fail,
         weight=np.concatenate(weight),
-        words=grams.keys[1][starts],
-        word_state=state[1][starts],
-        arcs=names[order],
-        arc_weight=np.log10(np.concatenate(p)[order]),
-        arc_to=np.concatenate(to)[order],
+        word_state=state[1],
+        arc=arc,
+        arc_weight=np.log10(np.concatenate(p)),
+        arc_to=np.concatenate(to),
     )
 
 
+def contexts(grams: Grams, count: dict[int, np.ndarray], k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the words or pairs (order k) of a block: whether an arc leaves one in
+    the block's texts; whether the texts can take its failure arc (it is frequent
+    enough for arcs, and a word without one follows)."""
+    arcs = count[k + 1] >= least
+    follows = [np.bincount(grams.head[k + 1][own], minlength=len(count[k])) > 0 for own in (arcs, ~arcs)]
+    return follows[0], follows[1] & (count[k] >= least)
+
+
 # -- scoring -----------------------------------------------------------------
 
 # Ids pass through Python as text: with nulls they would become floats.
@@ -381,7 +397,7 @@ def _score(texts: DataFrame, alpha: float, share: float, discount: float, block_
 
     def send_sums(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         own, block = grams_of(rows), int(rows["block"].iloc[0])
-        own.tokens = own.word = np.zeros(0, np.uint64)  # not needed here
+        own.tokens, own.word, own.start = np.zeros(0, np.uint64), np.zeros(0, np.int32), {}  # not needed here
         (c1, _), (c2, own2), (c3, own3) = (_answers(replies, 1, k, COUNTS) for k in (1, 2, 3))
         out = []
         # every arc's pair without the first word is an arc too: it has no smaller count
@@ -396,8 +412,10 @@ def _score(texts: DataFrame, alpha: float, share: float, discount: float, block_
             head = own.head[k][arcs]
             mass = np.bincount(head, np.maximum(n[arcs] - discount, 0.0), len(above))
             low = np.bincount(head, low, len(above))
-            heads = above >= least
-            out += _messages(block, 2, k - 1, n_blocks, own.keys[k - 1][heads], mass[heads], low[heads])
+            asked = contexts(own, {1: c1, 2: c2, 3: c3}, k - 1, least)[1]
+            owns = np.bincount(head, minlength=len(above)) > 0
+            for round_, those in ((ASK, asked), (TELL, owns & ~asked)):
+                out += _messages(block, round_, k - 1, n_blocks, own.keys[k - 1][those], mass[those], low[those])
         return _frame(out)
 
     replies = counts.where("block >= 0")
@@ -408,9 +426,9 @@ def _score(texts: DataFrame, alpha: float, share: float, discount: float, block_
         count = {k: _answers(replies, 1, k, COUNTS)[0] for k in (1, 2, 3)}
         mass, lower = {}, {}
         for k in (1, 2):
-            heads = count[k] >= least
-            mass[k], lower[k] = np.zeros(len(heads)), np.zeros(len(heads))
-            mass[k][heads], lower[k][heads] = _answers(replies, 2, k, SUMS)
+            left, asked = contexts(own, count, k, least)
+            mass[k], lower[k] = np.where(left, np.nan, 0.0), np.zeros(len(left))
+            mass[k][asked], lower[k][asked] = _answers(replies, ASK, k, SUMS)
         automaton = build_automaton(own, count, mass, lower, least, discount)
         known = count[1][own.word]
         unigram = np.log10(base(known))
@@ -420,11 +438,13 @@ def _score(texts: DataFrame, alpha: float, share: float, discount: float, block_
                 "n_tokens": np.diff(own.first),
                 "n_known": np.add.reduceat((known > 0).astype(np.int64), own.first[:-1]),
                 "base_score": np.add.reduceat(unigram, own.first[:-1]),
-                "score": automaton.walk(own.tokens, own.first, unigram),
+                "score": automaton.walk(own, unigram),
             }
         )
         return out[rows["asked"].to_numpy().astype(bool)]
 
+    # who owns an n-gram has been used
+    replies = replies.withColumn("b", F.lit(None).cast("binary"))
     scored = dealt.cogroup(replies.union(sums).groupBy("block")).applyInPandas(answer, RESULT)
     return scored.withColumn("doc_id", F.col("doc_id").cast("bigint")), int(n_train)
 

@@ -126,3 +126,27 @@ def test_orders_are_counted_apart():
         assert set(own.keys) == set(own.learned) == set(orders)
         for k in orders:
             assert (own.keys[k] == whole.keys[k]).all() and (own.learned[k] == whole.learned[k]).all()
+
+
+def test_only_failure_arcs_that_can_be_taken_are_asked_for():
+    """Contexts that only arcs leave, and contexts too rare for arcs, need no
+    back-off sums; the walk does not need the weights that are left out."""
+    rows = pd.DataFrame({"text": ["a b c", "a b c", "a b d", "x y"], "learn": [True] * 4})
+    grams = lm.grams_of(rows)
+    key = {w: k for w, k in zip(["a", "b", "c", "d", "x", "y"], lm.tokens_of(["a b c d x y"])[0])}
+    words = {w: int(np.searchsorted(grams.keys[1], k)) for w, k in key.items()}
+    left, asked = lm.contexts(grams, grams.learned, 1, 2)
+    assert {w for w, i in words.items() if left[i]} == {"a", "b", "c"}
+    assert {w for w, i in words.items() if asked[i]} == {"b"}  # c ends at END twice, a has b alone
+    pairs = {p: int(grams.start[2][at]) for at, p in ((0, "a b"), (1, "b c"), (9, "b d"), (12, "x y"))}
+    left, asked = lm.contexts(grams, grams.learned, 2, 2)
+    assert {p for p, i in pairs.items() if left[i]} == {"a b", "b c"} and {p for p, i in pairs.items() if asked[i]} == {"a b"}
+
+
+def test_answers_go_only_to_who_asks():
+    keys = np.array([3, 5, 9], np.uint64)
+    one = np.ones(3)
+    sent = lm._messages(0, lm.ASK, 1, 1, keys, one, one) + lm._messages(1, lm.TELL, 1, 1, keys[1:], one[1:], one[1:])
+    got = lm.add_sums(lm._frame(sent))
+    assert got["block"].tolist() == [0]
+    assert lm._answers(got, lm.ASK, 1, lm.SUMS)[0].tolist() == [1.0, 2.0, 2.0]

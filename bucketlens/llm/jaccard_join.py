@@ -5,12 +5,16 @@ similarity of their sets is at least ``threshold``.
 
 1. Sets: one pass makes each document's set, its fingerprint and ``TOKENS``
    MinHash tokens (the embedding on which paths are chosen). Documents with one
-   fingerprint have one set; only one stands for them from here on.
+   fingerprint have one set; only one stands for them from here on. A set that
+   shares too few of its pairs of neighbouring tokens with any other set to be in
+   a candidate pair walks no paths.
 2. Chosen paths: in each run a set picks each of its tokens with probability
    1 / (threshold * TOKENS), decided by a hash of (run, path, token), so
    similar sets pick the same ones; every picked token is a branch. Branches
    that a set walks alone end. A bucket of at most ``limit`` sets, or at the
-   greatest depth, is a leaf; a larger one is split again.
+   greatest depth, is a leaf; a larger one is split again. A larger one in which
+   few sets are outside the most frequent class so far is a leaf as well: only
+   those few are compared, with all others, in slices of the bucket.
 3. Leaves are compared by brute force on the tokens. A larger leaf (near copies
    that no token separates) is cut into blocks, and every pair of blocks is a
    group of its own, so no task holds a whole leaf and no pair of documents
@@ -58,6 +62,10 @@ RECALL = 0.995
 #: (three standard errors of the estimate from 64 tokens).
 SLACK = 0.15
 
+#: A bucket with at most this many times ``limit`` sets outside its most frequent
+#: class is a leaf, and such a class is cut into slices of about that many times it.
+OTHERS, SLICE = 2, 5
+
 _U = np.uint64
 _MULTIPLIERS = (mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | _U(1)).astype(np.uint32)
 _OFFSETS = mix(np.arange(1001, 1001 + TOKENS, dtype=np.uint64)).astype(np.uint32)
@@ -143,6 +151,33 @@ def document_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 # -- chosen paths ------------------------------------------------------------
 
 
+def _least_tokens(threshold: float) -> int:
+    """The number of equal tokens that makes a pair a candidate."""
+    return int(math.ceil((threshold - SLACK) * TOKENS))
+
+
+def _token_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    place = mix(np.arange(TOKENS // 2, dtype=np.uint64) + _U(7777))
+    for batch in batches:
+        tokens = _token_matrix(batch["tokens"]).astype(np.uint64)
+        keys = combine(np.broadcast_to(place, (len(tokens), TOKENS // 2)), tokens[:, 0::2] << _U(32) | tokens[:, 1::2])
+        yield pd.DataFrame({"key": keys.astype(np.int64).ravel(), "set_id": np.repeat(batch["set_id"].to_numpy(), TOKENS // 2)})
+
+
+def sharing_sets(sets: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``sets`` that can be in a candidate pair, stored. Each token in
+    which two sets differ breaks one of the TOKENS / 2 pairs of neighbouring
+    tokens, so candidates have some pairs in common; a set with more pairs that
+    no other set has is in no candidate pair."""
+    common = _least_tokens(threshold) - TOKENS // 2
+    if common <= 0:
+        return sets
+    pairs = sets.select("set_id", "tokens").mapInPandas(_token_pairs, "key long, set_id long")
+    alone = pairs.groupBy("key").agg(F.count("*").alias("n"), F.min("set_id").alias("set_id")).where("n = 1")
+    out = alone.groupBy("set_id").agg(F.count("*").alias("n")).where(F.col("n") > TOKENS // 2 - common)
+    return stored(sets.join(out.select("set_id").hint("merge"), "set_id", "left_anti"), "sharing-sets")
+
+
 def _branches(tokens: np.ndarray, path: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(row, new path) of every picked token: tokens is rows × TOKENS, path one
     per row."""
@@ -183,8 +218,9 @@ def next_paths(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def leaves(sets: DataFrame, runs: range, threshold: float, limit: int, depth: int, classes: DataFrame | None) -> DataFrame:
-    """`(path, set_id, n, class)`: the members of all leaf buckets of the runs,
-    stored; class is the set's class so far (itself without one)."""
+    """`(path, set_id, n, is_main, others)`: the members of all leaf buckets of the
+    runs, stored. Where few sets are outside a large bucket's most frequent class,
+    others is their number and is_main says who is inside; else both are null."""
     rows = first_paths(sets, runs, threshold)
     done = []
     for level in range(1, depth + 1):
@@ -196,20 +232,34 @@ def leaves(sets: DataFrame, runs: range, threshold: float, limit: int, depth: in
         sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("class").alias("c1"), F.max("class").alias("c2"))
         # a bucket of one set, or of sets that are connected already, is done
         sizes = sizes.where("n > 1 and c1 != c2").select("path", "n")
-        placed = rows.join(sizes.hint("merge"), "path")
-        if level == depth:
-            done.append(placed)
-            break
-        placed = stored(placed, "buckets")
-        done.append(placed.where(F.col("n") <= limit))
-        large = placed.where(F.col("n") > limit).select("path", "set_id")
+        placed = stored(rows.join(sizes.hint("merge"), "path"), "buckets")
+        all_pairs = {"is_main": F.lit(None).cast("boolean"), "others": F.lit(None).cast("long")}
+        large = placed.where(F.col("n") > limit)
+        done.append(placed.where(F.col("n") <= limit).withColumns(all_pairs))
         if large.isEmpty():
             break
+        if classes is not None:
+            large = large.join(stored(main_classes(large), "main-classes"), "path").withColumn("is_main", F.col("class") == F.col("main")).drop("main")
+            done.append(large.where(F.col("others") <= OTHERS * limit))
+            large = large.where(F.col("others") > OTHERS * limit)
+        if level == depth:
+            done.append(large.withColumns(all_pairs))
+            break
+        large = large.select("path", "set_id")
         rows = next_paths(large.join(sets.select("set_id", "tokens").hint("merge"), "set_id"), threshold)
-    out = done[0]
+    columns = ["path", "set_id", "n", "is_main", "others"]
+    out = done[0].select(columns)
     for more in done[1:]:
-        out = out.unionByName(more)
-    return stored(out.select("path", "set_id", "n", "class"), "leaves")
+        out = out.unionByName(more.select(columns))
+    return stored(out, "leaves")
+
+
+def main_classes(rows: DataFrame) -> DataFrame:
+    """`(path, main, others)`: the most frequent class of each bucket and the
+    number of its sets outside that class."""
+    own = rows.groupBy("path", "class").agg(F.count("*").alias("m"), F.first("n").alias("n"))
+    most = own.groupBy("path").agg(F.max(F.struct("m", "class")).alias("most"), F.first("n").alias("n"))
+    return most.select("path", F.col("most.class").alias("main"), (F.col("n") - F.col("most.m")).alias("others"))
 
 
 # -- brute force by blocks ---------------------------------------------------
@@ -227,6 +277,15 @@ def block_pairs(rows: DataFrame, group: str, size: str, limit: int) -> DataFrame
     return rows.drop("_blocks", "_other")
 
 
+def slices(rows: DataFrame, limit: int) -> DataFrame:
+    """Like ``block_pairs``, for buckets with few ``others``: each slice (b1 = b2)
+    has a part of the main class and all others."""
+    count = F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("others")) / (SLICE * limit))).cast("int")
+    own = F.pmod(F.xxhash64("set_id", F.lit("slice")), count).cast("int")
+    rows = rows.withColumn("b1", F.explode(F.when(F.col("is_main"), F.array(own)).otherwise(F.sequence(F.lit(0), count - 1))))
+    return rows.withColumns({"b2": F.col("b1"), "block": F.col("b1")})
+
+
 def _groups(batches: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
     """The runs of rows with one key, from batches sorted by it."""
     held: list[pd.DataFrame] = []
@@ -285,16 +344,17 @@ def _joining(linked: np.ndarray, block: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _token_links(threshold: float):
-    least = int(math.ceil((threshold - SLACK) * TOKENS))
+    least = _least_tokens(threshold)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _groups(batches, ["path", "b1", "b2"]):
-            ids = rows["set_id"].to_numpy()
+            rows = rows.sort_values("is_main", kind="stable")
+            ids, main = rows["set_id"].to_numpy(), rows["is_main"].to_numpy(bool)
             tokens = _token_matrix(rows["tokens"])
-            linked = np.zeros((len(ids), len(ids)), bool)
-            for i in range(len(ids) - 1):
+            linked = main[:, None] & main[None, :]  # connected already
+            for i in range(len(ids) - int(main.sum())):
                 linked[i, i + 1 :] = (tokens[i + 1 :] == tokens[i]).sum(axis=1) >= least
-            edges = _joining(linked | linked.T, rows["block"].to_numpy())
+            edges = [(a, b) for a, b in _joining(linked | linked.T, rows["block"].to_numpy()) if not (main[a] and main[b])]
             if edges:
                 a, b = np.array(edges).T
                 yield pd.DataFrame({"a": ids[a], "b": ids[b]})
@@ -304,8 +364,9 @@ def _token_links(threshold: float):
 
 def candidate_edges(found: DataFrame, sets: DataFrame, threshold: float, limit: int) -> DataFrame:
     """`(a, b)`: connections between the sets of each leaf."""
-    rows = block_pairs(found, "path", "n", limit).join(sets.select("set_id", "tokens").hint("merge"), "set_id")
-    rows = rows.select("path", "b1", "b2", "block", "set_id", "tokens")
+    rows = block_pairs(found.where("others is null"), "path", "n", limit).unionByName(slices(found.where("others is not null"), limit))
+    rows = rows.join(sets.select("set_id", "tokens").hint("merge"), "set_id")
+    rows = rows.select("path", "b1", "b2", "block", "set_id", F.coalesce("is_main", F.lit(False)).alias("is_main"), "tokens")
     rows = rows.repartition("path", "b1", "b2").sortWithinPartitions("path", "b1", "b2")
     return rows.mapInPandas(_token_links(threshold), "a long, b long")
 
@@ -313,6 +374,7 @@ def candidate_edges(found: DataFrame, sets: DataFrame, threshold: float, limit:
 def candidate_classes(sets: DataFrame, threshold: float, limit: int, depth: int, batches, recall: float) -> DataFrame | None:
     """`(set_id, component)`: sets that chosen paths connect, from repeated
     batches of runs; None if no two sets are connected."""
+    sets = sharing_sets(sets, threshold)
     classes, first, total = None, 0, 0
     for n_runs in batches:
         runs = range(first, first + n_runs)

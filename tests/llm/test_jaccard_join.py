@@ -5,6 +5,7 @@ import numpy as np
 
 from llm_fixtures import odd_docs, shipped  # noqa: F401
 
+from bucketlens.llm import jaccard_join as join
 from bucketlens.llm.components import connected_components
 from bucketlens.llm.jaccard_join import _forest, _intersections, near_duplicates, shingle_sets
 
@@ -106,3 +107,35 @@ def test_block_arithmetic():
         root[a] = b
     for i, j in zip(*np.nonzero(linked)):
         assert root[i] == root[j]
+
+
+def test_a_connected_group_walks_no_further(spark, monkeypatch):
+    """Sets that resemble a large group of near copies, without a link to it, do
+    not send the whole group down again in every later run."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, edited(rng, base, rng.randint(0, 3))) for i in range(80)] + [(200 + i, edited(rng, base, 14)) for i in range(12)]
+    walked = []
+    step = join.next_paths
+    monkeypatch.setattr(join, "next_paths", lambda rows, threshold: walked.append(rows.count()) or step(rows, threshold))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df, limit=10, batches=(12, 1), recall=1.0) == brute(rows)
+    first = sum(walked)
+    walked.clear()
+    assert result(df, limit=10, batches=(12, 12), recall=1.0) == brute(rows)
+    assert sum(walked) <= first * 1.1
+
+
+def test_only_sets_that_share_tokens_walk(spark):
+    """A passage in common, well below the threshold, is no reason to walk; near
+    copies all do."""
+    rng = random.Random(3)
+    passage = " ".join(f"boiler{i}" for i in range(15))
+    rows = corpus(9, groups=6) + [(1000 + i, passage + " " + " ".join(f"x{rng.randrange(10**9)}" for _ in range(100))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = join.document_sets(df).select("set_id", "doc_id", "tokens").dropDuplicates(["set_id"])
+    kept = {r.doc_id for r in join.sharing_sets(sets, 0.8).collect()}
+    assert not {i for i in kept if i >= 1000}
+    linked = {i for i, _, n in brute(rows) if n}
+    assert linked and linked <= {r.doc_id for r in df.join(join.document_sets(df).select("doc_id", "set_id").join(join.sharing_sets(sets, 0.8).select("set_id"), "set_id"), "doc_id").collect()}
+    assert result(df) == brute(rows)

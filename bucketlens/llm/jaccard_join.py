@@ -207,59 +207,55 @@ def first_paths(sets: DataFrame, runs: range, threshold: float) -> DataFrame:
 
 
 def next_paths(rows: DataFrame, threshold: float) -> DataFrame:
-    """`(path, set_id)` one step on from `(path, set_id, tokens)`."""
+    """`(path, set_id, class)` one step on from `(path, set_id, class, tokens)`."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             row, path = _branches(_token_matrix(batch["tokens"]), batch["path"].to_numpy().astype(np.uint64), threshold)
-            yield pd.DataFrame({"path": path.astype(np.int64), "set_id": batch["set_id"].to_numpy()[row]})
+            yield pd.DataFrame({"path": path.astype(np.int64), "set_id": batch["set_id"].to_numpy()[row], "class": batch["class"].to_numpy()[row]})
 
-    return rows.select("path", "set_id", "tokens").mapInPandas(run, "path long, set_id long")
+    return rows.select("path", "set_id", "class", "tokens").mapInPandas(run, "path long, set_id long, class long")
+
+
+def bucket_sizes(rows: DataFrame, connected: bool) -> DataFrame:
+    """`(path, n, main, others)` of the buckets with sets of more than one class:
+    the number of sets, the most frequent class and the number of sets outside
+    it (null if no classes are ``connected`` yet). The other buckets are done."""
+    if not connected:
+        sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("class").alias("c1"), F.max("class").alias("c2")).where("c1 != c2")
+        return sizes.select("path", "n", F.lit(None).cast("long").alias("main"), F.lit(None).cast("long").alias("others"))
+    own = rows.groupBy("path", "class").agg(F.count("*").alias("m"))
+    sizes = own.groupBy("path").agg(F.sum("m").alias("n"), F.count("*").alias("classes"), F.max("m").alias("most"), F.max_by("class", "m").alias("main"))
+    return sizes.where("classes > 1").select("path", "n", "main", (F.col("n") - F.col("most")).alias("others"))
 
 
 def leaves(sets: DataFrame, runs: range, threshold: float, limit: int, depth: int, classes: DataFrame | None) -> DataFrame:
-    """`(path, set_id, n, is_main, others)`: the members of all leaf buckets of the
-    runs, stored. Where few sets are outside a large bucket's most frequent class,
-    others is their number and is_main says who is inside; else both are null."""
+    """`(path, set_id, class, n, is_main, others)`: the members of all leaf buckets
+    of the runs, from stored tables. Where few sets are outside a large bucket's most
+    frequent class, others is their number and is_main says who is inside; else both
+    are null. A member is joined to its bucket once a level."""
     rows = first_paths(sets, runs, threshold)
-    done = []
+    if classes is not None:
+        rows = rows.join(classes, "set_id", "left").select("path", "set_id", F.coalesce("component", "set_id").alias("class"))
+    else:
+        rows = rows.withColumn("class", F.col("set_id"))
+    found = []
     for level in range(1, depth + 1):
-        if classes is not None:
-            rows = rows.join(classes, "set_id", "left").withColumn("class", F.coalesce("component", "set_id")).drop("component")
-        else:
-            rows = rows.withColumn("class", F.col("set_id"))
         rows = stored(rows, "paths")
-        sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.min("class").alias("c1"), F.max("class").alias("c2"))
-        # a bucket of one set, or of sets that are connected already, is done
-        sizes = sizes.where("n > 1 and c1 != c2").select("path", "n")
-        placed = stored(rows.join(sizes.hint("merge"), "path"), "buckets")
-        all_pairs = {"is_main": F.lit(None).cast("boolean"), "others": F.lit(None).cast("long")}
-        large = placed.where(F.col("n") > limit)
-        done.append(placed.where(F.col("n") <= limit).withColumns(all_pairs))
-        if large.isEmpty():
+        few = (F.col("n") > limit) & (F.col("others") <= OTHERS * limit)
+        placed = rows.join(bucket_sizes(rows, classes is not None).hint("merge"), "path")
+        placed = placed.withColumns({"is_main": F.when(few, F.col("class") == F.col("main")), "others": F.when(few, F.col("others"))}).drop("main")
+        is_leaf = F.lit(level == depth) | (F.col("n") <= limit) | F.col("others").isNotNull()
+        placed, seen = stored_and_seen(placed.withColumn("is_leaf", is_leaf), "buckets", F.count_if(~F.col("is_leaf")).alias("large"))
+        found.append(placed.where("is_leaf").drop("is_leaf"))
+        if not seen["large"]:
             break
-        if classes is not None:
-            large = large.join(stored(main_classes(large), "main-classes"), "path").withColumn("is_main", F.col("class") == F.col("main")).drop("main")
-            done.append(large.where(F.col("others") <= OTHERS * limit))
-            large = large.where(F.col("others") > OTHERS * limit)
-        if level == depth:
-            done.append(large.withColumns(all_pairs))
-            break
-        large = large.select("path", "set_id")
+        large = placed.where("not is_leaf").select("path", "set_id", "class")
         rows = next_paths(large.join(sets.select("set_id", "tokens").hint("merge"), "set_id"), threshold)
-    columns = ["path", "set_id", "n", "is_main", "others"]
-    out = done[0].select(columns)
-    for more in done[1:]:
-        out = out.unionByName(more.select(columns))
-    return stored(out, "leaves")
-
-
-def main_classes(rows: DataFrame) -> DataFrame:
-    """`(path, main, others)`: the most frequent class of each bucket and the
-    number of its sets outside that class."""
-    own = rows.groupBy("path", "class").agg(F.count("*").alias("m"), F.first("n").alias("n"))
-    most = own.groupBy("path").agg(F.max(F.struct("m", "class")).alias("most"), F.first("n").alias("n"))
-    return most.select("path", F.col("most.class").alias("main"), (F.col("n") - F.col("most.m")).alias("others"))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 # -- brute force by blocks ---------------------------------------------------
@@ -348,26 +344,27 @@ def _token_links(threshold: float):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _groups(batches, ["path", "b1", "b2"]):
-            rows = rows.sort_values("is_main", kind="stable")
-            ids, main = rows["set_id"].to_numpy(), rows["is_main"].to_numpy(bool)
+            classes, main = rows["class"].to_numpy(), int(rows["is_main"].sum())
             tokens = _token_matrix(rows["tokens"])
-            linked = main[:, None] & main[None, :]  # connected already
-            for i in range(len(ids) - int(main.sum())):
-                linked[i, i + 1 :] = (tokens[i + 1 :] == tokens[i]).sum(axis=1) >= least
-            edges = [(a, b) for a, b in _joining(linked | linked.T, rows["block"].to_numpy()) if not (main[a] and main[b])]
+            linked = classes[:, None] == classes[None, :]  # connected already
+            for i in range(len(classes) - main):
+                linked[i, i + 1 :] |= (tokens[i + 1 :] == tokens[i]).sum(axis=1) >= least
+            edges = [(a, b) for a, b in _joining(linked | linked.T, rows["block"].to_numpy()) if classes[a] != classes[b]]
             if edges:
                 a, b = np.array(edges).T
-                yield pd.DataFrame({"a": ids[a], "b": ids[b]})
+                yield pd.DataFrame({"a": classes[a], "b": classes[b]})
 
     return run
 
 
 def candidate_edges(found: DataFrame, sets: DataFrame, threshold: float, limit: int) -> DataFrame:
-    """`(a, b)`: connections between the sets of each leaf."""
+    """`(a, b)`: connections between the classes of each leaf's sets."""
     rows = block_pairs(found.where("others is null"), "path", "n", limit).unionByName(slices(found.where("others is not null"), limit))
     rows = rows.join(sets.select("set_id", "tokens").hint("merge"), "set_id")
-    rows = rows.select("path", "b1", "b2", "block", "set_id", F.coalesce("is_main", F.lit(False)).alias("is_main"), "tokens")
-    rows = rows.repartition("path", "b1", "b2").sortWithinPartitions("path", "b1", "b2")
+    rows = rows.select("path", "b1", "b2", "block", "set_id", "class", F.coalesce("is_main", F.lit(False)).alias("is_main"), "tokens")
+    rows = rows.repartition("path", "b1", "b2")
+    # in one order everywhere: the groups of a bucket name the same roots
+    rows = rows.sortWithinPartitions("path", "b1", "b2", "is_main", "class", "set_id")
     return rows.mapInPandas(_token_links(threshold), "a long, b long")
 
 
@@ -379,12 +376,6 @@ def candidate_classes(sets: DataFrame, threshold: float, limit: int, depth: int,
     for n_runs in batches:
         runs = range(first, first + n_runs)
         new = candidate_edges(leaves(sets, runs, threshold, limit, depth, classes), sets, threshold, limit)
-        if classes is not None:
-            # what is new connects classes: an edge inside one says nothing
-            for end in ("a", "b"):
-                named = classes.withColumnsRenamed({"set_id": end, "component": f"_{end}"})
-                new = new.join(named, end, "left")
-            new = new.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a != b")
         new, seen = stored_and_seen(new.distinct(), "candidate-edges", F.count("*").alias("n"))
         if seen["n"]:
             joined = connected_components(new).withColumnRenamed("node", "set_id")
@@ -462,7 +453,7 @@ def exact_links(docs: DataFrame, members: DataFrame, threshold: float, shingle:
     one = members.join(texts, "text_id").groupBy("set_id", "component", "copies").agg(F.min("text").alias("text"))
     rows = block_pairs(one.join(sizes, "component"), "component", "n", limit)
     rows = rows.select("component", "b1", "b2", "block", "set_id", "copies", "text")
-    rows = rows.repartition("component", "b1", "b2").sortWithinPartitions("component", "b1", "b2")
+    rows = rows.repartition("component", "b1", "b2").sortWithinPartitions("component", "b1", "b2", "set_id")
     return stored(rows.mapInPandas(_exact_links(threshold, shingle), "set_id long, root long, n_sets long, n_docs long"), "links")
 
 

@@ -6,6 +6,7 @@ import numpy as np
 from llm_fixtures import odd_docs, shipped  # noqa: F401
 
 from bucketlens.llm import jaccard_join as join
+from bucketlens.llm.common import noted_scratch
 from bucketlens.llm.components import connected_components
 from bucketlens.llm.jaccard_join import _forest, _intersections, near_duplicates, shingle_sets
 
@@ -139,3 +140,47 @@ def test_only_sets_that_share_tokens_walk(spark):
     linked = {i for i, _, n in brute(rows) if n}
     assert linked and linked <= {r.doc_id for r in df.join(join.document_sets(df).select("doc_id", "set_id").join(join.sharing_sets(sets, 0.8).select("set_id"), "set_id"), "doc_id").collect()}
     assert result(df) == brute(rows)
+
+
+def test_a_level_joins_its_buckets_once(spark):
+    """The members of a bucket are joined to it once a level, with its most
+    frequent class, and the leaves are read from there."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, edited(rng, base, rng.randint(0, 3))) for i in range(80)] + [(200 + i, edited(rng, base, 14)) for i in range(12)]
+    sets = join.document_sets(spark.createDataFrame(rows, "doc_id long, text string")).select("set_id", "tokens").dropDuplicates(["set_id"])
+    ids = [r.set_id for r in sets.collect()]
+    classes = spark.createDataFrame([(i, min(ids)) for i in ids if rng.random() < 0.8 or i == min(ids)], "set_id long, component long")
+    for known, n_levels in ((None, 3), (classes, 1)):
+        with noted_scratch() as made:
+            found = join.leaves(sets, range(4), 0.8, 10, 3, known)
+        names = [path.rpartition("/")[2].rpartition("-")[0] for path in made]
+        assert names == ["paths", "buckets"] * n_levels
+        assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count()
+
+
+def test_bucket_sizes(spark):
+    rows = [(1, 10, 10), (1, 11, 10), (1, 12, 12), (2, 10, 10), (2, 11, 10), (3, 12, 12), (4, 10, 10), (4, 12, 12), (4, 13, 13), (4, 14, 13)]
+    df = spark.createDataFrame(rows, "path long, set_id long, class long")
+    assert sorted(map(tuple, join.bucket_sizes(df, True).collect())) == [(1, 3, 10, 1), (4, 4, 13, 2)]
+    assert sorted(map(tuple, join.bucket_sizes(df, False).collect())) == [(1, 3, None, None), (4, 4, None, None)]
+
+
+def test_components_of_stars_take_one_round(spark):
+    edges = [(i, 1) for i in range(2, 9)] + [(20, 21), (9, 9)]
+    with noted_scratch() as made:
+        got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**{i: 1 for i in range(1, 9)}, 20: 20, 21: 20}
+    assert len(made) == 1
+
+
+def test_components_against_brute_force(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
+    least = list(range(300))
+    for _ in range(300):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {x: least[x] for a, b in edges if a != b for x in (a, b)}
